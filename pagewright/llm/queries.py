@@ -22,7 +22,13 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op2_sharding)}
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.packing import pack
+
+    return pack(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_best_fit_packing, op7_exact_dedup)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
