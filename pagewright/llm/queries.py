@@ -28,7 +28,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_best_fit_packing, op7_exact_dedup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.language_id import identify
+
+    return identify(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_best_fit_packing, op7_exact_dedup, op10_language_id)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
