@@ -28,13 +28,19 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.pii import find_personal_data
+
+    return find_personal_data(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.language_id import identify
 
     return identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_best_fit_packing, op7_exact_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_best_fit_packing, op7_exact_dedup, op9_pii, op10_language_id)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
