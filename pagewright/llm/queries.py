@@ -22,6 +22,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.mixing import mix
+
+    return mix(documents(spark, sf_dir))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.packing import pack
 
@@ -40,7 +46,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_best_fit_packing, op7_exact_dedup, op9_pii, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op7_exact_dedup, op9_pii, op10_language_id)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
