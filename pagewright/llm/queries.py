@@ -2,10 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import documents
+from pagewright.llm.shared import documents, shared_folder
+
+
+def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.fingerprints import fingerprint
+
+    return fingerprint(documents(spark, sf_dir))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in, the batch is sent twice, then those labelled toxic are deleted."""
+    from pagewright.llm.token_counts import TokenLedger
+
+    docs = documents(spark, sf_dir)
+    ledger = TokenLedger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    load = docs.select(F.lit("insert").alias("op"), "doc_id", "text", "source", "lang")
+    ledger.commit("load", load)
+    ledger.commit("load", load)
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic = 1").select("doc_id")
+    none = F.lit(None).cast("string")
+    ledger.commit("toxic", toxic.select(F.lit("delete").alias("op"), "doc_id", none.alias("text"), none.alias("source"), none.alias("lang")))
+    return ledger.totals()
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +57,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.line_dedup import drop_repeated_lines
+
+    return drop_repeated_lines(documents(spark, sf_dir))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pagewright.llm.pii import find_personal_data
 
@@ -46,7 +75,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op7_exact_dedup, op9_pii, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
@@ -56,4 +85,23 @@ ORACLE_SQL = {
                row_number() OVER w = 1 AS kept, h AS text_sha256
         FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id NULLS LAST)
     """,
+    "op8_line_dedup": """
+        WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                          unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+        w AS (SELECT doc_id, pos, line || chr(10) || lead(line) OVER d || chr(10) || lead(line, 2) OVER d AS win,
+                     trim(line || lead(line) OVER d || lead(line, 2) OVER d) <> '' AS words
+              FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
+        later AS (SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS k
+                                           FROM w WHERE win IS NOT NULL AND words) WHERE k > 1),
+        gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, range(3) t(k)),
+        runs AS (SELECT doc_id, min(pos) AS a, max(pos) AS b
+                 FROM (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM gone) GROUP BY doc_id, run),
+        spans AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS removed FROM runs GROUP BY doc_id),
+        body AS (SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_removed,
+                        coalesce(string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text
+                 FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
+        SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(b.text, '') END AS text, coalesce(b.n_lines, 0) AS n_lines, coalesce(b.n_removed, 0) AS n_removed,
+               coalesce(s.removed, '') AS removed
+        FROM documents d LEFT JOIN body b USING (doc_id) LEFT JOIN spans s USING (doc_id)
+    """,
 }
