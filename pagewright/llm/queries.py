@@ -16,6 +16,12 @@ def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(documents(spark, sf_dir))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.ngram_join import ngram_join
+
+    return ngram_join(documents(spark, sf_dir), words=4, percent=85).drop("node")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in, the batch is sent twice, then those labelled toxic are deleted."""
     from pagewright.llm.token_counts import TokenLedger
@@ -75,7 +81,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
