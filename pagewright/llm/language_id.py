@@ -276,6 +276,13 @@ def train(labelled: DataFrame, sample: int = SAMPLE, calibrate: int = CALIBRATE)
     return out
 
 
+def _z(fitted: LanguageModels, entropy: np.ndarray, characters: np.ndarray) -> np.ndarray:
+    """How far the best language's cross-entropy lies over what is usual for it, in deviations at that length."""
+    best = entropy.argmin(axis=1)
+    mean, sd, short = (np.array([getattr(m, a) for m in fitted.models])[best] for a in ("mean", "spread", "per_letter"))
+    return (entropy.min(axis=1) - mean) / np.sqrt(sd**2 + short**2 / np.maximum(characters, 1))
+
+
 def _scoring(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: LanguageModels = sent.value
@@ -293,8 +300,7 @@ def _scoring(sent):
                     # the posterior of the best language, by a length that grows slower than the text
                     gap = (entropy - bits[:, None]) * np.sqrt(np.maximum(characters, 1))[:, None]
                     confidence = 1 / np.exp2(-np.minimum(gap, 500)).sum(axis=1)
-                    mean, sd, short = (np.array([getattr(m, a) for m in fitted.models])[best] for a in ("mean", "spread", "per_letter"))
-                    z = (bits - mean) / np.sqrt(sd**2 + short**2 / np.maximum(characters, 1))
+                    z = _z(fitted, entropy, characters)
                     pred = [fitted.languages[b] if c else "und" for b, c in zip(best, characters, strict=True)]
                     confidence = np.where(characters > 0, confidence, 0.0)
                 yield pa.RecordBatch.from_arrays(
@@ -329,3 +335,26 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     scored = score(docs, fitted)
     rejected = (F.col("lang_pred") == "und") | (F.col("z") > REJECT_Z)
     return scored.select("doc_id", (fold() == 1).alias("held_out"), "lang_pred", "score", "bits", rejected.alias("rejected"))
+
+
+def _accepting(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted: LanguageModels = sent.value
+        scorer = fitted.scorer = fitted.scorer or Scorer(fitted.models)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                if fitted.models:
+                    entropy, characters = scorer(texts)
+                    keep = (characters > 0) & (_z(fitted, entropy, characters) <= REJECT_Z)
+                    batch = batch.filter(pa.array(keep))
+                yield batch
+
+    return run
+
+
+def accepted(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """``docs`` with all columns, without the rows that ``identify`` rejects. With nothing to learn from, all rows stay."""
+    fitted = train(docs.filter(fold() != 1) if labelled is None else labelled)
+    return docs.mapInArrow(_accepting(docs.sparkSession.sparkContext.broadcast(fitted)), docs.schema)
