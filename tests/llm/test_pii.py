@@ -1,0 +1,88 @@
+import hashlib
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pagewright.llm.pii import KINDS, base_spans, find_personal_data, luhn, redact
+from pagewright.llm.shared import documents
+from tests.llm.conftest import frame, messy_rows
+
+
+def brute(t):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t):
+        out.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        digits = re.sub("[ -]", "", m[0])
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(out))
+
+
+def listed(spans):
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a9.@+-( )%é1", max_size=40))
+def test_base_forms_are_those_of_the_patterns(text):
+    assert listed(base_spans(text)) == brute(text)
+
+
+def test_luhn():
+    assert luhn("4111111111111111") and not luhn("4111111111111112")
+
+
+def check(df, rows):
+    got = find_personal_data(df).collect()
+    want = sorted(str((i, hashlib.sha256(brute(t or "").encode()).hexdigest())) for i, t, *_ in rows)
+    assert sorted(str((r["doc_id"], r["base_sha256"])) for r in got) == want
+    for r in got:
+        kinds = [s.split(":")[0] for s in r["spans"].split(",") if s]
+        assert [kinds.count(k) for k in KINDS] == [r[f"n_{k}"] for k in KINDS]
+    return got
+
+
+def test_messy_rows(messy):
+    got = {r["doc_id"]: r for r in check(messy, messy_rows())}
+    assert (got[14]["n_email"], got[14]["n_ip"], got[14]["n_card"], got[14]["n_phone"]) == (1, 1, 1, 1)
+
+
+def test_small_table(spark):
+    docs = documents(spark, "/root/testdata/sf0.001")
+    check(docs, [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
+
+
+def card(rnd):
+    body = "".join(str(rnd.randrange(10)) for _ in range(15))
+    return next(body + str(c) for c in range(10) if luhn(body + str(c)))
+
+
+def test_known_contexts_reveal_more(spark):
+    """A form that fails its check is found where the context is known for cards, and nowhere else."""
+    rnd = random.Random(9)
+    rows = [(k, f"we charged card {card(rnd)} today", "en", "a") for k in range(40)]
+    wrong = [str(int(card(rnd)) ^ 1).zfill(16) for _ in range(3)]
+    wrong = [w if not luhn(w) else w[:-1] + str((int(w[-1]) + 1) % 10) for w in wrong]
+    rows += [(100, f"we charged card {wrong[0]} today", "en", "a"), (101, f"the serial {wrong[1]} is no card", "en", "a"), (102, "card 12 of 52", "en", "a")]
+    got = {r["doc_id"]: r for r in check(frame(spark, rows), rows)}
+    assert got[100]["n_context"] == 1 and got[100]["spans"] == "context:16:32"
+    assert got[101]["n_context"] == 0 and got[102]["n_context"] == 0
+
+
+def test_redaction_covers_the_spans(spark):
+    docs = frame(spark, [(1, "mail a.b@c.org or +1 (741) 555-3069!", "en", "a"), (2, None, "en", "a"), (3, "clean", "en", "a")])
+    out = {r["doc_id"]: r["text"] for r in redact(docs, find_personal_data(docs)).collect()}
+    assert out == {1: "mail <email> or <phone>!", 2: None, 3: "clean"}
+
+
+def test_nothing(nothing):
+    assert find_personal_data(nothing).count() == 0

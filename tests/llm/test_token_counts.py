@@ -1,0 +1,54 @@
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from pagewright.llm.token_counts import TokenLedger
+from pagewright.llm.tokens import tokenizer_path
+from tests.llm.conftest import frame, messy_rows
+
+
+def brute(rows):
+    direct, out = Tokenizer.from_file(tokenizer_path()), {}
+    for _, t, la, so in rows:
+        own = out.setdefault((so, la), [0, 0, 0])
+        own[0] += 1
+        own[1] += len(t or "")
+        own[2] += len(direct.encode(t or "", add_special_tokens=False).ids)
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def told(ledger):
+    return {(r["source"], r["lang"]): (r["documents"], r["characters"], r["tokens"]) for r in ledger.totals().collect()}
+
+
+def change(df, op):
+    return df.select(F.lit(op).alias("op"), "doc_id", "text", "source", "lang")
+
+
+def test_totals_follow_inserts_deletes_and_revisions(spark, messy, nothing, tmp_path):
+    ledger, rows = TokenLedger(spark, str(tmp_path / "ledger")), messy_rows()
+    assert told(ledger) == {} and ledger.batches() == []
+    assert ledger.commit("one", change(messy, "insert"))
+    assert told(ledger) == brute(rows)
+    assert not ledger.commit("one", change(messy, "insert")) and told(ledger) == brute(rows)
+    assert ledger.commit("none", change(nothing, "insert")) and told(ledger) == brute(rows)
+    new = frame(spark, [(1, "all new words", "de", "z"), (9, "once", "de", "c")])
+    assert ledger.commit("two", change(new, "revise").unionByName(change(messy.filter("doc_id IN (8, 12)"), "delete")))
+    rows = [r for r in rows if r[0] not in (1, 9, 8, 12)] + [(1, "all new words", "de", "z"), (9, "once", "de", "c")]
+    assert told(ledger) == brute(rows)
+    assert ledger.batches() == ["none", "one", "two"]
+
+
+def test_a_broken_batch_does_not_count_and_is_written_anew(spark, tmp_path):
+    ledger = TokenLedger(spark, str(tmp_path / "ledger"))
+    df = change(frame(spark, [(1, "some words", "en", "a")]), "insert")
+    ledger.commit("x", df)
+    (tmp_path / "ledger/batch-x/totals/_SUCCESS").unlink()
+    assert told(ledger) == {}
+    assert ledger.commit("x", df) and told(ledger) == brute([(1, "some words", "en", "a")])
+
+
+def test_versions_are_counted_side_by_side(spark, tmp_path):
+    versions = {"v1": tokenizer_path(), "v2": tokenizer_path()}
+    ledger = TokenLedger(spark, str(tmp_path / "ledger"), versions)
+    ledger.commit("x", change(frame(spark, [(1, "some words", "en", "a")]), "insert"))
+    assert {r["tokenizer"]: r["tokens"] for r in ledger.totals().collect()} == {"v1": 2, "v2": 2}
