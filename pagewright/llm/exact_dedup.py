@@ -97,9 +97,9 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
     Of rows that agree in doc_id and text but differ elsewhere, one stays.
     """
-    name = "_kept_digest"
-    stay = exact_dedup(docs, counters).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_chars").alias("_n"))
+    stay = exact_dedup(docs, counters).filter("kept").select("doc_id", "text_sha256", "n_chars")
     text = text_or_empty()
-    keyed = docs.withColumns({name: F.sha2(F.regexp_replace(text, SPACE, ""), 256), "_kept_chars": F.length(text).cast("long")})
-    same = keyed["doc_id"].eqNullSafe(F.col("_id")) & (keyed[name] == F.col("_sha")) & (keyed["_kept_chars"] == F.col("_n"))
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", name, "_kept_chars"]).select(*docs.columns)
+    own = {"__digest": F.sha2(F.regexp_replace(text, SPACE, ""), 256), "__chars": F.length(text).cast("long")}
+    keyed = docs.withColumns(own)
+    same = keyed["doc_id"].eqNullSafe(stay["doc_id"]) & (keyed["__digest"] == stay["text_sha256"]) & (keyed["__chars"] == stay["n_chars"])
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", *own]).select(*docs.columns)

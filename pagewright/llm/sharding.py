@@ -113,5 +113,5 @@ def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, before: DataFram
 
 def write_shards(docs: DataFrame, table: DataFrame, path: str, slots: int = SLOTS) -> None:
     """Write ``docs`` with all columns under ``path``/_shard=k/ by the map ``table``, with no shuffle."""
-    placed = docs.withColumn("_slot", virtual_slot(slots)).join(F.broadcast(table.select(F.col("virtual_slot").alias("_slot"), F.col("shard").alias("_shard"))), "_slot")
-    placed.drop("_slot").write.partitionBy("_shard").mode("overwrite").parquet(path)
+    placed = docs.withColumn("__slot", virtual_slot(slots)).join(F.broadcast(table.select(F.col("virtual_slot").alias("__slot"), F.col("shard").alias("_shard"))), "__slot")
+    placed.drop("__slot").write.partitionBy("_shard").mode("overwrite").parquet(path)
