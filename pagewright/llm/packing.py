@@ -93,7 +93,7 @@ def reduce_by_dominance(counts: dict[int, int], capacity: int) -> tuple[list[tup
             k = bisect_left(lengths, capacity - v + 1) - 1
             while k >= 0 and not left[lengths[k]]:
                 k -= 1
-            smallest = [x for x in lengths[:2] for _ in range(min(2, left[x]))][:2]
+            smallest = [x for x in lengths[:3] for _ in range(min(2, left[x]))][:2]
             left[v] += 1
             if k < 0:
                 n = 1 if 2 * v <= capacity else left[v]
