@@ -61,6 +61,11 @@ def _rate(cap: float) -> Column:
     return F.when(F.col("full"), F.lit(float(cap))).otherwise(F.least(F.lit(float(cap)), F.exp(F.least(F.col("multiplier") * F.col("size") / F.col("scale"), F.lit(50.0)))))
 
 
+def _exact_sum(c: Column) -> Column:
+    """A sum that does not depend on the order of its rows."""
+    return F.sum(c.cast("decimal(28,8)")).cast("double")
+
+
 def multipliers(cells: DataFrame, aims: DataFrame, cap: float = CAP, steps: int = STEPS) -> DataFrame:
     """The dual's root for each source: key, multiplier, scale, full (every rate is the cap).
 
@@ -85,7 +90,7 @@ def multipliers(cells: DataFrame, aims: DataFrame, cap: float = CAP, steps: int
         words = F.col("count") * F.col("size") * F.col("rate")
         slope = F.when(F.col("rate") < cap, words * tilt).otherwise(0.0)
         open_ = state.filter("not done")
-        sums = cells.join(open_.select("key", "multiplier", "scale", "full"), "key").withColumn("rate", _rate(cap)).groupBy("key").agg(F.sum(words).alias("words"), F.sum(slope).alias("slope"))
+        sums = cells.join(open_.select("key", "multiplier", "scale", "full"), "key").withColumn("rate", _rate(cap)).groupBy("key").agg(_exact_sum(words).alias("words"), _exact_sum(slope).alias("slope"))
         miss = F.col("words") - F.col("target")
         low = F.when(miss < 0, F.col("multiplier")).otherwise(F.col("low"))
         high = F.when(miss >= 0, F.col("multiplier")).otherwise(F.col("high"))
@@ -168,8 +173,8 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, words: int | None =
     """The mix itself: the rows of ``docs``, each as often as ``mix`` takes it, with their columns as they were."""
     size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
     key = lambda size: F.to_json(F.struct("doc_id", F.col("source").cast("string").alias("source"), size.alias("size")), {"ignoreNullFields": "false"})
-    taken = mix(docs, weights, words, cap).groupBy(key(F.col("size")).alias("_key")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
-    keyed = docs.withColumn("_key", key(size))
+    taken = mix(docs, weights, words, cap).groupBy(key(F.col("size")).alias("__key")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies"))
+    keyed = docs.withColumn("__key", key(size))
     # rows that share doc_id, source and size take their copies in the order of their texts
-    numbered = keyed.join(taken, "_key").withColumn("_n", F.row_number().over(W.partitionBy("_key").orderBy("text")))
-    return numbered.withColumn("_times", F.explode(F.expr("array_repeat(0, CAST(element_at(_copies, _n) AS int))"))).select(*docs.columns)
+    numbered = keyed.join(taken, "__key").withColumn("__n", F.row_number().over(W.partitionBy("__key").orderBy("text")))
+    return numbered.withColumn("__times", F.explode(F.expr("array_repeat(0, CAST(element_at(__copies, __n) AS int))"))).select(*docs.columns)
