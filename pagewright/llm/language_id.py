@@ -117,7 +117,7 @@ def _grams(lang: str, counts: dict[str, int], order: int) -> Iterator[pa.RecordB
             grams, first, back = np.unique(own[use], return_index=True, return_inverse=True)
             total = np.bincount(back, weights=repeated).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams)), pa.array(np.full(len(grams), k, np.int32)), pa.array(grams.view(np.int64)), pa.array(context[use][first].view(np.int64)), pa.array(rest[use][first].view(np.int64)), pa.array(total)],
+                [pa.array([lang] * len(grams), pa.string()), pa.array(np.full(len(grams), k, np.int32)), pa.array(grams.view(np.int64)), pa.array(context[use][first].view(np.int64)), pa.array(rest[use][first].view(np.int64)), pa.array(total)],
                 names=["lang", "k", "gram", "context", "rest", "n"],
             )
 
