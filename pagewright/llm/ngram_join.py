@@ -31,6 +31,8 @@ KEPT = 300_000
 SLACK = (1 / 8, 1 / 2)
 #: Candidates a node may have at one length; with more it gets a longer prefix, while there is one.
 COST = 500
+#: Rows of a few longs up to which a side of a join is broadcast (about 32 bytes each).
+BROADCAST = 500_000
 #: Rounds against single nodes before the search between groups.
 PIVOTS = 2
 
@@ -71,7 +73,12 @@ def needed(n: int, percent: int) -> int:
 
 def _prefix(n: Column, percent: int) -> Column:
     """Length of the prefix in which one shingle must be shared."""
-    return n - F.ceil(n * percent / F.lit(100.0)) + 1
+    return n - F.floor((n * percent + 99) / 100) + 1
+
+
+def _slack(n: Column, percent: int, part: float) -> Column:
+    """Shingles by which a prefix is lengthened, and more of which must be shared."""
+    return F.least(n - _prefix(n, percent), F.floor(n * part))
 
 
 def _scan(words: int, percent: int, whole: bool):
@@ -87,7 +94,7 @@ def _scan(words: int, percent: int, whole: bool):
                     sizes.append(n)
                     high.append(int.from_bytes(digest[:8], "big", signed=True))
                     low.append(int.from_bytes(digest[8:], "big", signed=True))
-                    prefixes.append((own if whole else own[: n - needed(n, percent) + 1]).view(np.int64))
+                    prefixes.append((own if whole else own[: n - needed(n, percent) + 1 + int(n * SLACK[0])]).view(np.int64))
                 kept = [name for name in part.schema.names if name != "text"]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(name) for name in kept), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
@@ -104,6 +111,11 @@ def scanned(docs: DataFrame, words: int, percent: int, whole: bool = False, keep
     return rows.mapInArrow(_scan(words, percent, whole), f"{kinds}high long, low long, n long, tokens array<long>")
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df``, a written table of a few long columns, for broadcast if it has at most BROADCAST rows; else the join shuffles."""
+    return F.broadcast(df) if df.count() <= BROADCAST else df
+
+
 def _id_hash() -> Column:
     return F.xxhash64("doc_id", F.col("doc_id").isNull())
 
@@ -169,40 +181,69 @@ def _against_pivots(postings: DataFrame, percent: int, first: bool) -> DataFrame
     met = postings.join(pivots, "token").select("node", "n", "group", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.group").alias("other"))
     counts = met.filter((F.col("group") != F.col("other")) & _near_in_size(percent)).groupBy("node", "n", "pivot").agg(F.count("*").alias("c"))
     best = counts.groupBy("node", "n").agg(F.max(F.struct("c", "pivot")).alias("best"))
-    return best.filter(F.col("best.c") * 2 >= _prefix(F.col("n"), percent)).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+    half = (_prefix(F.col("n"), percent) + _slack(F.col("n"), percent, SLACK[0])) / 2
+    return best.filter(F.col("best.c") >= half).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
 
-def _between_groups(sets: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different groups: every similar pair of those is among them.
+def _lookups(shared: DataFrame, percent: int, part: float) -> DataFrame:
+    """What is to be looked up of the ``shared`` postings of prefixes that are ``part`` longer.
 
-    With prefixes of n - needed + 1 + slack, a partner shares at least 1 + slack
-    of them, and so at least one of any n - needed + 1. The rarest are looked up;
-    tokens that no other group has are the rarest of all.
+    A partner shares at least 1 + slack tokens of such a prefix, and so at least
+    one of any that leaves out slack of them. The commonest are left out; tokens
+    that no other group has are not among ``shared`` and count as the rarest.
     """
-    active, out = _grouped(sets.select("node", "n", "tokens"), groups), None
-    for level, part in enumerate(SLACK):
-        length = F.least(F.col("n"), _prefix(F.col("n"), percent) + F.floor(F.col("n") * part))
-        sliced = active.select("node", "n", "group", F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("token"))
-        own = written(_shared(sliced), "shared")
-        # tokens to look up: as many as the shortest prefix has, less those of no other group
-        total = length - _prefix(F.col("n"), percent)
-        rarity = F.row_number().over(W.partitionBy("node").orderBy(F.desc("df"), "token"))
-        kept = own.withColumn("k", rarity).filter(F.col("k") > total).drop("k")
-        lookups = written(kept, "lookups")
-        if level + 1 < len(SLACK):
-            costs = lookups.groupBy("node").agg(F.sum("df").alias("cost"))
-            dear = written(costs.filter(F.col("cost") > COST).select("node"), "dear")
-            lookups = lookups.join(dear, "node", "left_anti")
-        else:
-            dear = None
-        index = own.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
-        met = lookups.join(index, "token").filter((F.col("group") != F.col("other")) & _near_in_size(percent))
-        pairs = written(met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct(), "candidates")
-        out = pairs if out is None else out.unionByName(pairs)
-        if dear is None or dear.isEmpty():
+    order = F.row_number().over(W.partitionBy("node").orderBy(F.desc("df"), "token"))
+    return shared.withColumn("k", order).filter(F.col("k") > _slack(F.col("n"), percent, part)).drop("k")
+
+
+def _meeting(lookups: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of different groups and near sizes that a lookup brings together."""
+    index = shared.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
+    met = lookups.join(index, "token").filter((F.col("group") != F.col("other")) & _near_in_size(percent))
+    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+
+
+class _Sets:
+    """Whole sets of chosen nodes, made from their texts when they are wanted."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> None:
+        self.docs, self.classes, self.words, self.percent = docs, classes, words, percent
+
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """node, n, tokens, written; ``nodes`` has a column node."""
+        chosen = written(self.classes.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "_id", F.col("high").alias("h"), F.col("low").alias("l")), "chosen")
+        texts = self.docs.select(_id_hash().alias("_id"), "text").join(_small(chosen), "_id")
+        sets = scanned(texts, self.words, self.percent, whole=True, keep=("node", "h", "l")).filter("h = high AND l = low")
+        # a node comes twice only if its row is repeated
+        return written(sets.select("node", "n", "tokens"), "sets").dropDuplicates(["node"])
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Those of the written, distinct ``pairs`` whose sets are similar, written."""
+        sets = self.of(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        return written(verified(pairs, sets, self.percent), "verified")
+
+
+def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, percent: int) -> DataFrame:
+    """Candidate pairs of different groups: every similar pair of those is among them.
+
+    Nodes whose lookups would bring over COST candidates meet the others through
+    these, and each other through longer prefixes.
+    """
+    own = written(_shared(_grouped(shared.select("node", "n", "token"), groups)), "shared")
+    lookups = written(_lookups(own, percent, SLACK[0]), "lookups")
+    out = None
+    for part in SLACK[1:]:
+        dear = written(lookups.groupBy("node").agg(F.sum("df").alias("cost")).filter(F.col("cost") > COST).select("node"), "dear")
+        if dear.isEmpty():
             break
-        active = active.join(dear, "node", "left_semi")
-    return out.distinct()
+        pairs = written(_meeting(lookups.join(dear, "node", "left_anti"), own, percent), "candidates")
+        out = pairs if out is None else out.unionByName(pairs)
+        length = _prefix(F.col("n"), percent) + _slack(F.col("n"), percent, part)
+        longer = sets.of(dear).select("node", "n", F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("token"))
+        own = written(_shared(_grouped(longer, groups)), "shared")
+        lookups = written(_lookups(own, percent, part), "lookups")
+    pairs = written(_meeting(lookups, own, percent), "candidates")
+    return pairs if out is None else written(out.unionByName(pairs).distinct(), "candidates")
 
 
 def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -219,27 +260,26 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """
     rows = written(scanned(docs, words, percent).withColumn("row", F.monotonically_increasing_id()), "prefixes")
     filled = rows.filter("n > 0")
-    classes = written(filled.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.first("n").alias("n")), "classes")
-    nodes = filled.select(F.col("row").alias("node"), "n", "tokens").join(classes.select("node"), "node", "left_semi")
-    postings = nodes.select("node", "n", F.explode("tokens").alias("token"))
+    first = F.min_by(F.struct(_id_hash().alias("_id"), "n"), "row").alias("first")
+    classes = filled.groupBy("high", "low").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.count("*").alias("rows"), first)
+    classes = written(classes.select("high", "low", "node", "least", "rows", "first.*"), "classes")
+    copies = classes.filter("rows > 1").select("high", "low", F.col("node").alias("kept"))
+    extra = written(filled.select("row", "high", "low").join(copies, ["high", "low"]).filter("row <> kept").select("row"), "copies")
+    nodes = filled.select("row", "n", "tokens").join(_small(extra), "row", "left_anti")
+    postings = nodes.select(F.col("row").alias("node"), "n", F.explode("tokens").alias("token"))
     often = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
-    shared = written(postings.join(often, "token").withColumn("group", F.col("node")), "postings")
-    # whole sets of those that share any token of their shortest prefix
-    suspects = filled.select(F.col("row").alias("node"), _id_hash().alias("_id"), F.col("high").alias("h"), F.col("low").alias("l")).join(shared.select("node").distinct(), "node", "left_semi")
-    again = docs.select(_id_hash().alias("_id"), "text").join(written(suspects, "suspects"), "_id").dropDuplicates(["_id", "node", "h", "l", "text"])
-    sets = scanned(again, words, percent, whole=True, keep=("node", "h", "l")).filter("h = high AND l = low").select("node", "n", "tokens")
-    sets = written(sets, "sets")
+    shared = written(postings.join(often, "token"), "postings")
+    sets = _Sets(docs, classes, words, percent)
 
     links, groups = None, None
     for k in range(PIVOTS):
-        postings = shared if k == 0 else written(_shared(_grouped(shared.drop("group"), groups)).drop("df"), "postings")
-        found = written(verified(_against_pivots(postings, percent, first=k == 0), sets, percent), "verified")
+        grouped = shared.withColumn("group", F.col("node")) if groups is None else written(_shared(_grouped(shared, groups)).drop("df"), "postings")
+        found = sets.verified(written(_against_pivots(grouped, percent, first=k == 0), "pivots"))
         links = found if links is None else links.unionByName(found)
         groups = components(links)
-    rest = written(verified(_between_groups(sets, groups, percent), sets, percent), "verified")
-    groups = components(links.unionByName(rest))
+    groups = components(links.unionByName(sets.verified(_between_groups(shared, groups, sets, percent))))
 
-    known = _grouped(classes.select("high", "low", "node", "least", "n"), groups)
+    known = _grouped(classes.select("high", "low", "node", "least"), groups)
     smallest = known.groupBy("group").agg(F.min("least").alias("component_id"))
     named = known.join(smallest, "group").select("high", "low", "node", "component_id")
     empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("node"))
@@ -248,7 +288,10 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each group: that with the smallest doc_id; rows without words all stay."""
+    """``docs`` with one row of each group: that with the smallest doc_id.
+
+    Rows without words all stay, and rows that share a doc_id stay or go together.
+    """
     found = ngram_join(docs, words, percent)
     out = found.filter((F.col("n_shingles") > 0) & F.col("component_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
     return docs.join(out, docs["doc_id"] == F.col("_id"), "left_anti").select(*docs.columns)
