@@ -7,8 +7,8 @@ candidates would cost much get longer prefixes, of which a partner must share
 more, so the commonest shingles of each need not be looked up.
 
 Links within a group that is already known tell nothing new. So each node is
-first held against one node that stands for those it shares most with, and from
-then on only candidates of different groups are looked for.
+first held against a few nodes that stand for those it shares most with, and
+from then on only candidates of different groups are looked for.
 """
 
 from __future__ import annotations
@@ -27,14 +27,20 @@ from pagewright.llm.shared import text_or_empty, written
 
 #: Hashes of so many words are kept by a Python worker.
 KEPT = 300_000
-#: Parts of a node's shingles by which its prefix is lengthened, in turn.
-SLACK = (1 / 8, 1 / 2)
-#: Candidates a node may have at one length; with more it gets a longer prefix, while there is one.
-COST = 500
+#: Part of a node's shingles by which its prefix is lengthened, so that as many of the commonest need no lookup.
+SLACK = 1 / 8
+#: Candidates a node may have so; with more, its prefix grows to its whole set.
+COST = 200
 #: Rows of a few longs up to which a side of a join is broadcast (about 32 bytes each).
 BROADCAST = 500_000
-#: Rounds against single nodes before the search between groups.
+#: Rounds in which nodes go whose own tokens, in whole sets, leave no room for a partner; others' tokens then become own.
+PRUNES = 3
+#: Rounds against pivots before the search between groups; nodes of a token for one pivot, and pivots a token at most.
 PIVOTS = 2
+PART, PARTS = 8, 8
+
+#: Columns of the parities: two sets differ in at least as many shingles as in parities.
+PARITY = ("s0", "s1", "s2", "s3")
 
 _KEPT: dict[bytes, int] = {}
 
@@ -86,29 +92,30 @@ def _scan(words: int, percent: int, whole: bool):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                sizes, high, low, prefixes = [], [], [], []
+                sizes, high, low, prefixes, parities = [], [], [], [], []
                 for text in part.column("text"):
                     own = shingles(text.as_py(), words)
                     digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
                     n = len(own)
                     sizes.append(n)
+                    parities.append(np.packbits(np.bincount(own & np.uint64(255), minlength=256).astype(np.uint8) & 1).view("<i8"))
                     high.append(int.from_bytes(digest[:8], "big", signed=True))
                     low.append(int.from_bytes(digest[8:], "big", signed=True))
-                    prefixes.append((own if whole else own[: n - needed(n, percent) + 1 + int(n * SLACK[0])]).view(np.int64))
+                    prefixes.append((own if whole else own[: n - needed(n, percent) + 1 + int(n * SLACK)]).view(np.int64))
                 kept = [name for name in part.schema.names if name != "text"]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(name) for name in kept), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                    names=[*kept, "high", "low", "n", "tokens"],
+                    [*(part.column(name) for name in kept), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), *(pa.array([x[k] for x in parities], pa.int64()) for k in range(4))],
+                    names=[*kept, "high", "low", "n", "tokens", *PARITY],
                 )
 
     return run
 
 
 def scanned(docs: DataFrame, words: int, percent: int, whole: bool = False, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Of each row ``keep``, a 128-bit digest of the set, its size, and its prefix (or the whole set)."""
+    """Of each row ``keep``, a 128-bit digest of the set, its size, its prefix (or the whole set), and for 256 parts of all hashes whether the set has an odd number of them."""
     rows = docs.select(*keep, text_or_empty().alias("text"))
     kinds = "".join(f"{name} {rows.schema[name].dataType.simpleString()}, " for name in keep)
-    return rows.mapInArrow(_scan(words, percent, whole), f"{kinds}high long, low long, n long, tokens array<long>")
+    return rows.mapInArrow(_scan(words, percent, whole), f"{kinds}high long, low long, n long, tokens array<long>, {', '.join(f'{c} long' for c in PARITY)}")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -174,32 +181,60 @@ def _shared(postings: DataFrame) -> DataFrame:
     return postings.join(tokens, "token")
 
 
-def _against_pivots(postings: DataFrame, percent: int, first: bool) -> DataFrame:
-    """For each node the one that it shares most tokens with, among the first (or last) nodes of its tokens, if that is half of its prefix."""
-    end = F.min if first else F.max
-    pivots = postings.groupBy("token").agg(end(F.struct("node", "n", "group")).alias("p"))
+def _against_pivots(postings: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs of each node and the pivots with which it shares half of its prefix.
+
+    A token's nodes fall into parts, one for each PART nodes and PARTS at most, and
+    the most central of a part, whose tokens most others have, is a pivot. A text
+    that many copies come from is nearer to them than they are to each other.
+    """
+    node = W.partitionBy("node")
+    parts = F.least(F.lit(PARTS), F.ceil(F.col("df") / PART))
+    length = _prefix(F.col("n"), percent) + _slack(F.col("n"), percent, SLACK)
+    ranked = postings.withColumns({"rank": F.sum("df").over(node) / length, "part": F.pmod(F.xxhash64("node", F.lit(turn)), parts)})
+    pivots = ranked.groupBy("token", "part").agg(F.max(F.struct("rank", "node", "n", "group")).alias("p")).select("token", "p")
     met = postings.join(pivots, "token").select("node", "n", "group", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.group").alias("other"))
     counts = met.filter((F.col("group") != F.col("other")) & _near_in_size(percent)).groupBy("node", "n", "pivot").agg(F.count("*").alias("c"))
-    best = counts.groupBy("node", "n").agg(F.max(F.struct("c", "pivot")).alias("best"))
-    half = (_prefix(F.col("n"), percent) + _slack(F.col("n"), percent, SLACK[0])) / 2
-    return best.filter(F.col("best.c") >= half).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+    pairs = counts.filter(F.col("c") * 2 >= length)
+    return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
 
+def _placed(shared: DataFrame, percent: int, part: float) -> DataFrame:
+    """``shared`` postings of prefixes that are ``part`` longer, with ``own``, the tokens of the prefix that no other group has, and ``k``, the place by falling frequency."""
+    node = W.partitionBy("node")
+    length = _prefix(F.col("n"), percent) + _slack(F.col("n"), percent, part)
+    return shared.withColumns({"own": length - F.count("*").over(node), "k": F.row_number().over(node.orderBy(F.desc("df"), "token"))})
 
-def _lookups(shared: DataFrame, percent: int, part: float) -> DataFrame:
-    """What is to be looked up of the ``shared`` postings of prefixes that are ``part`` longer.
+
+def _lookups(placed: DataFrame, percent: int, part: float) -> DataFrame:
+    """What is to be looked up of ``placed`` postings.
 
     A partner shares at least 1 + slack tokens of such a prefix, and so at least
     one of any that leaves out slack of them. The commonest are left out; tokens
-    that no other group has are not among ``shared`` and count as the rarest.
+    that no other group has are not among the postings and count as the rarest.
     """
-    order = F.row_number().over(W.partitionBy("node").orderBy(F.desc("df"), "token"))
-    return shared.withColumn("k", order).filter(F.col("k") > _slack(F.col("n"), percent, part)).drop("k")
+    return placed.filter(F.col("k") > _slack(F.col("n"), percent, part))
+
 
+def _whole_lookups(placed: DataFrame, percent: int) -> DataFrame:
+    """What is to be looked up of ``placed`` postings of whole sets for partners that are no smaller.
 
-def _meeting(lookups: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of different groups and near sizes that a lookup brings together."""
-    index = shared.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"))
-    met = lookups.join(index, "token").filter((F.col("group") != F.col("other")) & _near_in_size(percent))
+    Those share at least what two sets of this size must, so at least one of any
+    tokens that leave out one less than that.
+    """
+    equal = F.floor((F.col("n") * 2 * percent + 99 + percent) / (100 + percent))
+    return placed.filter(F.col("k") >= equal)
+
+
+def _meeting(lookups: DataFrame, placed: DataFrame, percent: int, upward: bool = False) -> DataFrame:
+    """Distinct pairs (a, b) of different groups that a lookup brings together, whose sizes, own tokens and parities leave room for the overlap that they need; ``upward``, only with sets no smaller."""
+    index = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"), F.col("own").alias("own_b"), *(F.col(c).alias(f"{c}_b") for c in PARITY))
+    need = (F.col("n") + F.col("m")) * percent
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in PARITY), F.lit(0))
+    like = (F.col("n") + F.col("m") - apart) * (100 + percent) >= need * 2
+    room = lambda n, own: (F.col(n) - F.col(own)) * (100 + percent) >= need
+    way = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") > F.col("node"))) if upward else F.lit(True)
+    met = lookups.join(index, "token").filter((F.col("group") != F.col("other")) & _near_in_size(percent) & room("n", "own") & room("m", "own_b") & way & like)
     return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
@@ -223,27 +258,26 @@ class _Sets:
         return written(verified(pairs, sets, self.percent), "verified")
 
 
-def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, percent: int) -> DataFrame:
+def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, parities: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of different groups: every similar pair of those is among them.
 
     Nodes whose lookups would bring over COST candidates meet the others through
-    these, and each other through longer prefixes.
+    these, and each other through their whole sets.
     """
-    own = written(_shared(_grouped(shared.select("node", "n", "token"), groups)), "shared")
-    lookups = written(_lookups(own, percent, SLACK[0]), "lookups")
-    out = None
-    for part in SLACK[1:]:
-        dear = written(lookups.groupBy("node").agg(F.sum("df").alias("cost")).filter(F.col("cost") > COST).select("node"), "dear")
-        if dear.isEmpty():
-            break
-        pairs = written(_meeting(lookups.join(dear, "node", "left_anti"), own, percent), "candidates")
-        out = pairs if out is None else out.unionByName(pairs)
-        length = _prefix(F.col("n"), percent) + _slack(F.col("n"), percent, part)
-        longer = sets.of(dear).select("node", "n", F.explode(F.slice("tokens", F.lit(1), length.cast("int"))).alias("token"))
-        own = written(_shared(_grouped(longer, groups)), "shared")
-        lookups = written(_lookups(own, percent, part), "lookups")
-    pairs = written(_meeting(lookups, own, percent), "candidates")
-    return pairs if out is None else written(out.unionByName(pairs).distinct(), "candidates")
+    placed = written(_placed(_shared(_grouped(shared.select("node", "n", "token"), groups)), percent, SLACK).join(parities, "node"), "placed")
+    lookups = _lookups(placed, percent, SLACK)
+    dear = written(lookups.groupBy("node").agg(F.sum("df").alias("cost")).filter(F.col("cost") > COST).select("node"), "dear")
+    pairs = written(_meeting(lookups.join(dear, "node", "left_anti"), placed, percent), "candidates")
+    if dear.isEmpty():
+        return pairs
+    longer = sets.of(dear).select("node", "n", F.explode("tokens").alias("token"))
+    placed = written(_placed(_shared(_grouped(longer, groups)), percent, 1.0), "placed")
+    for _ in range(PRUNES):
+        able = placed.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
+        placed = written(_placed(_shared(able.select("node", "n", "group", "token")), percent, 1.0), "placed")
+    placed = placed.join(parities, "node")
+    more = written(_meeting(_whole_lookups(placed, percent), placed, percent, upward=True), "candidates")
+    return written(pairs.unionByName(more).distinct(), "candidates")
 
 
 def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -267,17 +301,18 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     extra = written(filled.select("row", "high", "low").join(copies, ["high", "low"]).filter("row <> kept").select("row"), "copies")
     nodes = filled.select("row", "n", "tokens").join(_small(extra), "row", "left_anti")
     postings = nodes.select(F.col("row").alias("node"), "n", F.explode("tokens").alias("token"))
-    often = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1").select("token")
+    often = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = written(postings.join(often, "token"), "postings")
     sets = _Sets(docs, classes, words, percent)
+    parities = filled.select(F.col("row").alias("node"), *PARITY)
 
     links, groups = None, None
     for k in range(PIVOTS):
-        grouped = shared.withColumn("group", F.col("node")) if groups is None else written(_shared(_grouped(shared, groups)).drop("df"), "postings")
-        found = sets.verified(written(_against_pivots(grouped, percent, first=k == 0), "pivots"))
+        grouped = shared.withColumn("group", F.col("node")) if groups is None else written(_shared(_grouped(shared.drop("df"), groups)), "postings")
+        found = sets.verified(written(_against_pivots(grouped, percent, k), "pivots"))
         links = found if links is None else links.unionByName(found)
         groups = components(links)
-    groups = components(links.unionByName(sets.verified(_between_groups(shared, groups, sets, percent))))
+    groups = components(links.unionByName(sets.verified(_between_groups(shared, groups, sets, parities, percent))))
 
     known = _grouped(classes.select("high", "low", "node", "least"), groups)
     smallest = known.groupBy("group").agg(F.min("least").alias("component_id"))
@@ -293,5 +328,6 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> Data
     Rows without words all stay, and rows that share a doc_id stay or go together.
     """
     found = ngram_join(docs, words, percent)
-    out = found.filter((F.col("n_shingles") > 0) & F.col("component_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(out, docs["doc_id"] == F.col("_id"), "left_anti").select(*docs.columns)
+    later = (F.col("n_shingles") > 0) & F.col("component_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))
+    out = found.filter(later).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(out, docs["doc_id"] == out["__gone"], "left_anti").select(*docs.columns)
