@@ -226,15 +226,23 @@ def _whole_lookups(placed: DataFrame, percent: int) -> DataFrame:
     return placed.filter(F.col("k") >= equal)
 
 
-def _meeting(lookups: DataFrame, placed: DataFrame, percent: int, upward: bool = False) -> DataFrame:
-    """Distinct pairs (a, b) of different groups that a lookup brings together, whose sizes, own tokens and parities leave room for the overlap that they need; ``upward``, only with sets no smaller."""
-    index = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"), F.col("own").alias("own_b"), *(F.col(c).alias(f"{c}_b") for c in PARITY))
+def _meeting(lookups: DataFrame, placed: DataFrame, percent: int, whole: bool = False) -> DataFrame:
+    """Distinct pairs (a, b) of different groups that a lookup brings together, whose sizes, own tokens and parities leave room for the overlap that they need.
+
+    With ``whole`` sets only partners no smaller are wanted, and own tokens are in
+    no partner. Of prefixes that is known only where the partner's prefix ends no
+    earlier: else the partner may hold the token beyond its prefix.
+    """
+    index = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"), F.col("own").alias("own_b"), F.col("end").alias("end_b"), *(F.col(c).alias(f"{c}_b") for c in PARITY))
     need = (F.col("n") + F.col("m")) * percent
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in PARITY), F.lit(0))
     like = (F.col("n") + F.col("m") - apart) * (100 + percent) >= need * 2
     room = lambda n, own: (F.col(n) - F.col(own)) * (100 + percent) >= need
-    way = (F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") > F.col("node"))) if upward else F.lit(True)
-    met = lookups.join(index, "token").filter((F.col("group") != F.col("other")) & _near_in_size(percent) & room("n", "own") & room("m", "own_b") & way & like)
+    if whole:
+        fits = room("n", "own") & room("m", "own_b") & ((F.col("m") > F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("b") > F.col("node"))))
+    else:
+        fits = ((F.col("end") > F.col("end_b")) | room("n", "own")) & ((F.col("end_b") > F.col("end")) | room("m", "own_b"))
+    met = lookups.join(index, "token").filter((F.col("group") != F.col("other")) & _near_in_size(percent) & fits & like)
     return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
@@ -258,13 +266,14 @@ class _Sets:
         return written(verified(pairs, sets, self.percent), "verified")
 
 
-def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, parities: DataFrame, percent: int) -> DataFrame:
+def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, marks: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of different groups: every similar pair of those is among them.
 
+    ``marks`` has the parities and the prefix's end of each node.
     Nodes whose lookups would bring over COST candidates meet the others through
     these, and each other through their whole sets.
     """
-    placed = written(_placed(_shared(_grouped(shared.select("node", "n", "token"), groups)), percent, SLACK).join(parities, "node"), "placed")
+    placed = written(_placed(_shared(_grouped(shared.select("node", "n", "token"), groups)), percent, SLACK).join(marks, "node"), "placed")
     lookups = _lookups(placed, percent, SLACK)
     dear = written(lookups.groupBy("node").agg(F.sum("df").alias("cost")).filter(F.col("cost") > COST).select("node"), "dear")
     pairs = written(_meeting(lookups.join(dear, "node", "left_anti"), placed, percent), "candidates")
@@ -275,8 +284,8 @@ def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, pa
     for _ in range(PRUNES):
         able = placed.filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
         placed = written(_placed(_shared(able.select("node", "n", "group", "token")), percent, 1.0), "placed")
-    placed = placed.join(parities, "node")
-    more = written(_meeting(_whole_lookups(placed, percent), placed, percent, upward=True), "candidates")
+    placed = placed.join(marks, "node")
+    more = written(_meeting(_whole_lookups(placed, percent), placed, percent, whole=True), "candidates")
     return written(pairs.unionByName(more).distinct(), "candidates")
 
 
@@ -304,7 +313,8 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     often = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = written(postings.join(often, "token"), "postings")
     sets = _Sets(docs, classes, words, percent)
-    parities = filled.select(F.col("row").alias("node"), *PARITY)
+    end = F.element_at("tokens", -1).bitwiseXOR(F.lit(-(1 << 63)))  # signed as tokens are ordered
+    marks = filled.select(F.col("row").alias("node"), *PARITY, end.alias("end"))
 
     links, groups = None, None
     for k in range(PIVOTS):
@@ -312,7 +322,7 @@ def ngram_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
         found = sets.verified(written(_against_pivots(grouped, percent, k), "pivots"))
         links = found if links is None else links.unionByName(found)
         groups = components(links)
-    groups = components(links.unionByName(sets.verified(_between_groups(shared, groups, sets, parities, percent))))
+    groups = components(links.unionByName(sets.verified(_between_groups(shared, groups, sets, marks, percent))))
 
     known = _grouped(classes.select("high", "low", "node", "least"), groups)
     smallest = known.groupBy("group").agg(F.min("least").alias("component_id"))

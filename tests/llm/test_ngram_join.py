@@ -75,6 +75,16 @@ def test_crowds_lose_no_link(spark, monkeypatch):
         check(frame(spark, rows), rows)
 
 
+def test_growing_versions_meet_without_pivots(spark, monkeypatch):
+    real = J._against_pivots
+    monkeypatch.setattr(J, "_against_pivots", lambda *a: real(*a).limit(0))
+    rows = []
+    for k in range(60):  # the later version has the earlier one in it, and as many more shingles as 85% allows, or one too many
+        text = words(5000 + k, 122, 10**9)
+        rows += [(2 * k, " ".join(text[:103]), "en", "a"), (2 * k + 1, " ".join(text[: 121 if k % 10 == 0 else 120 - k % 4]), "en", "a")]
+    check(frame(spark, rows), rows)
+
+
 def test_shuffled_joins_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(J, "BROADCAST", 0)
     rows = crowd(4, 150)
