@@ -1,17 +1,20 @@
 """Personal data by fixed forms, and by contexts that the found ones teach.
 
-What the four base forms match seeds a graph of patterns (the word shapes
-around an identifier) and instances (tokens that look like identifiers).
-Confidence flows between the two over a few rounds of joins; patterns that
-keep company mostly with known identifiers then add spans of their own.
+What the four base forms match seeds a graph of patterns (the words on the
+left, on the right or on both sides of an identifier) and instances (what looks
+like an identifier). Belief flows between the two by rounds of joins, until no
+further pattern is known; patterns that keep company mostly with believed
+identifiers add spans of their own.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +22,11 @@ from pagewright.llm.shared import text_or_empty, written
 
 #: Kinds in the order in which spans that start together are listed; added spans come last.
 KINDS = ("email", "ip", "card", "phone", "context")
-ROUNDS = 3
-#: A pattern adds spans from this confidence and this many distinct known identifiers on.
+#: A pattern is known from this confidence and this support by distinct believed identifiers on.
 CONFIDENCE = 0.9
 SUPPORT = 3
-#: Longer tokens are no identifiers.
-LONGEST = 64
+#: Shorter tokens, and shorter runs of tokens, are no identifiers.
+SHORTEST = 6
 
 # fixed values: the base forms
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -34,8 +36,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGITS = re.compile(r"[0-9]").search
-_TOKEN = re.compile(r"[^\s]+")
-_TRIM = ".,;:!?\"'()[]{}<>|#$%&*"
+_TOKEN = re.compile(r"[^\s=]+=*(?=\s|$)|[^\s=]+|=+")
+_TRIM = ".,;:!?\"'()[]{}<>|#$%&*="
 
 
 def luhn(digits: str) -> bool:
@@ -78,57 +80,118 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def shape(token: str) -> str:
-    """The form of a token: runs of digits as 9 with their length up to 4, of letters as a or A, other signs as they are."""
-    out = []
-    for run in re.findall(r"[0-9]+|[^\W\d_]+|.", token):
-        if run[0].isdigit():
-            out.append("9" * min(len(run), 4))
-        elif run[0].isalpha():
-            out.append("A" if run.isupper() else "a")
-        else:
-            out.append(run)
-    return "".join(out)[:24]
+def _pattern(kind: str, *words: str) -> int | None:
+    """A hash of the words of a context; none, where there are none."""
+    return xxhash.xxh64_intdigest("\0".join((kind, *words))) - (1 << 63) if any(words) else None
+
+
+def _word(token: str) -> str:
+    return re.sub(r"[0-9]", "9", (token.strip(_TRIM) or token).lower())
+
+
+class _Candidates:
+    """Identifiers of one text, known or likely, with their contexts."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.found = text, []
+        self.tokens = [m.span() for m in _TOKEN.finditer(text)]
+        self.words = [_word(text[s:e]) for s, e in self.tokens]
+
+    def add(self, start: int, end: int, first: int, last: int, run: int, whole: bool, kind: str) -> None:
+        """Adds text[start:end], which lies in the tokens first to last."""
+        text, words = self.text[start:end], self.words
+        form = "@" if "@" in text else "9"
+        left = [words[k] if k >= 0 else "" for k in (first - 2, first - 1)]
+        right = [words[k] if k < len(words) else "" for k in (last + 1, last + 2)]
+        # what a token has beside a base match is its nearest context
+        head, tail = self.text[self.tokens[first][0] : start].strip(_TRIM), self.text[end : self.tokens[last][1]].strip(_TRIM)
+        if head:
+            left = [left[1], _word(head)]
+        if tail:
+            right = [_word(tail), right[0]]
+        patterns = {_pattern(f"l{form}", *left), _pattern(f"r{form}", *right), _pattern(f"b{form}", left[1], right[0])} - {None}
+        if patterns:
+            self.found.append((start, end, run, whole, sorted(patterns), xxhash.xxh64_intdigest(text) - (1 << 63), kind))
 
+    def add_run(self, cores: list[tuple[int, int, int]]) -> None:
+        """Adds neighbouring tokens (number, start, end), each and as a whole."""
+        run = cores[0][1]
+        if len(cores) > 1 and cores[-1][2] - run >= SHORTEST:
+            self.add(run, cores[-1][2], cores[0][0], cores[-1][0], run, True, "")
+        for k, start, end in cores:
+            if end - start >= SHORTEST and _like(self.text[start:end]):
+                self.add(start, end, k, k, run, len(cores) == 1, "")
 
-def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str, str, str]]:
-    """Tokens that look like identifiers, and base spans: start, end, pattern, instance, the base kind or ""."""
-    if not _DIGITS(text) and "@" not in text:
+
+def _like(core: str) -> bool:
+    return bool(_DIGITS(core)) or "@" in core
+
+
+def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, bool, list[int], int, str]]:
+    """Base spans, and what looks like an identifier: start, end, its run, whether it is all of the run, patterns, instance, the base kind or "".
+
+    Tokens with a digit or an at sign look like identifiers, and so do runs of them
+    that only white space parts, with words in capitals between two of them.
+    """
+    if not _like(text):
         return []
-    found, k = [], 0
-    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
-    ends = [s[2] for s in spans]
-    before = ""
-    taken = 0
-    for start, end in tokens:
+    own = _Candidates(text)
+    tokens, k, j, taken = own.tokens, 0, 0, 0
+    for kind, s, e in spans:
+        if s >= taken:
+            while tokens[k][1] <= s:
+                k += 1
+            j = max(j, k)
+            while tokens[j][1] < e:
+                j += 1
+            own.add(s, e, k, j, s, True, kind)
+            taken = e
+    k, run, caps = 0, [], []
+    ends = list(accumulate((e for _, _, e in spans), max))
+    for i, (start, end) in enumerate(tokens):
         while k < len(spans) and ends[k] <= start:
             k += 1
         token = text[start:end]
-        if k < len(spans) and spans[k][1] < end:
-            kind, s, e = spans[k]
-            if s >= taken:
-                found.append((s, e, f"{before}\x00{shape(text[s:e])}", text[s:e], kind))
-                taken = e
-        elif start >= taken:
-            core = token.strip(_TRIM)
-            if 6 <= len(core) <= LONGEST and (_DIGITS(core) or "@" in core) and sum(c.isdigit() for c in core) * 2 >= len(core):
-                s = start + token.index(core)
-                found.append((s, s + len(core), f"{before}\x00{shape(core)}", core, ""))
-        before = re.sub(r"[0-9]", "9", token.strip(_TRIM).lower())[:16]
-    return found
+        core = token.strip(_TRIM)
+        s = start + token.find(core)
+        if run and s > start:  # a sign before it
+            own.add_run(run)
+            run, caps = [], []
+        if core and not (k < len(spans) and spans[k][1] < end):
+            if _like(core):
+                run, caps = [*run, *caps, (i, s, s + len(core))] if caps else run, []
+                if not run or run[-1][0] != i:
+                    run.append((i, s, s + len(core)))
+            elif run and core.isupper():
+                caps.append((i, s, s + len(core)))
+            elif run:
+                own.add_run(run)
+                run, caps = [], []
+            if run and s + len(core) < end:  # a sign after it
+                own.add_run(run)
+                run, caps = [], []
+        elif run:
+            own.add_run(run)
+            run, caps = [], []
+    if run:
+        own.add_run(run)
+    return own.found
+
+
+_NEAR = [("start", pa.int64()), ("end", pa.int64()), ("run", pa.int64()), ("whole", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("instance", pa.int64()), ("kind", pa.string())]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    near = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("pattern", pa.string()), ("instance", pa.string()), ("kind", pa.string())]))
+    names = [name for name, _ in _NEAR]
     for batch in batches:
         base, more = [], []
         for text in batch.column("text"):
             t = text.as_py()
             found = base_spans(t)
             base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
-            more.append([{"start": s, "end": e, "pattern": p, "instance": i, "kind": k} for s, e, p, i, k in candidates(t, found)])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(base, span), pa.array(more, near)], names=["doc_id", "row", "base", "near"])
+            more.append([dict(zip(names, c, strict=True)) for c in candidates(t, found)])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(base, span), pa.array(more, pa.list_(pa.struct(_NEAR)))], names=["doc_id", "row", "base", "near"])
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -138,28 +201,36 @@ def scan(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(
         _scan,
         f"doc_id {kind}, row long, base array<struct<kind:string,start:long,end:long>>,"
-        " near array<struct<start:long,end:long,pattern:string,instance:string,kind:string>>",
+        " near array<struct<start:long,end:long,run:long,whole:boolean,patterns:array<long>,instance:long,kind:string>>",
     )
 
 
-def learn_patterns(found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Confidence of each pattern, from rounds between patterns and instances: pattern, confidence, support.
+def learn_patterns(found: DataFrame) -> DataFrame:
+    """The patterns that are known for identifiers: pattern, confidence, support.
 
-    A pattern is as sure as its instances are on average, each counted once; an
-    instance that is no base match is as sure as the best of the patterns that
-    hold it. Only what shares a pattern with a base match takes part.
+    Base matches are believed from the start. A pattern's support is the sum of
+    its instances' beliefs, each counted once, and its confidence their average.
+    From CONFIDENCE and SUPPORT on it is known, and its other instances are
+    believed as much as it was then, so that they can make further patterns
+    known. Rounds go on until one makes no pattern known.
     """
-    edges = written(found.select(F.explode("near").alias("n")).select("n.pattern", "n.instance", (F.col("n.kind") != "").alias("seed")).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    belief = F.col("seed").cast("double")
-    patterns = None
-    for _ in range(rounds):
-        if patterns is not None:
-            known = edges.join(patterns.filter("confidence > 0.5").select("pattern", "confidence"), "pattern").groupBy("instance").agg(F.max("confidence").alias("best"))
-            scored = edges.join(known, "instance", "left").withColumn("belief", F.greatest(belief, F.coalesce("best", F.lit(0.0))))
-        else:
-            scored = edges.withColumn("belief", belief)
-        patterns = written(scored.groupBy("pattern").agg(F.avg("belief").alias("confidence"), F.sum(F.col("seed").cast("int")).alias("support")).filter("support > 0"), "patterns")
-    return patterns
+    near = found.select(F.explode("near").alias("n")).select("n.instance", (F.col("n.kind") != "").alias("seed"), F.explode("n.patterns").alias("pattern"))
+    edges = near.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    edges = written(edges, "edges")
+    beliefs = written(edges.filter("seed").select("instance", F.lit(1.0).alias("belief")).distinct(), "beliefs")
+    # no belief is over 1, so patterns of fewer instances never have the support
+    sizes = edges.groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT)
+    edges = written(edges.join(sizes, "pattern").select("pattern", "instance", "n"), "edges")
+    known = None
+    while True:
+        scored = edges.join(beliefs, "instance").groupBy("pattern").agg(F.sum("belief").alias("support"), F.first("n").alias("n"))
+        good = scored.select("pattern", (F.col("support") / F.col("n")).alias("confidence"), "support").filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
+        fresh = written(good if known is None else good.join(known, "pattern", "left_anti"), "patterns")
+        known = fresh if known is None else known.unionByName(fresh)
+        if fresh.isEmpty():
+            return known
+        learned = edges.join(fresh, "pattern").groupBy("instance").agg(F.max("confidence").alias("belief"))
+        beliefs = written(beliefs.unionByName(learned).groupBy("instance").agg(F.max("belief").alias("belief")), "beliefs")
 
 
 def _listed(spans: str) -> Column:
@@ -171,17 +242,19 @@ def _listed(spans: str) -> Column:
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """The personal data of every row of ``docs``; a null text is empty and has none.
 
-    Base spans always stay. A token that looks like an identifier and lies in a
-    context that is known for them (confidence of at least CONFIDENCE from at
-    least SUPPORT base matches) adds a span of kind ``context``. Repeated rows each
-    get a row; other columns are not read; an empty table gives an empty result.
+    Base spans always stay. What looks like an identifier and lies in a known
+    context (see learn_patterns) adds a span of kind ``context``; of a run of
+    tokens, the whole if it does, else those of its tokens that do. Repeated rows
+    each get a row; other columns are not read; an empty table gives an empty result.
 
     Returns doc_id, n_email, n_ip, n_card, n_phone, n_context, base_sha256, spans.
     """
     found = written(scan(docs), "found")
-    good = learn_patterns(found).filter((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT)).select("pattern")
-    fresh = found.select("row", F.explode("near").alias("n")).filter("n.kind = ''").select("row", "n.*").join(good, "pattern", "left_semi")
-    added = fresh.groupBy("row").agg(F.collect_list(F.struct(F.lit("context").alias("kind"), "start", "end")).alias("added"))
+    good = learn_patterns(found).select("pattern")
+    fresh = found.select("row", F.explode("near").alias("n")).filter("n.kind = ''").select("row", "n.*").withColumn("pattern", F.explode("patterns")).join(good, "pattern", "left_semi")
+    runs = fresh.groupBy("row", "run").agg(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end", "whole")).alias("all"))
+    spans = runs.select("row", F.expr("transform(filter(all, s -> s.whole OR NOT exists(all, t -> t.whole)), s -> struct(s.kind, s.start, s.end))").alias("spans"))
+    added = spans.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("added"))
     rows = found.drop("near").join(added, "row", "left").withColumn("all", F.expr("concat(base, coalesce(added, array()))"))
     count = {f"n_{k}": F.expr(f"CAST(size(filter(all, s -> s.kind = '{k}')) AS long)") for k in KINDS}
     return rows.select("doc_id", *(c.alias(n) for n, c in count.items()), F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("all").alias("spans"))

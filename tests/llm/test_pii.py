@@ -5,7 +5,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm.pii import KINDS, base_spans, find_personal_data, luhn, redact
+from pagewright.llm.pii import KINDS, base_spans, candidates, find_personal_data, luhn, redact
 from pagewright.llm.shared import documents
 from tests.llm.conftest import frame, messy_rows
 
@@ -78,6 +78,36 @@ def test_known_contexts_reveal_more(spark):
     assert got[101]["n_context"] == 0 and got[102]["n_context"] == 0
 
 
+def test_found_instances_make_further_contexts_known(spark):
+    """Account numbers among cards teach a context without any base match, and that one reveals further ones of other forms."""
+    rnd = random.Random(10)
+    accounts = [f"AC{k}-{rnd.randrange(10**6):06}-xk" for k in range(20)]
+    rows = [(k, f"we charged card {card(rnd)} for item {'abcdefg'[k % 7]}", "en", "a") for k in range(400)]
+    rows += [(1000 + k, f"we charged card {a} in week {'abcdefg'[k % 7]}", "en", "a") for k, a in enumerate(accounts)]
+    rows += [(2000 + k, f"the member number {a} joined", "en", "a") for k, a in enumerate(accounts)]
+    other = "GB29 NWBK 6016 1331 9268 19"
+    long = "zk" + "9abcdef" * 20
+    rows += [(3000, f"the member number {other} joined", "en", "a"), (3001, f"the lot number {accounts[0]} failed", "en", "a"), (3002, f"we charged card {long} today", "en", "a")]
+    got = {r["doc_id"]: r for r in check(frame(spark, rows), rows)}
+    assert got[1000]["spans"] == f"context:16:{16 + len(accounts[0])}"
+    assert got[2000]["spans"] == f"context:18:{18 + len(accounts[0])}"
+    assert got[3000]["spans"] == f"context:18:{18 + len(other)}"
+    assert got[3001]["n_context"] == 0
+    assert got[3002]["spans"] == f"context:16:{16 + len(long)}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a9A.@= ,\n1", max_size=40))
+def test_candidates_lie_in_the_text_and_apart(text):
+    spans = base_spans(text)
+    found = candidates(text, spans)
+    for s, e, run, whole, patterns, _, kind in found:
+        assert 0 <= s < e <= len(text) and patterns and run <= s
+        assert kind or not any(s < b and a < e for _, a, b in spans)
+    whole = sorted((s, e) for s, e, _, w, *_ in found if w)
+    assert all(a[1] <= b[0] for a, b in zip(whole, whole[1:]))
+
+
 def test_redaction_covers_the_spans(spark):
     docs = frame(spark, [(1, "mail a.b@c.org or +1 (741) 555-3069!", "en", "a"), (2, None, "en", "a"), (3, "clean", "en", "a")])
     out = {r["doc_id"]: r["text"] for r in redact(docs, find_personal_data(docs)).collect()}
