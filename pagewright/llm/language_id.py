@@ -33,8 +33,11 @@ GRAMS = 2_000_000
 WORDS = 400_000
 #: Longer runs of letters are scored in parts of this length.
 LONGEST = 40
-#: A document is rejected beyond so many standard deviations of its language's cross-entropy.
-REJECT_Z = 15.0
+#: A text is rejected if its cross-entropy is over this quantile of its language's, for passages of its length.
+QUANTILE = 0.999
+#: Lengths, in characters, at which that is calibrated; passages of each that a document gives at most.
+BANDS = np.unique((2 * 1.5 ** np.arange(22)).astype(int))
+PASSAGES = 4
 
 EDGE = 1
 _LETTERS = re.compile(r"[^\W\d_]+").findall
@@ -141,9 +144,8 @@ class Model:
     contexts: list[np.ndarray] = field(default_factory=list)
     backoff: list[np.ndarray] = field(default_factory=list)
     floor: float = 1e-6
-    mean: float = 0.0
-    spread: float = 1.0
-    per_letter: float = 1.0
+    #: The highest usual cross-entropy at each of BANDS; without calibration nothing is unusual.
+    highest: np.ndarray = field(default_factory=lambda: np.full(len(BANDS), np.inf))
 
 
 def _model(k: np.ndarray, gram: np.ndarray, context: np.ndarray, value: np.ndarray, order: int) -> Model:
@@ -243,7 +245,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, calibrate: int = CALIBRATE)
     """Models of all languages of ``labelled`` (doc_id, text, lang).
 
     About ``sample`` documents a language are learned from and ``calibrate`` more
-    set its mean and spread of cross-entropy; a hash of doc_id picks them, and
+    set its highest usual cross-entropy for each length; a hash of doc_id picks them, and
     they are taken whole. Null texts and null languages are left out.
     """
     rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
@@ -266,21 +268,54 @@ def train(labelled: DataFrame, sample: int = SAMPLE, calibrate: int = CALIBRATE)
         own = table[table["lang"] == lang]
         models.append(_model(own["k"].to_numpy(), own["gram"].to_numpy(), own["context"].to_numpy(), own["value"].to_numpy(), ORDER))
     out = LanguageModels(languages, models)
-    scored = score(picked.filter(~F.col("learns")).select("doc_id", "text", "lang"), out, keep="lang").filter("lang = lang_pred and characters > 0")
-    away = F.col("bits") - F.avg("bits").over(W.partitionBy("lang"))
-    spread = scored.withColumn("away", away).groupBy("lang").agg(F.avg("bits").alias("mean"), F.stddev("bits").alias("sd"), F.avg(F.col("away") * F.col("away") * F.col("characters")).alias("scaled"))
-    for r in spread.collect():
-        model = models[languages.index(r["lang"])]
-        # the part of the variance that falls as 1 / length stands for short texts
-        model.mean, model.spread, model.per_letter = r["mean"], max(r["sd"] or 0.0, 0.02), math.sqrt(max(r["scaled"] or 0.0, 1.0))
+    passages = _passages(picked.filter(~F.col("learns")).select("lang", "text"), out)
+    bounds = passages.groupBy("lang", "band").agg(F.percentile("bits", F.lit(QUANTILE)).alias("high"), F.percentile("bits", F.lit(0.5)).alias("usual"), F.sum("first").alias("docs"))
+    for r in bounds.collect():
+        # the highest of few documents is below the quantile of many
+        models[languages.index(r["lang"])].highest[r["band"]] = r["high"] + 2 / math.sqrt(r["docs"]) * max(r["high"] - r["usual"], 1.0)
+    for model in models:
+        for k in range(1, len(BANDS)):  # longer than all that was calibrated
+            if math.isinf(model.highest[k]):
+                model.highest[k] = model.highest[k - 1]
     return out
 
 
-def _z(fitted: LanguageModels, entropy: np.ndarray, characters: np.ndarray) -> np.ndarray:
-    """How far the best language's cross-entropy lies over what is usual for it, in deviations at that length."""
+def _passages(docs: DataFrame, fitted: LanguageModels) -> DataFrame:
+    """Of documents (lang, text) that their own model fits best, passages of each of BANDS: lang, band, bits a character, and 1 for a document's first of the band, else 0."""
+    sent = docs.sparkSession.sparkContext.broadcast(fitted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models: LanguageModels = sent.value
+        scorer = Scorer(models.models)
+        for batch in batches:
+            rows = []
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                entropy, characters = scorer([text])
+                own = models.languages.index(lang)
+                if not characters[0] or entropy[0].argmin() != own:
+                    continue
+                words = words_of(text)
+                bits = np.concatenate([[0.0], np.cumsum(scorer.table[[scorer.kept[w] for w in words], own])])
+                size = np.concatenate([[0], np.cumsum([len(w) + 1 for w in words])])
+                for band, length in enumerate(BANDS):
+                    last = np.searchsorted(size, size[-1] - length, "right") - 1  # the last word that so many characters follow from
+                    if last < 0:
+                        break
+                    starts = np.unique(np.linspace(0, last, PASSAGES).astype(int))
+                    ends = np.searchsorted(size, size[starts] + length)
+                    passed = (bits[ends] - bits[starts]) / (size[ends] - size[starts])
+                    rows += [(lang, band, x, int(not k)) for k, x in enumerate(passed.tolist())]
+            columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.float64(), pa.int32()), strict=True)], names=["lang", "band", "bits", "first"])
+
+    return docs.mapInArrow(run, "lang string, band int, bits double, first int")
+
+
+def _excess(fitted: LanguageModels, entropy: np.ndarray, characters: np.ndarray) -> np.ndarray:
+    """Bits a character by which the best language's cross-entropy lies over the highest that is usual for it at that length."""
     best = entropy.argmin(axis=1)
-    mean, sd, short = (np.array([getattr(m, a) for m in fitted.models])[best] for a in ("mean", "spread", "per_letter"))
-    return (entropy.min(axis=1) - mean) / np.sqrt(sd**2 + short**2 / np.maximum(characters, 1))
+    band = np.maximum(np.searchsorted(BANDS, characters, "right") - 1, 0)
+    return entropy.min(axis=1) - np.stack([m.highest for m in fitted.models])[best, band]
 
 
 def _scoring(sent):
@@ -292,7 +327,7 @@ def _scoring(sent):
                 batch = whole.slice(at, 500)
                 texts = batch.column("text").to_pylist()
                 n = len(texts)
-                pred, bits, confidence, z, characters = ["und"] * n, np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+                pred, bits, confidence, excess, characters = ["und"] * n, np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
                 if fitted.models:
                     entropy, characters = scorer(texts)
                     best = entropy.argmin(axis=1)
@@ -300,23 +335,23 @@ def _scoring(sent):
                     # the posterior of the best language, by a length that grows slower than the text
                     gap = (entropy - bits[:, None]) * np.sqrt(np.maximum(characters, 1))[:, None]
                     confidence = 1 / np.exp2(-np.minimum(gap, 500)).sum(axis=1)
-                    z = _z(fitted, entropy, characters)
+                    excess = _excess(fitted, entropy, characters)
                     pred = [fitted.languages[b] if c else "und" for b, c in zip(best, characters, strict=True)]
                     confidence = np.where(characters > 0, confidence, 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "text"), pa.array(pred, pa.string()), pa.array(confidence), pa.array(bits), pa.array(characters), pa.array(z)],
-                    names=[*(x for x in batch.schema.names if x != "text"), "lang_pred", "score", "bits", "characters", "z"],
+                    [*(batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != "text"), pa.array(pred, pa.string()), pa.array(confidence), pa.array(bits), pa.array(characters), pa.array(excess)],
+                    names=[*(x for x in batch.schema.names if x != "text"), "lang_pred", "score", "bits", "characters", "excess"],
                 )
 
     return run
 
 
 def score(docs: DataFrame, fitted: LanguageModels, keep: str | None = None) -> DataFrame:
-    """doc_id (and ``keep``), lang_pred, score, bits a character, characters, z of each row, from its text alone."""
+    """doc_id (and ``keep``), lang_pred, score, bits a character, characters, excess of each row, from its text alone."""
     rows = docs.select("doc_id", *([keep] if keep else []), text_or_empty().alias("text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
     sent = docs.sparkSession.sparkContext.broadcast(fitted)
-    return rows.mapInArrow(_scoring(sent), f"{kinds}, lang_pred string, score double, bits double, characters double, z double")
+    return rows.mapInArrow(_scoring(sent), f"{kinds}, lang_pred string, score double, bits double, characters double, excess double")
 
 
 def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
@@ -325,15 +360,15 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     Models learn from ``labelled``, or else from the rows of ``docs`` with a
     non-null lang whose ``fold`` is not 1. ``score`` is the posterior of the
     language, 0 for ``und``: a null text, one without letters, or nothing to learn
-    from. ``rejected`` marks ``und`` and texts whose cross-entropy lies over
-    REJECT_Z deviations above their language's mean (wider for short texts).
+    from. ``rejected`` marks ``und`` and texts whose cross-entropy lies over the
+    QUANTILE of what passages of their length have in held-out documents of their language.
     Repeated rows each get a row; other columns are not read.
 
     Returns doc_id, held_out, lang_pred, score, bits, rejected.
     """
     fitted = train(docs.filter(fold() != 1) if labelled is None else labelled)
     scored = score(docs, fitted)
-    rejected = (F.col("lang_pred") == "und") | (F.col("z") > REJECT_Z)
+    rejected = (F.col("lang_pred") == "und") | (F.col("excess") > 0)
     return scored.select("doc_id", (fold() == 1).alias("held_out"), "lang_pred", "score", "bits", rejected.alias("rejected"))
 
 
@@ -347,7 +382,7 @@ def _accepting(sent):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 if fitted.models:
                     entropy, characters = scorer(texts)
-                    keep = (characters > 0) & (_z(fitted, entropy, characters) <= REJECT_Z)
+                    keep = (characters > 0) & (_excess(fitted, entropy, characters) <= 0)
                     batch = batch.filter(pa.array(keep))
                 yield batch
 

@@ -80,6 +80,31 @@ def test_noise_is_rejected_and_prose_kept(spark):
     assert not any(i >= 10_000 for i in left) and len(left) >= 0.98 * docs.count()
 
 
+FOREIGN = {
+    "pl": "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa",
+    "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä",
+    "tr": "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler",
+}
+
+
+def test_foreign_passages_and_common_letters_are_rejected(spark):
+    """Texts of 5 to 50 words in no learned language go, and parts of documents of the same lengths stay."""
+    docs = documents(spark, "/root/testdata/sf0.01").filter("lang IS NOT NULL").select("doc_id", "text", "lang", "source")
+    rnd = random.Random(4)
+    rows, odd = [], 10**9
+    for n in (5, 10, 20, 50):
+        rows += [(odd + 100 * n + k, " ".join("".join(rnd.choices("etaoinshrdlu", k=rnd.randint(3, 9))) for _ in range(n)), None, "s") for k in range(25)]
+        rows += [(odd + 100 * n + 50 + k, " ".join((t.split() * 3)[:n]), None, "s") for k, t in enumerate(FOREIGN.values())]
+    parts = docs.orderBy("doc_id").limit(400).collect()
+    rows += [(2 * odd + k, " ".join(r["text"].split()[: (5, 10, 20, 50)[k % 4]]), None, "s") for k, r in enumerate(parts) if r["text"]]
+    got = {r["doc_id"]: r["rejected"] for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), docs).collect()}
+    gone = {n: [x for i, x in got.items() if i < 2 * odd and (i - odd) // 100 == n] for n in (5, 10, 20, 50)}
+    share = {n: sum(x) / len(x) for n, x in gone.items()}
+    kept = [not x for i, x in got.items() if i >= 2 * odd]
+    assert share[50] == 1 and share[20] == 1 and share[10] >= 0.95 and share[5] >= 0.8
+    assert sum(kept) >= 0.98 * len(kept)
+
+
 def test_nothing_to_read_or_learn_from(spark, nothing):
     assert identify(nothing).count() == 0 and accepted(nothing).count() == 0
     bare = frame(spark, [(1, "some text", None, "a")])
