@@ -111,8 +111,8 @@ def raw_size(width: Column, height: Column, rotation: Column) -> Column:
 
 
 def cached_rotation(applied: Column) -> Column:
-    """Rotation of the first cached transform that has one."""
-    return F.get(F.filter(applied, lambda t: t["rotation"].isNotNull()), F.lit(0))["rotation"]
+    """Rotation of the first cached transform (a map of names to JSON texts) that has the name rotation, be it null."""
+    return F.get(F.filter(applied, lambda t: F.map_contains_key(t, "rotation")), F.lit(0))["rotation"].try_cast("int")
 
 
 def corners(bbox: Column) -> Column:
@@ -167,6 +167,11 @@ def fitted(width: Column, height: Column, room_width: Column, room_height: Colum
     return F.greatest(F.lit(0.1), F.least(F.lit(10.0), room_width / width, room_height / height))
 
 
+def fitted_width(width: Column, room_width: Column) -> Column:
+    """The zoom at which an image is as wide as a room."""
+    return F.greatest(F.lit(0.1), F.least(F.lit(10.0), room_width / width))
+
+
 def nudged(text: Column, blank: Column, by_text: float, by_blank: float) -> Column:
     """Thresholds moved within 0 to 1, as a struct; unchanged unless the one for text stays above the one for blank."""
     t = F.least(F.lit(1.0), F.greatest(F.lit(0.0), text + by_text))
@@ -176,3 +181,25 @@ def nudged(text: Column, blank: Column, by_text: float, by_blank: float) -> Colu
 
 def short_id(c: Column) -> Column:
     return F.concat(F.substring(c, 1, 8), F.lit("..."))
+
+
+def box_text(bbox: Column) -> Column:
+    """[x0, y0, x1, y1] in whole pixels, halves to even; '' without four numbers."""
+    whole = F.transform(bbox, lambda v: F.when((F.rint(v) == 0) & (v < 0), "-0").otherwise(F.rint(v).cast("long").cast("string")))
+    return F.when(F.size(bbox) == 4, F.concat(F.lit("["), F.array_join(whole, ", "), F.lit("]"))).otherwise("")
+
+
+def confidence_text(confidence: Column) -> Column:
+    """Three decimals, halves of the shortest decimal text to even; nothing known counts as 0."""
+    return F.format_string("%.3f", F.bround(F.coalesce(confidence, F.lit(0.0)), 3))
+
+
+def image_format(extension: Column) -> Column:
+    """The encoder's name for a file extension, with or without its dot: JPEG for jpg and for none."""
+    name = F.upper(F.ltrim(F.coalesce(extension, F.lit("")), F.lit(".")))
+    return F.when(name.isin("", "JPG"), "JPEG").otherwise(name)
+
+
+def thumbnail(points: Column, width: Column, height: Column, to_width: Column, to_height: Column) -> Column:
+    """Points of an image in a thumbnail of it; null where the image has no size."""
+    return scaled_points(points, to_width / F.nullif(width, F.lit(0)), to_height / F.nullif(height, F.lit(0)))

@@ -7,7 +7,7 @@ raises becomes the row of the page or document it happened to.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from typing import Any, Protocol
 
@@ -34,12 +34,26 @@ class Rasterizer(Protocol):
         """JPEG of each page in turn, or what went wrong with it; raises if the document does not open."""
 
 
+#: Degrees clockwise that turn an image upright, or None where that cannot be told.
+Rotator = Callable[[bytes], "int | None"]
+
+
+@dataclass(frozen=True)
+class Options:
+    """What a run's settings ask of the providers."""
+
+    max_dimension: int = 1024
+    text_threshold: float | None = None
+    blank_threshold: float | None = None
+    redetect_rotation: bool = False
+
+
 class Images(Protocol):
     def to_jpeg(self, content: bytes) -> bytes:
         """Any image as RGB JPEG with its EXIF."""
 
-    def transform(self, image: bytes, cached: list[dict[str, Any]] | None) -> Transformed:
-        """Upright, at most so large, with the raw image beside it; ``cached`` is what an earlier run did."""
+    def transform(self, image: bytes, rotation: int | None, find: Rotator, options: Options) -> Transformed:
+        """Made smaller (see target_size), then turned by ``rotation``, or where that is None by what ``find`` says of the smaller image; the raw image, as large as it was and turned alike, beside it. Bytes that are no image come back as they are."""
 
     def size(self, image: bytes) -> tuple[int, int]:
         """Width and height."""
@@ -52,36 +66,72 @@ class Detector(Protocol):
 
 @dataclass(frozen=True)
 class Providers:
-    """Factories, so that each Python worker makes its own once; a model is loaded where it is used."""
+    """Factories, so that each Python worker makes its own once; a model is loaded where it is used.
+
+    The detector's factory gets the options. ``rotators`` are tried in their order.
+    """
 
     rasterizer: Any
     images: Any
     detector: Any
+    rotators: tuple[Rotator, ...] = ()
+    options: Options = Options()
 
     def made(self) -> _Made:
-        key = (self.rasterizer, self.images, self.detector)
+        key = (self.rasterizer, self.images, self.detector, self.rotators, self.options)
         if key not in _MADE:
             try:
-                detector, problem = self.detector(), None
+                detector, problem = self.detector(self.options), None
             except Exception as error:  # pages then fail one by one
                 detector, problem = None, error
-            _MADE[key] = _Made(self.rasterizer(), self.images(), detector, problem)
+            _MADE[key] = _Made(self.rasterizer(), self.images(), detector, problem, self.rotators, self.options)
         return _MADE[key]
 
 
+def first_rotation(rotators: tuple[Rotator, ...]) -> Rotator:
+    """The first answer that is not None; a rotator that raises has none."""
+
+    def find(image: bytes) -> int | None:
+        for rotator in rotators:
+            try:
+                answer = rotator(image)
+            except Exception:
+                answer = None
+            if answer is not None:
+                return answer
+        return None
+
+    return find
+
+
+def target_size(width: int, height: int, most: int) -> tuple[int, int]:
+    """The size of a published image: the longer side at most ``most``, halves to even; ValueError where a side would vanish."""
+    if width > most or height > most:
+        width, height = (most, round(height * most / width)) if width > height else (round(width * most / height), most)
+    if width < 1 or height < 1:
+        raise ValueError(f"an image of {width} x {height} pixels")
+    return width, height
+
+
 @dataclass
 class _Made:
     rasterizer: Rasterizer
     images: Images
     detector: Detector | None
     problem: Exception | None
+    rotators: tuple[Rotator, ...] = ()
+    options: Options = Options()
+
+    def transformed(self, image: bytes, cached: list[dict[str, Any]] | None, redetect: bool | None = None) -> Transformed:
+        redo = self.options.redetect_rotation if redetect is None else redetect
+        return self.images.transform(image, cached_first(cached, redo), first_rotation(self.rotators), self.options)
 
 
 _MADE: dict[tuple, _Made] = {}
 
 PAGES = (
     "submission_id string, doc_filename string, position int, page_number int, status string, error string, image_filename string, lines_filename string,"
-    " raw_image_filename string, raw_image_width int, raw_image_height int, applied string, image binary"
+    " raw_image_filename string, raw_image_width int, raw_image_height int, applied string, image binary, broken boolean"
 )
 
 
@@ -99,12 +149,12 @@ def stem(name: str) -> str:
 
 
 def _row(doc: dict[str, Any], page: int, **more: Any) -> dict[str, Any]:
-    empty = {"status": FAILED, "error": "", "image_filename": "", "lines_filename": "", "raw_image_filename": "", "raw_image_width": 0, "raw_image_height": 0, "applied": None, "image": None}
+    empty = {"status": FAILED, "error": "", "image_filename": "", "lines_filename": "", "raw_image_filename": "", "raw_image_width": 0, "raw_image_height": 0, "applied": None, "image": None, "broken": False}
     return {"submission_id": doc["submission_id"], "doc_filename": doc["doc_filename"], "position": doc["position"], "page_number": page, **empty, **more}
 
 
 def _page(doc: dict[str, Any], page: int, jpeg: bytes, made: _Made, target: Storage, cached: list | None) -> dict[str, Any]:
-    done = made.images.transform(jpeg, cached)
+    done = made.transformed(jpeg, cached)
     name, raw_name = f"{stem(doc['doc_filename'])}_p{page}.jpg", ""
     target.write_bytes(f"{doc['submission_id']}/{name}", done.image)
     if done.raw is not None:
@@ -114,12 +164,19 @@ def _page(doc: dict[str, Any], page: int, jpeg: bytes, made: _Made, target: Stor
     return _row(doc, page, status=PENDING, image_filename=name, raw_image_filename=raw_name, applied=json.dumps(done.applied), image=done.image, **sizes)
 
 
+def _value(text: str | None) -> Any:
+    try:
+        return None if text is None else json.loads(text)
+    except ValueError:  # a string comes without its quotes
+        return text
+
+
 def pages_of(doc: dict[str, Any], made: _Made, target: Storage) -> Iterator[dict[str, Any]]:
     """Rows of one document (content, error, pdf and cached are among its fields)."""
     if doc["error"]:
         yield _row(doc, 1, error=STAGES["read"] + doc["error"])
         return
-    cache = json.loads(doc["cached"]) if doc.get("cached") else {}
+    cache = {page: [{k: _value(v) for k, v in t.items()} for t in done] for page, done in json.loads(doc.get("cached") or "{}").items()}
     if not doc["pdf"]:
         try:
             yield _page(doc, 1, made.images.to_jpeg(doc["content"]), made, target, cache.get("1"))
@@ -182,25 +239,36 @@ def extracted(docs: DataFrame, providers: Providers, source: Storage, target: St
     """Page rows of ``docs`` (submission_id, source_path, doc_filename, position, pdf, cached), images and lines written on the way.
 
     A task reads one document at a time and keeps no image of a page that is done.
+    What no row of a page can tell gives a row that is ``broken``: it fails the
+    whole submission.
     """
 
     def run(batches):
         import pandas as pd
 
-        made = providers.made()
+        try:
+            made, problem = providers.made(), None
+        except Exception as error:
+            made, problem = None, error
         for rows in batches:
             out = []
             for doc in rows.to_dict("records"):
+                if made is None:
+                    out.append(_row(doc, 0, error=str(problem), broken=True))
+                    continue
                 path = f"{doc['source_path']}/{doc['doc_filename']}"
                 try:
                     doc |= {"content": source.read_bytes(path), "error": ""}
                 except Exception as problem:
                     doc |= {"content": None, "error": str(problem) or type(problem).__name__}
-                for page in pages_of(doc, made, target):
-                    out.append({**with_lines(page, made, target), "image": None})
-                    if len(out) >= batch:
-                        yield pd.DataFrame(out)
-                        out = []
+                try:
+                    for page in pages_of(doc, made, target):
+                        out.append({**with_lines(page, made, target), "image": None})
+                        if len(out) >= batch:
+                            yield pd.DataFrame(out)
+                            out = []
+                except Exception as error:
+                    out.append(_row(doc, 0, error=str(error), broken=True))
             if out:
                 yield pd.DataFrame(out)
 
@@ -222,7 +290,7 @@ def with_raw_images(pages: DataFrame, providers: Providers, source: Storage, tar
                 raise jpeg
         else:
             jpeg = made.images.to_jpeg(content)
-        done = made.images.transform(jpeg, [{"rotation": int(row["rotation"] or 0)}])
+        done = made.transformed(jpeg, [{"rotation": int(row["rotation"] or 0)}], redetect=False)
         if done.raw is None:
             return row
         name = f"{stem(row['doc_filename'])}_p{number}.avif"

@@ -9,15 +9,6 @@ from pyspark.sql import functions as F
 from pagewright.functions.exprs import error_text, or_else
 from pagewright.schema import COMPLETED, FAILED, PAGE_KEY
 
-#: A side below so many rows is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows that it has at most ``rows`` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def work_queue(found: DataFrame, manifest: DataFrame, force: bool = False) -> DataFrame:
     """Found submissions that no manifest row calls completed; all of them if forced."""
     if force:
@@ -33,6 +24,11 @@ def first_by_path(found: DataFrame, n: int | None) -> DataFrame:
     return found.orderBy(F.split("source_path", "/"), "submission_id").limit(n)
 
 
+def last_by_path(found: DataFrame) -> DataFrame:
+    """submission_id and source_path, of folders with one id the last by path, compared part by part."""
+    return found.groupBy("submission_id").agg(F.max_by("source_path", F.split("source_path", "/")).alias("source_path"))
+
+
 def carried(manifest: DataFrame, work: DataFrame) -> DataFrame:
     """Manifest rows of submissions that are not worked on, also of those that have left the source."""
     return manifest.join(work.select("submission_id").distinct(), "submission_id", "left_anti")
@@ -92,7 +88,7 @@ def first_ids(pages: DataFrame, n: int | None, key: str = "submission_id") -> Da
     """The rows of the first ``n`` distinct ids in order."""
     if n is None:
         return pages
-    return pages.join(F.broadcast(pages.select(key).distinct().orderBy(key).limit(n)), key, "left_semi")
+    return pages.join(pages.select(key).distinct().orderBy(key).limit(n), key, "left_semi")
 
 
 def upserted(rows: DataFrame, updates: DataFrame, keys: tuple[str, ...] = PAGE_KEY, order: str | None = None) -> DataFrame:
@@ -104,8 +100,8 @@ def upserted(rows: DataFrame, updates: DataFrame, keys: tuple[str, ...] = PAGE_K
 
 
 def with_source_path(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """Pages with the path of their submission, of equal ids the last by path; ``lost`` marks those that have none."""
-    paths = found.groupBy("submission_id").agg(F.max("source_path").alias("source_path"))
+    """Pages with the path of their submission; ``lost`` marks those that have none."""
+    paths = last_by_path(found)
     return pages.join(paths, "submission_id", "left").withColumn("lost", F.col("source_path").isNull())
 
 
@@ -122,13 +118,18 @@ def colliding_names(images: DataFrame) -> DataFrame:
 def stall_gaps(events: DataFrame, warn: int = 90, abort: int = 900) -> DataFrame:
     """Whole seconds since the result before, where they reach ``warn``, and whether they reach ``abort``.
 
-    Results are ordered within days; the first of a day looks back to the last of
-    the day before it that has any, so no task orders all of them.
+    Results are ordered within minutes; the first of a minute looks back to the last
+    of the minute before it that has any. What is looked up is first ordered within
+    days, so that no task orders more than the minutes of a day, or a row a day.
     """
-    days = events.groupBy(F.to_date("ts").alias("day")).agg(F.max("ts").alias("last"))
-    before = days.select("day", F.lag("last").over(W.orderBy("day")).alias("before"))  # a row a day
-    order = W.partitionBy("day").orderBy("ts", "event_id")
-    watched = events.withColumn("day", F.to_date("ts")).join(F.broadcast(before), "day")
+    minute, day = F.date_trunc("minute", "ts").alias("minute"), F.to_date("minute").alias("day")
+    minutes = events.groupBy(minute).agg(F.max("ts").alias("last")).withColumn("day", day)
+    days = minutes.groupBy("day").agg(F.max("last").alias("end"))
+    eves = days.select("day", F.lag("end").over(W.orderBy("day")).alias("eve"))  # a row a day
+    earlier = F.lag("last").over(W.partitionBy("day").orderBy("minute"))
+    before = minutes.join(eves, "day").select("minute", F.coalesce(earlier, F.col("eve")).alias("before"))
+    order = W.partitionBy("minute").orderBy("ts", "event_id")
+    watched = events.withColumn("minute", minute).join(before, "minute")
     previous = F.coalesce(F.lag("ts").over(order), F.col("before"))
-    gaps = watched.withColumn("gap", F.timestamp_diff("SECOND", previous, F.col("ts"))).drop("day", "before")
+    gaps = watched.withColumn("gap", F.timestamp_diff("SECOND", previous, F.col("ts"))).drop("minute", "before")
     return gaps.filter(F.col("gap") >= warn).withColumn("aborts", F.col("gap") >= abort)

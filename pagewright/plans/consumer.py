@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as E
@@ -29,13 +30,40 @@ def lines(page_rows: DataFrame, target: Storage, prefix: str = "") -> DataFrame:
     done = page_rows.filter((F.col("status") == COMPLETED) & (F.col("lines_filename") != ""))
     place = F.concat_ws("/", *([F.lit(prefix)] if prefix else []), "submission_id", "lines_filename")
     read = done.select(place.alias("path")).mapInPandas(reading(target), "path string, content binary, error string")
-    whole = read.filter("error = ''").select(F.from_json(F.decode("content", "UTF-8"), LINES).alias("l")).select("l.*")
+    return lines_of(read.filter("error = ''").select(F.decode("content", "UTF-8").alias("text")))
+
+
+def lines_of(payloads: DataFrame) -> DataFrame:
+    """A row for each line of lines files, from their ``text``."""
+    whole = payloads.select(F.from_json("text", LINES).alias("l")).select("l.*")
     return whole.select("submission_id", "image_filename", "image_width", "image_height", "raw_image_width", "raw_image_height", F.inline("lines"))
 
 
-def statistics(rows: DataFrame, field: str) -> DataFrame:
-    """How often each value of a metadata field occurs among ``submissions``."""
-    return rows.groupBy(F.get_json_object("metadata", f"$.{field}").alias(field)).agg(F.count("*").alias("n"))
+def field(name: str) -> Column:
+    """A metadata field of ``submissions``, as text."""
+    return F.get_json_object("metadata", f"$.{name}")
+
+
+def statistics(rows: DataFrame, name: str, averages: tuple[str, ...] = ()) -> DataFrame:
+    """How often each value of a metadata field occurs among ``submissions``, and the averages of other fields over those where they are numbers."""
+    return rows.groupBy(field(name).alias(name)).agg(F.count("*").alias("n"), *(F.avg(field(a).try_cast("double")).alias(a) for a in averages))
+
+
+def tree(subs: DataFrame, page_rows: DataFrame) -> DataFrame:
+    """Submissions with their documents and pages, in the order of a tree: by submission, document and page number.
+
+    ``label`` has the status and the short id. A submission without pages is a row
+    of its own; pages of unknown submissions are left out. ``document`` and
+    ``place`` number the documents of a submission and the pages of a document from 0.
+    """
+    label = F.concat(F.lit("["), "status", F.lit("] "), E.short_id(F.col("submission_id").cast("string"))).alias("label")
+    own = page_rows.select("submission_id", "doc_filename", F.col("page_number").cast("int").alias("page_number"), "image_filename", "lines_filename")
+    docs = W.partitionBy("submission_id").orderBy("doc_filename")
+    in_doc = W.partitionBy("submission_id", "doc_filename").orderBy("page_number", "image_filename")
+    both = subs.select("submission_id", label).join(own, "submission_id", "left")
+    there = F.col("doc_filename").isNotNull()
+    placed = both.withColumns({"document": F.when(there, F.dense_rank().over(docs) - 1), "place": F.when(there, F.row_number().over(in_doc) - 1)})
+    return placed.orderBy("submission_id", "doc_filename", "page_number", "image_filename")
 
 
 def training_rows(subs: DataFrame, page_rows: DataFrame, line_rows: DataFrame) -> DataFrame:

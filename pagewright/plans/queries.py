@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as E
 from pagewright.operators import relational as R
+from pagewright.plans import consumer
 from pagewright.schema import COMPLETED, FAILED, PENDING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,9 +73,9 @@ def work_queue_forced(t):
 
 
 @_query("""SELECT doc_id AS submission_id FROM documents d
-           WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) ORDER BY doc_id LIMIT 25""")
+           WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1) ORDER BY string_split(concat_ws('/', source, CAST(doc_id AS VARCHAR)), '/'), doc_id LIMIT 25""")
 def work_queue_limited(t):
-    return R.work_queue(_found(t), _manifest(t)).select("submission_id").orderBy("submission_id").limit(25)
+    return R.first_by_path(R.work_queue(_found(t), _manifest(t)), 25).select("submission_id")
 
 
 @_query("""WITH work AS (SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND l.quality = 1))
@@ -180,12 +181,14 @@ def doc_lookup(t):
     return R.with_document(pages, entries).groupBy("l_orderkey", "l_linenumber", "file_extension").agg(F.count("*").alias("n"))
 
 
-@_query("""SELECT coalesce(CASE WHEN p_size % 5 = 0 THEN NULL ELSE (p_size % 4) * 90 END, 0) AS rotation, count(*) AS n
+@_query("""SELECT coalesce(CASE WHEN p_size % 5 = 0 OR p_size % 7 = 0 THEN NULL ELSE (p_size % 4) * 90 END, 0) AS rotation, count(*) AS n
            FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1""")
 def cached_rotation_lookup(t):
-    """The cache holds an entry without a rotation before each that has one; a fifth of the parts has none."""
-    known = F.when(F.col("p_size") % 5 != 0, (F.col("p_size") % 4) * 90)
-    applied = F.array(F.struct(F.lit(None).cast("int").alias("rotation")), F.struct(known.cast("int").alias("rotation")))
+    """The cache holds an entry without a rotation before each that has one; for some parts that is null, and for some a null comes first and counts."""
+    known = F.when(F.col("p_size") % 5 != 0, ((F.col("p_size") % 4) * 90).cast("string"))
+    entry = lambda c: F.create_map(F.lit("rotation"), c)
+    other = F.create_map(F.lit("original_size"), F.lit("[9, 9]"))
+    applied = F.when(F.col("p_size") % 7 == 0, F.array(entry(F.lit(None).cast("string")), entry(known))).otherwise(F.array(other, entry(known)))
     cache = t("part").select(F.col("p_partkey").alias("l_partkey"), applied.alias("applied"))
     rotation = F.coalesce(E.cached_rotation(F.col("applied")), F.lit(0))
     return t("lineitem").select("l_partkey").join(cache, "l_partkey").groupBy(rotation.alias("rotation")).agg(F.count("*").alias("n"))
@@ -234,7 +237,7 @@ def submitter_fingerprint(t):
 
 @_query("""SELECT event_id, json_extract_string(props, '$.k') AS k FROM events""")
 def metadata_extract(t):
-    return t("events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return t("events").withColumnRenamed("props", "metadata").select("event_id", consumer.field("k").alias("k"))
 
 
 _CORNERS = "[embedding[1], embedding[2]], [embedding[3], embedding[4]], [embedding[5], embedding[6]], [embedding[7], embedding[8]]"
@@ -253,8 +256,12 @@ def _box(points: Column) -> Column:
 
 @_query("""SELECT vec_id, (unnest(range(4)))::INTEGER AS index, unnest([embedding[k * 2 + 1]::DOUBLE * 1000 for k in range(4)]) AS x, 4::BIGINT AS n_lines FROM embeddings""")
 def lines_explode(t):
-    lines = t("embeddings").select("vec_id", _points().alias("points"))
-    return lines.select("vec_id", F.size("points").cast("long").alias("n_lines"), F.posexplode("points").alias("index", "point")).select("vec_id", "index", F.col("point")[0].alias("x"), "n_lines")
+    """A point is a line's first corner."""
+    line = lambda p, i: F.struct(i.alias("index"), F.array(p[0], p[1], p[0], p[1]).alias("bbox"))
+    payload = F.to_json(F.struct(F.col("vec_id").cast("string").alias("submission_id"), F.transform(_points(), line).alias("lines")))
+    lines = consumer.lines_of(t("embeddings").select(payload.alias("text")))
+    per_page = lines.groupBy("submission_id").agg(F.count("*").alias("n_lines"))
+    return lines.join(per_page, "submission_id").select(F.col("submission_id").cast("long").alias("vec_id"), "index", F.col("bbox")[0].alias("x"), "n_lines")
 
 
 @_query("""WITH p AS (SELECT vec_id, [embedding[k]::DOUBLE * 1000 for k in [1, 3, 5, 7]] AS xs, [embedding[k]::DOUBLE * 1000 for k in [2, 4, 6, 8]] AS ys FROM embeddings)
@@ -311,16 +318,75 @@ def output_name_collisions(t):
 @_query("""SELECT lang, count(*) AS n, avg(quality) AS quality, avg(toxic) AS toxic FROM documents JOIN labels USING (doc_id) GROUP BY 1""")
 def consumer_stats(t):
     rated = t("documents").select("doc_id", "lang").join(t("labels"), "doc_id")
-    return rated.groupBy("lang").agg(F.count("*").alias("n"), F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic"))
+    return consumer.statistics(rated.select(F.to_json(F.struct("lang", "quality", "toxic")).alias("metadata")), "lang", ("quality", "toxic"))
 
 
-@_query("""SELECT c_mktsegment, o_orderpriority, count(*) AS pages, count(DISTINCT o_orderkey) AS submissions FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-           JOIN customer ON c_custkey = o_custkey WHERE l_returnflag = 'A' GROUP BY 1, 2""")
+@_query("""WITH p AS (SELECT l_orderkey, CAST(l_partkey AS VARCHAR) || '_p' || CAST(l_linenumber AS VARCHAR) || '.jpg' AS image, l_quantity FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'F')
+           SELECT o_orderpriority AS priority, k::INTEGER AS index, count(*) AS lines, count(DISTINCT p.l_orderkey) AS submissions, sum(p.l_quantity * 2 + k) AS left_edges
+           FROM p JOIN p AS q USING (l_orderkey, image) JOIN orders ON o_orderkey = p.l_orderkey, range(2) t(k) GROUP BY 1, 2""")
 def consumer_training_rows(t):
-    pages = t("lineitem").filter("l_returnflag = 'A'").select("l_orderkey")
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    joined = pages.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer").select("c_custkey", "c_mktsegment"), F.col("c_custkey") == F.col("o_custkey"))
-    return joined.groupBy("c_mktsegment", "o_orderpriority").agg(F.count("*").alias("pages"), F.count_distinct("o_orderkey").alias("submissions"))
+    """Two lines a page, in images half as large as the raw ones; a line item that comes twice has its pages twice."""
+    pages = _line_pages(t).filter("status = 'completed' AND image_filename <> ''")
+    size = {"image_width": 40, "image_height": 30, "raw_image_width": 80, "raw_image_height": 60}
+    left = F.col("l_quantity") + F.col("index") / 2
+    items = t("lineitem").filter("l_returnflag = 'A' AND l_linestatus = 'F'")
+    image = E.page_image_name(F.col("l_partkey").cast("string"), F.col("l_linenumber"))
+    lines = items.select(F.col("l_orderkey").alias("submission_id"), image.alias("image_filename"), "l_quantity", F.explode(F.array(F.lit(0), F.lit(1))).alias("index"))
+    lines = lines.withColumns({k: F.lit(v) for k, v in size.items()} | {"bbox": F.array(left, F.lit(1.0), left + 2, F.lit(3.0)), "polygon": F.array().cast("array<array<double>>")})
+    subs = t("orders").select(F.col("o_orderkey").alias("submission_id"), F.to_json(F.struct(F.col("o_orderpriority").alias("priority"))).alias("metadata"))
+    rows = consumer.training_rows(subs, pages, lines)
+    return rows.groupBy(consumer.field("priority").alias("priority"), "index").agg(
+        F.count("*").alias("lines"), F.count_distinct("submission_id").alias("submissions"), F.sum(F.col("raw_bbox")[0]).alias("left_edges")
+    )
+
+
+@_query("""WITH p AS (SELECT l_orderkey AS id, CAST(l_partkey AS VARCHAR) || '.pdf' AS doc, l_linenumber AS n,
+                      CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS VARCHAR) || '_p' || CAST(l_linenumber AS VARCHAR) || '.jpg' ELSE '' END AS image FROM lineitem)
+           SELECT o_orderkey AS submission_id, '[' || o_orderstatus || '] ' || substr(CAST(o_orderkey AS VARCHAR), 1, 8) || '...' AS label, doc AS doc_filename, n AS page_number, image AS image_filename,
+                  CASE WHEN doc IS NOT NULL THEN (dense_rank() OVER (PARTITION BY o_orderkey ORDER BY doc) - 1)::INTEGER END AS document,
+                  CASE WHEN doc IS NOT NULL THEN (row_number() OVER (PARTITION BY o_orderkey, doc ORDER BY n, image) - 1)::INTEGER END AS place
+           FROM orders LEFT JOIN p ON id = o_orderkey""")
+def viewer_tree(t):
+    subs = t("orders").select(F.col("o_orderkey").alias("submission_id"), F.col("o_orderstatus").alias("status"))
+    return consumer.tree(subs, _line_pages(t).withColumn("lines_filename", F.lit(""))).drop("lines_filename")
+
+
+@_query("""WITH z AS (SELECT event_id, coalesce(value, 0) AS v FROM events)
+           SELECT event_id, greatest(0.1, least(10.0, v * 1.25)) AS zoom_in, greatest(0.1, least(10.0, v / 1.25)) AS zoom_out,
+                  greatest(0.1, least(10.0, 800 / (v + 1), 600 / (v * 2 + 1))) AS fit, greatest(0.1, least(10.0, 800 / (v + 1))) AS fit_width,
+                  CASE WHEN least(1.0, greatest(0.0, v / 100 + 0.1)) > least(1.0, greatest(0.0, 1 - v / 100 - 0.1)) THEN least(1.0, greatest(0.0, v / 100 + 0.1)) ELSE v / 100 END AS text_threshold FROM z""")
+def viewer_zoom(t):
+    v = F.coalesce("value", F.lit(0.0))
+    width, height, room = v + 1, v * 2 + 1, (F.lit(800), F.lit(600))
+    return t("events").select(
+        "event_id",
+        E.zoomed(v, 1.25).alias("zoom_in"),
+        F.greatest(F.lit(0.1), F.least(F.lit(10.0), v / 1.25)).alias("zoom_out"),
+        E.fitted(width, height, *room).alias("fit"),
+        E.fitted_width(width, room[0]).alias("fit_width"),
+        E.nudged(v / 100, 1 - v / 100, 0.1, -0.1)["text"].alias("text_threshold"),
+    )
+
+
+@_query("""SELECT event_id, substr(event_type || event_id, 1, 8) || '...' AS short,
+                  format('[{:.0f}, {:.0f}, {:.0f}, {:.0f}]', value, -value, event_id / 2.0, 0.5) AS box, format('{:.3f}', event_id % 1024 / 1024) AS confidence,
+                  CASE event_id % 3 WHEN 0 THEN 'JPEG' WHEN 1 THEN 'JPEG' ELSE 'PNG' END AS format FROM events""")
+def viewer_texts(t):
+    v, half = F.col("value"), F.col("event_id") / 2
+    extension = F.element_at(F.array(F.lit(".jpg"), F.lit(""), F.lit("png")), (F.col("event_id") % 3 + 1).cast("int"))
+    return t("events").select(
+        "event_id",
+        E.short_id(F.concat("event_type", F.col("event_id").cast("string"))).alias("short"),
+        E.box_text(F.array(v, -v, half, F.lit(0.5))).alias("box"),
+        E.confidence_text(F.col("event_id") % 1024 / 1024).alias("confidence"),
+        E.image_format(extension).alias("format"),
+    )
+
+
+@_query("""SELECT vec_id, embedding[1]::DOUBLE * 1000 * (150 / 640) AS x0, embedding[2]::DOUBLE * 1000 * (100 / 480) AS y0 FROM embeddings""")
+def thumbnail_scale(t):
+    scaled = E.thumbnail(_points(), F.lit(640), F.lit(480), F.lit(150), F.lit(100))
+    return t("embeddings").select("vec_id", scaled[0][0].alias("x0"), scaled[0][1].alias("y0"))
 
 
 @_query("""SELECT doc_id, substr(text || '; ' || source, 1, 500) AS error FROM documents""")

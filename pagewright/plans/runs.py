@@ -2,32 +2,27 @@
 
 from __future__ import annotations
 
-import uuid
+import logging
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions.exprs import cached_rotation, is_pdf
 from pagewright.operators import relational as R
-from pagewright.operators.imaging import Providers, extracted, with_raw_images
+from pagewright.operators.imaging import Options, Providers, extracted, with_raw_images
 from pagewright.operators.outcomes import failure_text
 from pagewright.schema import COMPLETED, DESCRIPTOR, FAILED, METADATA, PAGE, PAGES_CSV, SUBMISSIONS_CSV, TRANSFORMS, filled
-from pagewright.settings import Settings
+from pagewright.settings import Settings, whole_or
 from pagewright.sources import artifacts, descriptor, tables
 from pagewright.sources.discovery import discover
+from pagewright.sources.scratch import kept
 from pagewright.sources.storage import Storage, open_side, reading
+from pagewright.streaming.incremental import watched
 
 _READ = "submission_id string, source_path string, path string, content binary, error string"
 
 
-def _kept(df: DataFrame, settings: Settings) -> DataFrame:
-    """``df`` as a table beside the target, so that what tasks did is not done again."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"{settings.target.path.rstrip('/')}/_work"
-    path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _read(found: DataFrame, storage: Storage, name: str) -> DataFrame:
     paths = found.select("submission_id", "source_path", F.concat_ws("/", "source_path", F.lit(name)).alias("path"))
     return paths.mapInPandas(reading(storage), _READ)
@@ -49,7 +44,7 @@ def publish_metadata(found: DataFrame, source: Storage, target: Storage, setting
 
 
 def extract(work: DataFrame, source: Storage, target: Storage, providers: Providers, partitions: int) -> DataFrame:
-    """Page rows of all submissions of ``work``, failures of descriptors and documents among them; ``broken`` marks submissions without pages."""
+    """Page rows of all submissions of ``work``, failures of descriptors and documents among them; ``broken`` rows fail their whole submission, with their error."""
     parsed = descriptor.parsed(_read(work, source, DESCRIPTOR))
     caches = _read(work, source, TRANSFORMS).filter("error = ''").select("submission_id", F.decode("content", "UTF-8").alias("text"))
     docs = descriptor.documents(parsed)
@@ -57,21 +52,39 @@ def extract(work: DataFrame, source: Storage, target: Storage, providers: Provid
     broken = docs.filter("file_extension IS NULL").select("submission_id").distinct()
     fit = docs.join(broken, "submission_id", "left_anti").withColumn("pdf", is_pdf(F.col("file_extension"), F.col("mime_type")))
     done = descriptor.rotations(caches).groupBy("submission_id", "doc_filename").agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("page_number").cast("string"), "applied")))).alias("cached")
+        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("page_number").cast("string"), "applied"))), {"ignoreNullFields": "false"}).alias("cached")
     )
     ready = fit.join(done, ["submission_id", "doc_filename"], "left").repartition(partitions, "submission_id", "position")
     pages = extracted(ready.select("submission_id", "source_path", "doc_filename", "position", "pdf", "cached"), providers, source, target)
-    bad = parsed.filter("stage <> ''").select(
+    bad = parsed.filter("stage NOT IN ('', 'storage')").select(
         "submission_id", F.lit(DESCRIPTOR).alias("doc_filename"), F.lit(0).alias("position"), F.lit(1).alias("page_number"), F.lit(FAILED).alias("status"), failure_text(F.col("stage"), F.col("detail")).alias("error")
     )
-    marked = broken.select("submission_id", F.lit(True).alias("broken"))
-    return pages.drop("image").unionByName(bad, allowMissingColumns=True).withColumn("broken", F.lit(False)).unionByName(marked, allowMissingColumns=True)
+    no_extension = broken.select("submission_id", F.lit("no file extension").alias("error"))
+    unopened = parsed.filter("stage = 'storage'").select("submission_id", failure_text(F.col("stage"), F.col("detail")).alias("error"))
+    unread = pages.filter("broken").select("submission_id", "error").unionByName(no_extension)
+    failed = unread.withColumn("error", failure_text(F.lit("extract"), F.col("error"))).unionByName(unopened).withColumn("broken", F.lit(True))
+    told = pages.drop("image").filter("NOT broken").unionByName(bad.withColumn("broken", F.lit(False)), allowMissingColumns=True)
+    return told.unionByName(failed, allowMissingColumns=True)
 
 
 def run(spark: SparkSession, settings: Settings, providers: Providers) -> dict[str, int]:
-    """A run as the settings ask for; returns counts. Manifests are written last, and only if there was work."""
+    """A run as the settings ask for; returns counts. Manifests are written last, and only if there was work.
+
+    The settings reach the providers as options. Where no task ends for as long as
+    the settings allow, that is logged, and at last the run is ended (Stalled).
+    """
+    options = Options(settings.max_dimension, settings.text_threshold, settings.blank_threshold, settings.redetect_rotation)
+    given = replace(providers, options=options)
     if settings.backfill:
-        return backfill(spark, settings, providers)
+        return backfill(spark, settings, given)
+
+    def warn(seconds: float, stages: list[str]) -> None:
+        logging.getLogger(__name__).warning("no task has ended for %.0f s; in flight: %s", seconds, "; ".join(stages) or "nothing")
+
+    return watched(spark, lambda: _run(spark, settings, given), whole_or(settings.stall_warning, 90), whole_or(settings.stall_timeout, 900), warn)
+
+
+def _run(spark: SparkSession, settings: Settings, providers: Providers) -> dict[str, int]:
     source, source_prefix = open_side(settings.source)
     target, prefix = open_side(settings.target)
     source.probe_read()
@@ -81,21 +94,22 @@ def run(spark: SparkSession, settings: Settings, providers: Providers) -> dict[s
         told = publish_metadata(R.first_by_path(found, settings.max_submissions), source, target, settings, prefix)
         return {"submissions": told.count()}
     old = tables.load_submissions(spark, target, prefix)
-    queue = _kept(R.first_by_path(R.work_queue(found, old, settings.force_reprocess), settings.max_submissions), settings)
+    queue = kept(R.first_by_path(R.work_queue(found, old, settings.force_reprocess), settings.max_submissions))
     if queue.isEmpty():
         return {"submissions": 0, "completed": 0, "failed": 0, "pages": 0}
     # of folders with one name the last by path is published
-    work = queue.groupBy("submission_id").agg(F.max("source_path").alias("source_path"))
+    work = R.last_by_path(queue)
     partitions = max(settings.parallelism, spark.sparkContext.defaultParallelism)
     home = Storage(f"{target.root.rstrip('/')}/{prefix}", target.side) if prefix else target
-    rows = _kept(extract(work, source, home, providers, partitions), settings)
-    pages = rows.filter("NOT broken")
+    rows = kept(extract(work, source, home, providers, partitions))
+    failures = rows.filter("broken").groupBy("submission_id").agg(F.min("error").alias("error"))
+    pages = rows.filter("NOT broken").join(failures, "submission_id", "left_anti")
     caches = artifacts.transform_caches(pages).join(work, "submission_id").select(F.concat_ws("/", "source_path", F.lit(TRANSFORMS)).alias("path"), "text")
     artifacts.write_texts(caches, source).count()
     publish_metadata(work.join(rows.filter("broken").select("submission_id"), "submission_id", "left_anti"), source, target, settings, prefix).count()
-    broken = rows.filter("broken").select("submission_id", F.lit(FAILED).alias("status"), F.lit("Page extraction error: no file extension").alias("error"))
+    broken = failures.select("submission_id", F.lit(FAILED).alias("status"), "error")
     whole = work.join(broken, "submission_id", "left_anti")
-    new = _kept(R.roll_up(whole, pages, ("position", "page_number")).unionByName(broken), settings)
+    new = kept(R.roll_up(whole, pages, ("position", "page_number")).unionByName(broken))
     old_pages = tables.load_pages(spark, target, prefix)
     tables.save_manifest(R.published(R.carried(filled(old_pages, PAGE), work), filled(pages, PAGE)), target, _joined(prefix, PAGES_CSV), ("submission_id", "doc_filename", "page_number"))
     tables.save_manifest(R.published(R.carried(old, work), new), target, _joined(prefix, SUBMISSIONS_CSV), ("submission_id",))
@@ -121,9 +135,9 @@ def backfill(spark: SparkSession, settings: Settings, providers: Providers) -> d
     own = [f.name for f in PAGE.fields]
     home = Storage(f"{target.root.rstrip('/')}/{prefix}", target.side) if prefix else target
     partitions = max(settings.parallelism, spark.sparkContext.defaultParallelism)
-    made = _kept(with_raw_images(ready.select(*own, "_order", "source_path", "pdf", F.coalesce("rotation", F.lit(0)).alias("rotation")).repartition(partitions), providers, source, home), settings)
+    made = kept(with_raw_images(ready.select(*own, "_order", "source_path", "pdf", F.coalesce("rotation", F.lit(0)).alias("rotation")).repartition(partitions), providers, source, home))
     n = made.filter("raw_image_filename <> ''").count()
     if n:
         merged = R.upserted(pages.drop("_order"), made, order="_order")
-        tables.save_manifest(_kept(merged, settings), target, _joined(prefix, PAGES_CSV), ("submission_id", "doc_filename", "page_number"))
+        tables.save_manifest(kept(merged), target, _joined(prefix, PAGES_CSV), ("submission_id", "doc_filename", "page_number"))
     return {"pages": n}

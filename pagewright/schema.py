@@ -55,7 +55,8 @@ LINES = T.StructType(
         T.StructField("lines", T.ArrayType(LINE)),
     ]
 )
-APPLIED = T.StructType([T.StructField("rotation", T.IntegerType()), T.StructField("original_size", T.ArrayType(T.IntegerType()))])
+#: What was done to an image, by name (rotation, original_size), as JSON texts: a null value differs from none.
+APPLIED = T.MapType(T.StringType(), T.StringType())
 TRANSFORM_CACHE = T.MapType(T.StringType(), T.MapType(T.StringType(), T.ArrayType(APPLIED)))
 
 

@@ -20,6 +20,14 @@ class Side:
     region: str = ""
 
 
+@dataclass(frozen=True)
+class RotationService:
+    """Where a document service tells how an image is turned; for a rotator that asks it."""
+
+    endpoint: str
+    key: str
+
+
 @dataclass(frozen=True)
 class Settings:
     source: Side
@@ -37,6 +45,8 @@ class Settings:
     stall_timeout: int | None = 900
     max_dimension: int = 1024
     redetect_rotation: bool = False
+    rotation_service: RotationService | None = None
+    model_cache: str | None = None
 
 
 def _text(env: Mapping[str, str], name: str) -> str:
@@ -92,6 +102,17 @@ def _side(env: Mapping[str, str], name: str) -> Side:
     return Side(kind, _required(env, f"{name}_STORAGE_PATH"), *keys)
 
 
+def _rotation_service(env: Mapping[str, str]) -> RotationService | None:
+    """Only where it is switched on and both its address and its key are there."""
+    endpoint, key = _text(env, "AZURE_AI_ENDPOINT"), _text(env, "AZURE_AI_API_KEY")
+    return RotationService(endpoint, key) if _text(env, "USE_IMAGE_TRANSFORM_AZURE_AI").lower() == "true" and endpoint and key else None
+
+
+def whole_or(value: object, default: int) -> int | None:
+    """A limit as it was given: whole numbers and None (no limit) pass, anything else is the default."""
+    return value if value is None or isinstance(value, int) else default
+
+
 def read_settings(env: Mapping[str, str] | None = None) -> Settings:
     """Settings from ``env`` (the process's by default); ValueError names the variable that is missing or bad."""
     env = os.environ if env is None else env
@@ -111,4 +132,6 @@ def read_settings(env: Mapping[str, str] | None = None) -> Settings:
         stall_timeout=_seconds(env, "WORKER_RESULT_TIMEOUT", 900),
         max_dimension=_positive(env, "IMAGE_TRANSFORM_MAX_DIMENSION", 1024),
         redetect_rotation=_flag(env, "FORCE_ROTATION_REDETECTION"),
+        rotation_service=_rotation_service(env),
+        model_cache=_text(env, "MODEL_CACHE_DIR") or None,
     )

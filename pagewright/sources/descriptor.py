@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.schema import TRANSFORM_CACHE
+from pagewright.sources.storage import NO_STORAGE
 
 _ENTRY = "array<map<string,string>>"
 
@@ -21,15 +22,15 @@ def is_object(text: Column) -> Column:
 def parsed(descriptors: DataFrame) -> DataFrame:
     """``descriptors`` (submission_id, source_path, content, error) with text, user_email, files and what is wrong, as stage and detail.
 
-    ``stage`` is descriptor (unreadable), parse (no JSON object) or ''.
+    ``stage`` is storage (that does not open), descriptor (unreadable), parse (no JSON object) or ''.
     """
     text = F.decode("content", "UTF-8")
     out = descriptors.withColumn("text", F.when(F.col("error") == "", text))
-    stage = F.when(F.col("error") != "", "descriptor").when(~is_object(F.col("text")), "parse").otherwise("")
+    stage = F.when(F.col("error").startswith(NO_STORAGE), "storage").when(F.col("error") != "", "descriptor").when(~is_object(F.col("text")), "parse").otherwise("")
     return out.withColumns(
         {
             "stage": stage,
-            "detail": F.when(stage == "descriptor", F.col("error")).when(stage == "parse", "not a JSON object").otherwise(""),
+            "detail": F.when(stage == "storage", F.replace("error", F.lit(NO_STORAGE))).when(stage == "descriptor", F.col("error")).when(stage == "parse", "not a JSON object").otherwise(""),
             "version": F.coalesce(F.get_json_object("text", "$.version"), F.lit("")),
             "user": F.coalesce(F.get_json_object("text", "$.user"), F.lit("")),
             "user_email": F.get_json_object("text", "$.user.email"),
@@ -58,7 +59,7 @@ def documents(parsed_: DataFrame) -> DataFrame:
 
 
 def rotations(caches: DataFrame) -> DataFrame:
-    """Cached transforms, from rows of submission_id and text: submission_id, doc_filename, page_number, applied. Bad caches give none."""
+    """Cached transforms, from rows of submission_id and text: submission_id, doc_filename, page_number, applied (maps of JSON texts). Bad caches give none."""
     cache = F.from_json("text", TRANSFORM_CACHE)
     by_doc = caches.select("submission_id", F.explode(cache).alias("doc_filename", "pages"))
     pages = by_doc.select("submission_id", "doc_filename", F.explode("pages").alias("page", "applied"))

@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions.exprs import parent_id, parent_path
 from pagewright.schema import DESCRIPTOR
+from pagewright.sources.scratch import kept
 from pagewright.sources.storage import Storage
 
 FOUND = "path string"
 
 
 def listed(spark: SparkSession, storage: Storage, prefix: str = "", name: str = DESCRIPTOR) -> DataFrame:
-    """Paths of all files of a name. The driver lists one level, tasks walk a folder each."""
-    folders = [(p, True) for p in storage.list_prefixes(prefix)]
-    here = [(p, False) for p in storage.list_files(prefix) if p.rsplit("/", 1)[-1] == name]
-    work = folders + here
-    if not work:
-        return spark.createDataFrame([], FOUND)
+    """Paths of all files of a name, hidden folders too.
 
-    def walk(batches):
-        import pandas as pd
+    Level by level: tasks list the folders of one level each for itself, and what
+    they find is dealt out again, so neither the driver nor a task holds a tree,
+    and a root with one folder is no bottleneck.
+    """
 
+    def children(batches):
         for rows in batches:
-            for path, folder in zip(rows["path"], rows["folder"], strict=True):
-                yield pd.DataFrame({"path": storage.walk(path, name) if folder else [path]})
-
-    parts = min(len(work), 8 * spark.sparkContext.defaultParallelism)
-    return spark.createDataFrame(work, "path string, folder boolean").repartition(parts).mapInPandas(walk, FOUND)
+            for folder in rows.column("path").to_pylist():
+                inner = storage.list_prefixes(folder)
+                here = [p for p in storage.list_files(folder) if p.rsplit("/", 1)[-1] == name]
+                kinds = pa.array([True] * len(inner) + [False] * len(here), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(inner + here, pa.string()), kinds], names=["path", "folder"])
+
+    parts = 8 * spark.sparkContext.defaultParallelism
+    level, found = spark.createDataFrame([(prefix,)], FOUND), spark.createDataFrame([], FOUND)
+    while True:
+        seen = kept(level.mapInArrow(children, "path string, folder boolean"))
+        found = found.unionByName(seen.filter("NOT folder").select("path"))
+        level = seen.filter("folder").select("path").repartition(parts)
+        if seen.filter("folder").isEmpty():
+            return found
 
 
 def discover(spark: SparkSession, storage: Storage, prefix: str = "") -> DataFrame:

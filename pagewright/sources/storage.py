@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from typing import TypeVar
 
 import pyarrow.fs as pafs
+from pyspark.sql import SparkSession
 
 from pagewright.settings import Side
 
@@ -62,6 +63,25 @@ class Storage:
             raise ValueError(f"{path!r} lies outside the storage")
         return self.base if inner == "." else f"{self.base}/{inner}"
 
+    def uri(self, path: str = "") -> str:
+        """The address of ``path`` for Spark's readers and writers, with its scheme: a bucket's is s3a."""
+        scheme = self.root.split("://", 1)[0] if "://" in self.root else "file"
+        place = self.absolute(path)
+        return f"file://{place}" if scheme == "file" else f"{'s3a' if scheme == 's3' else scheme}://{place}"
+
+    def hadoop_settings(self) -> dict[str, str]:
+        """What Spark must know to read and write here with this side's own credentials."""
+        if self.side is None or self.side.kind != "s3":
+            return {}
+        bucket = self.base.split("/", 1)[0]
+        given = {"access.key": self.side.key_id, "secret.key": self.side.secret, "endpoint.region": self.side.region}
+        return {f"fs.s3a.bucket.{bucket}.{k}": v for k, v in given.items() if v}
+
+    def prepare(self, spark: SparkSession) -> None:
+        """Let Spark's readers and writers in; each bucket has its own settings, so two sides do not mix."""
+        for name, value in self.hadoop_settings().items():
+            spark.sparkContext._jsc.hadoopConfiguration().set(name, value)
+
     def _relative(self, place: str) -> str:
         return place[len(self.base) :].lstrip("/")
 
@@ -148,15 +168,27 @@ def open_side(side: Side) -> tuple[Storage, str]:
     return Storage(f"s3://{bucket}", side), prefix.rstrip("/")
 
 
+#: How an error of ``reading`` begins where not the file but the storage is at fault.
+NO_STORAGE = "no storage: "
+
+
 def reading(storage: Storage, limit: int = 32_000_000) -> Callable[[Iterator], Iterator]:
     """For mapInPandas over rows with a column path: content and error of each file, in batches of about ``limit`` bytes."""
 
     def run(batches):
         import pandas as pd
 
+        try:
+            storage._open()
+            unopened = None
+        except Exception as problem:
+            unopened = f"{NO_STORAGE}{problem}"
         for rows in batches:
             out, held = [], 0
             for row in rows.to_dict("records"):
+                if unopened:
+                    out.append({**row, "content": None, "error": unopened})
+                    continue
                 try:
                     content, error = storage.read_bytes(row["path"]), ""
                 except Exception as problem:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,39 +43,47 @@ def _at(prefix: str, name: str) -> str:
 def load_submissions(spark: SparkSession, storage: Storage, prefix: str = "") -> DataFrame:
     """The last row of each submission."""
     path = _at(prefix, SUBMISSIONS_CSV)
-    return last_wins(read_manifest(spark, storage.absolute(path), "submissions", storage.exists(path)), ("submission_id",), "_order").drop("_order")
+    storage.prepare(spark)
+    return last_wins(read_manifest(spark, storage.uri(path), "submissions", storage.exists(path)), ("submission_id",), "_order").drop("_order")
 
 
 def load_pages(spark: SparkSession, storage: Storage, prefix: str = "") -> DataFrame:
     """All rows, equal keys too, with their order in the file as ``_order``."""
     path = _at(prefix, PAGES_CSV)
-    return read_manifest(spark, storage.absolute(path), "pages", storage.exists(path))
+    storage.prepare(spark)
+    return read_manifest(spark, storage.uri(path), "pages", storage.exists(path))
 
 
 def save_manifest(df: DataFrame, storage: Storage, path: str, keys: tuple[str, ...]) -> None:
     """Write ``df`` sorted by ``keys`` as one CSV file of exactly this path.
 
-    One file is the format, so rows stream through the driver partition by
-    partition; nothing holds them all. The file is replaced only when it is whole.
+    Tasks sort and write parts. One file is the format, so one task then strings
+    the bytes of the parts together, without looking into them; nothing goes
+    through the driver. The file is replaced only when it is whole.
     """
-    place = storage.absolute(path)
+    spark, staged = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
+    parts = f"{staged}.parts"
+    storage.prepare(spark)
+    df.orderBy(*keys).write.options(header="false", emptyValue="", nullValue="", **_DIALECT).csv(storage.uri(parts))
+    names = list(df.columns)
+
+    def joined(batches):
+        import pandas as pd
+
+        for rows in batches:
+            for _ in range(len(rows)):
+                fs, head = storage._open(), io.StringIO()
+                csv.writer(head, lineterminator="\n").writerow(names)
+                with fs.open_output_stream(storage.absolute(staged)) as out:
+                    out.write(head.getvalue().encode("utf-8"))
+                    for part in storage.list_files(parts):
+                        if part.rsplit("/", 1)[-1].startswith("part-"):
+                            with fs.open_input_stream(storage.absolute(part)) as content:
+                                while chunk := content.read(8_000_000):
+                                    out.write(chunk)
+            yield pd.DataFrame({"done": [len(rows)]})
+
+    spark.range(1).coalesce(1).mapInPandas(joined, "done long").collect()
     fs = storage._open()
-    fs.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    staged = f"{place}.staged"
-    with fs.open_output_stream(staged) as out:
-        text = io.StringIO()
-        writer = csv.writer(text, lineterminator="\n")
-        writer.writerow(df.columns)
-        for row in df.orderBy(*keys).toLocalIterator():
-            writer.writerow(["" if v is None else v for v in row])
-            if text.tell() > 1_000_000:
-                out.write(text.getvalue().encode("utf-8"))
-                text.seek(0)
-                text.truncate()
-        out.write(text.getvalue().encode("utf-8"))
-    fs.move(staged, place)
-
-
-def save_manifest_parts(df: DataFrame, path: str) -> None:
-    """The same dialect as a folder of part files, written by tasks; for manifests that outgrow one file."""
-    df.write.mode("overwrite").options(header="true", emptyValue="", **_DIALECT).csv(path)
+    fs.move(storage.absolute(staged), storage.absolute(path))
+    fs.delete_dir(storage.absolute(parts))

@@ -59,8 +59,8 @@ class Stalled(RuntimeError):
     pass
 
 
-def watched(spark: SparkSession, work: Callable[[], object], warn: int | None, abort: int | None, on_warn: Callable[[float], None] = lambda s: None, poll: float = 10.0) -> object:
-    """``work()`` under a watch: a warning once for each time that no task ends for ``warn`` seconds, and an end to it all after ``abort``.
+def watched(spark: SparkSession, work: Callable[[], object], warn: int | None, abort: int | None, on_warn: Callable[[float, list[str]], None] = lambda s, stages: None, poll: float = 10.0) -> object:
+    """``work()`` under a watch: a warning once for each time that no task ends for ``warn`` seconds, with what is in flight, and an end to it all after ``abort``.
 
     None switches a limit off. An ended job raises Stalled; what it would have
     published stays as it was, as manifests are written last.
@@ -68,10 +68,16 @@ def watched(spark: SparkSession, work: Callable[[], object], warn: int | None, a
     context, group = spark.sparkContext, f"watched-{time.time_ns()}"
     done, stalled = threading.Event(), threading.Event()
 
-    def finished() -> int:
+    def infos() -> list:
         tracker = context.statusTracker()
         stages = [s for j in tracker.getJobIdsForGroup(group) if (job := tracker.getJobInfo(j)) for s in job.stageIds]
-        return sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+        return [info for s in stages if (info := tracker.getStageInfo(s))]
+
+    def finished() -> int:
+        return sum(info.numCompletedTasks for info in infos())
+
+    def in_flight() -> list[str]:
+        return [f"{info.numActiveTasks} of {info.numTasks} tasks of {info.name}" for info in infos() if info.numActiveTasks]
 
     def watch() -> None:
         seen, since, warned = -1, time.monotonic(), False
@@ -86,7 +92,7 @@ def watched(spark: SparkSession, work: Callable[[], object], warn: int | None, a
                 return
             if warn is not None and idle >= warn and not warned:
                 warned = True
-                on_warn(idle)
+                on_warn(idle, in_flight())
 
     watcher = threading.Thread(target=watch, daemon=True)
     context.setJobGroup(group, "watched run", interruptOnCancel=True)

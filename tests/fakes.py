@@ -1,6 +1,6 @@
 """Providers that need no image library: a document is text, a page is a line of it."""
 
-from pagewright.operators.imaging import Transformed
+from pagewright.operators.imaging import Providers, Transformed, target_size
 
 
 class Pages:
@@ -17,20 +17,43 @@ class Images:
             raise ValueError("not an image")
         return b"jpeg:" + content
 
-    def transform(self, image, cached):
-        turn = (cached or [{}])[0].get("rotation") or 0
-        return Transformed(image + b"@%d" % turn, None if b"noraw" in image else b"raw:" + image, 30, 20, {"rotation": turn})
+    def transform(self, image, rotation, find, options):
+        if b"thin" in image:
+            target_size(9000, 1, options.max_dimension)
+        turn = find(image) if rotation is None else rotation
+        return Transformed(image + b"@%d" % (turn or 0), None if b"noraw" in image else b"raw:" + image, 30, 20, {"rotation": turn})
 
     def size(self, image):
         return 15, 10
 
 
+def bad_rotator(image):
+    raise OSError("no service")
+
+
+def rotator(image):
+    return 180 if b"upside" in image else None
+
+
 class Detector:
+    def __init__(self, options):
+        self.options = options
+
     def detect(self, image):
         if b"blind" in image:
             raise ValueError("cannot see")
+        if b"dim" in image:
+            raise ValueError(f"seen at {self.options.text_threshold} and {self.options.blank_threshold}")
         return [{"bbox": [0.0, 0.0, 5.0, 5.0], "polygon": [[0.0, 0.0], [5.0, 0.0], [5.0, 5.0], [0.0, 5.0]], "confidence": None}, {"bbox": [1.0, 1.0, 9.0, 9.0], "polygon": [], "confidence": 0.5}]
 
 
-def no_detector():
+def no_detector(options):
     raise OSError("weights are missing")
+
+
+def no_rasterizer():
+    raise OSError("no such library")
+
+
+def made_for(settings):
+    return Providers(Pages, Images, Detector, (bad_rotator, rotator))

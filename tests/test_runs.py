@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,7 +68,7 @@ def test_normal_run_then_nothing_left_but_failures(spark, sides):
     assert [x["index"] for x in lines["lines"]] == [0, 1] and lines["image_width"] == 15
     told = json.loads(target.read_text("good/metadata.json"))
     assert told["legibility_score"] == 4 and len(told["submitter_fingerprint"]) == 64
-    assert json.loads(source.read_text("good/transforms.json"))["a.pdf"] == {"1": [{"rotation": 0}], "2": [{"rotation": 90}]}
+    assert json.loads(source.read_text("good/transforms.json"))["a.pdf"] == {"1": [{"rotation": None}], "2": [{"rotation": 90}]}
     assert not target.exists("nullext/metadata.json") and target.exists("empty/metadata.json")
 
     source.write_bytes("broken/a.pdf", b"PDF\nfixed")
@@ -118,6 +119,8 @@ def test_consumer_views(spark, sides):
     assert lines.count() == 2 * pages.filter("status = 'completed'").count()
     stats = {r["legibility_score"]: r["n"] for r in consumer.statistics(subs, "legibility_score").collect()}
     assert stats == {"4": 1, None: 5}
+    averages = {r["name"]: r["score"] for r in consumer.statistics(spark.createDataFrame([('{"name": "a", "score": 1}',), ('{"name": "a", "score": "4"}',), ('{"name": "a", "score": "x"}',)], "metadata string"), "name", ("score",)).collect()}
+    assert averages == {"a": 2.5}
     row = consumer.training_rows(subs, pages, lines).filter("submission_id = 'good' AND index = 1").first()
     assert row["raw_bbox"] == [2.0, 2.0, 18.0, 18.0]
     at = {(r["submission_id"], r["image_filename"]): r["index"] for r in consumer.line_at(lines, 7, 7).collect()}
@@ -125,6 +128,74 @@ def test_consumer_views(spark, sides):
     assert {r["index"] for r in consumer.line_at(lines, 70, 7).collect()} == {-1}
 
 
+def test_settings_reach_the_providers(spark, tmp_path):
+    """Thresholds, the largest side, rotations found anew by rotators in their order, with errors as no answer."""
+    source, target = Storage(str(tmp_path / "in")), Storage(str(tmp_path / "out"))
+    source.write_text("s/desc.json", json.dumps({"files": [doc("a.pdf", ".pdf")]}))
+    source.write_bytes("s/a.pdf", b"PDF\nupside\nplain\nthin\ndim\nupside again")
+    cache = {"a.pdf": {"1": [{"original_size": [9, 9]}, {"rotation": 90}], "2": [{"rotation": 270}], "5": [{"rotation": None}, {"rotation": 90}]}}
+    source.write_text("s/transforms.json", json.dumps(cache))
+    settings = Settings(Side("local", str(tmp_path / "in")), Side("local", str(tmp_path / "out")), text_threshold=0.7, blank_threshold=0.2, max_dimension=100, force_reprocess=True)
+    runs.run(spark, settings, fakes.made_for(settings))
+    _, pages = manifest(spark, target)
+    assert [target.read_bytes(f"s/a_p{n}.jpg") for n in (1, 2, 5)] == [b"upside@90", b"plain@270", b"upside again@180"]
+    assert pages["s", "a.pdf", 3]["error"] == "an image of 100 x 0 pixels"
+    assert pages["s", "a.pdf", 4]["error"] == "Line extraction error: seen at 0.7 and 0.2"
+    source.write_text("s/transforms.json", json.dumps(cache))
+    runs.run(spark, replace(settings, redetect_rotation=True), fakes.made_for(settings))
+    assert [target.read_bytes(f"s/a_p{n}.jpg") for n in (1, 2)] == [b"upside@180", b"plain@0"]
+    assert json.loads(source.read_text("s/transforms.json"))["a.pdf"]["2"] == [{"rotation": None}]
+
+
+def test_a_provider_or_storage_that_does_not_open_fails_submissions_without_pages(spark, sides, monkeypatch):
+    source, target, settings = sides
+    counts = runs.run(spark, settings, Providers(fakes.no_rasterizer, fakes.Images, fakes.Detector))
+    subs, pages = manifest(spark, target)
+    assert subs["good"] == ("failed", "Page extraction error: no such library") and not any(k[0] == "good" for k in pages)
+    assert subs["empty"] == ("completed", "") and subs["badjson"][1].startswith("Cannot parse") and not target.exists("good/metadata.json")
+    assert counts["failed"] == 5
+    lost = Storage("nosuch://there")
+    found = spark.createDataFrame([("a", "x/a")], "submission_id string, source_path string")
+    row = runs.extract(found, lost, target, PROVIDERS, 1).first()
+    assert row["broken"] and row["error"].startswith("Storage init error: ")
+
+
+def test_command_line(spark, sides, monkeypatch, caplog):
+    from pagewright.__main__ import main
+
+    _, target, settings = sides
+    env = {f"{side}_STORAGE_TYPE": "local" for side in ("SOURCE", "TARGET")} | {"SOURCE_STORAGE_PATH": settings.source.path, "TARGET_STORAGE_PATH": settings.target.path}
+    assert main({}) == 1 and main(env) == 1 and main(env | {"PAGEWRIGHT_PROVIDERS": "tests.fakes:nothing"}) == 1
+    assert main(env | {"PAGEWRIGHT_PROVIDERS": "tests.fakes:made_for"}) == 0
+    assert manifest(spark, target)[0]["good"] == ("completed", "")
+
+
+def test_a_stalled_run_leaves_manifests(spark, sides):
+    _, target, settings = sides
+    with pytest.raises(incremental.Stalled):
+        runs.run(spark, replace(settings, stall_warning=1, stall_timeout=2), Providers(Slow, fakes.Images, fakes.Detector))
+    assert not target.exists("pages.csv")
+
+
+class Slow(fakes.Pages):
+    def __init__(self):
+        time.sleep(60)
+
+
+def test_consumer_tree(spark):
+    subs = spark.createDataFrame([("bbbbbbbbbbbb", "failed"), ("aaaaaaaaaaaa", "completed"), ("c", "completed")], "submission_id string, status string")
+    rows = [("aaaaaaaaaaaa", "y.pdf", "10"), ("aaaaaaaaaaaa", "y.pdf", "9"), ("aaaaaaaaaaaa", "x.pdf", "1"), ("zz", "q", "1"), ("bbbbbbbbbbbb", "d", "1")]
+    pages = spark.createDataFrame([(*r, "i", "l") for r in rows], "submission_id string, doc_filename string, page_number string, image_filename string, lines_filename string")
+    got = [(r["label"], r["doc_filename"], r["page_number"], r["document"], r["place"]) for r in consumer.tree(subs, pages).collect()]
+    assert got == [
+        ("[completed] aaaaaaaa...", "x.pdf", 1, 0, 0),
+        ("[completed] aaaaaaaa...", "y.pdf", 9, 1, 0),
+        ("[completed] aaaaaaaa...", "y.pdf", 10, 1, 1),
+        ("[failed] bbbbbbbb...", "d", 1, 0, 0),
+        ("[completed] c...", None, None, None, None),
+    ]
+
+
 def test_cached_rotation_is_taken_unless_redetected():
     assert cached_first([{"x": 1}, {"rotation": None}, {"rotation": 90}], False) is None
     assert cached_first([{"rotation": 180}], False) == 180 and cached_first([{"rotation": 180}], True) is None and cached_first(None, False) is None
@@ -158,6 +229,6 @@ def test_watch_ends_a_hanging_job(spark):
             yield b
 
     with pytest.raises(incremental.Stalled):
-        incremental.watched(spark, lambda: spark.range(4).mapInPandas(hang, "id long").count(), 1, 4, warned.append, poll=0.5)
-    assert len(warned) == 1
+        incremental.watched(spark, lambda: spark.range(4).mapInPandas(hang, "id long").count(), 4, 8, lambda s, stages: warned.append(stages), poll=0.5)
+    assert len(warned) == 1 and any("tasks of" in s for s in warned[0])
     assert incremental.watched(spark, lambda: spark.range(10).filter(F.col("id") > 3).count(), None, None, poll=0.2) == 6

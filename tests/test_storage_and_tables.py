@@ -1,13 +1,14 @@
 """Files, settings, manifests and descriptors."""
 
 import csv
+import io
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from pagewright.schema import PAGE, filled
-from pagewright.settings import Side, read_settings
+from pagewright.settings import RotationService, Side, read_settings, whole_or
 from pagewright.sources import descriptor, tables
 from pagewright.sources.discovery import discover, repeated_ids
 from pagewright.sources.storage import Storage, open_side, with_retry
@@ -21,6 +22,10 @@ def test_settings_defaults_and_errors():
     assert read_settings(ENV | {"WORKER_RESULT_TIMEOUT": "0"}).stall_timeout is None
     assert read_settings(ENV | {"FORCE_REPROCESS": " YES "}).force_reprocess
     assert read_settings(ENV | {"SUBMITTER_FINGERPRINT_SALT": " x "}).salt == " x "
+    service = {"USE_IMAGE_TRANSFORM_AZURE_AI": "True", "AZURE_AI_ENDPOINT": "e", "AZURE_AI_API_KEY": "k", "MODEL_CACHE_DIR": "/m"}
+    assert read_settings(ENV | service).rotation_service == RotationService("e", "k") and read_settings(ENV | service).model_cache == "/m"
+    assert read_settings(ENV | service | {"AZURE_AI_API_KEY": ""}).rotation_service is None
+    assert (whole_or(None, 9), whole_or(5, 9), whole_or("5", 9), whole_or(object(), 9)) == (None, 5, 9, 9)
     for bad in ({"WORKER_PARALLELISM": "four"}, {"WORKER_PARALLELISM": "0"}, {"MAX_SUBMISSIONS": "-1"}, {"DETECTOR_TEXT_THRESHOLD": "bad"}, {"SOURCE_STORAGE_TYPE": "ftp"}, {"SOURCE_STORAGE_PATH": "  "}, {"WORKER_RESULT_TIMEOUT": "x"}):
         with pytest.raises(ValueError, match=next(iter(bad))):
             read_settings(ENV | bad)
@@ -53,6 +58,20 @@ def test_storage(tmp_path):
     s.probe_write()
 
 
+def test_addresses_for_spark_keep_their_scheme(spark, tmp_path):
+    bucket, prefix = open_side(Side("s3", "s3://box/p/q/", "id", "hush", "eu"))
+    assert bucket.uri(f"{prefix}/pages.csv") == "s3a://box/p/q/pages.csv"
+    assert bucket.hadoop_settings() == {"fs.s3a.bucket.box.access.key": "id", "fs.s3a.bucket.box.secret.key": "hush", "fs.s3a.bucket.box.endpoint.region": "eu"}
+    bucket.prepare(spark)
+    assert spark.sparkContext._jsc.hadoopConfiguration().get("fs.s3a.bucket.box.access.key") == "id"
+    for s in (Storage(str(tmp_path)), Storage(f"file://{tmp_path}")):
+        assert s.uri("a/b") == f"file://{tmp_path}/a/b" and s.hadoop_settings() == {}
+        s.write_text("submissions.csv", "submission_id,status\na,failed\n")
+        assert tables.load_submissions(spark, s).first()["status"] == "failed"
+        with pytest.raises(ValueError):
+            s.uri("../x")
+
+
 def test_retry_uses_all_attempts():
     waits, calls = [], []
 
@@ -86,7 +105,10 @@ def test_csv_round_trip_is_that_of_python(spark, tmp_path):
     tables.save_manifest(df, s, "pages.csv", ("submission_id", "doc_filename", "page_number"))
     with open(tmp_path / "pages.csv", newline="", encoding="utf-8") as f:
         assert sorted(r["error"] for r in csv.DictReader(f)) == sorted(ERRORS)
-    assert b"\r\n" not in (tmp_path / "pages.csv").read_bytes()
+    written = io.StringIO()
+    csv.writer(written, lineterminator="\n").writerows([df.columns, *sorted(rows, key=lambda r: r[:3])])
+    assert (tmp_path / "pages.csv").read_bytes() == written.getvalue().encode()
+    assert [p.name for p in tmp_path.iterdir() if "csv" in p.name and not p.name.startswith(".")] == ["pages.csv"]
     back = tables.load_pages(spark, s).drop("_order")
     assert sorted(map(tuple, back.collect())) == sorted(rows)
 
@@ -132,8 +154,8 @@ def test_metadata_keeps_what_it_may():
 
 
 def test_rotations(spark):
-    caches = spark.createDataFrame([("a", json.dumps({"d": {"1": [{"rotation": 90}], "2": [{"original_size": [1, 2]}]}})), ("b", "no json")], "submission_id string, text string")
+    caches = spark.createDataFrame([("a", json.dumps({"d": {"1": [{"rotation": 90}], "2": [{"original_size": [1, 2]}], "3": [{"original_size": [1, 2]}, {"rotation": None}, {"rotation": 90}]}})), ("b", "no json")], "submission_id string, text string")
     from pagewright.functions.exprs import cached_rotation
 
     got = {(r["doc_filename"], r["page_number"]): r["r"] for r in descriptor.rotations(caches).select("doc_filename", "page_number", cached_rotation(F.col("applied")).alias("r")).collect()}
-    assert got == {("d", 1): 90, ("d", 2): None}
+    assert got == {("d", 1): 90, ("d", 2): None, ("d", 3): None}
