@@ -22,13 +22,14 @@ from pagewright.llm.shared import text_or_empty, written
 
 #: Longest n-gram.
 ORDER = 5
-#: Documents a language that are learned from at most (a hash of doc_id picks them), and that calibrate rejection.
+#: Labelled documents a language that are learned from, and that calibrate rejection, about (a hash of each row picks
+#: them, and they are taken whole). Nothing else bounds the models, which hold every n-gram of these.
 SAMPLE = 4000
 CALIBRATE = 2000
+#: A language of fewer rows learns from all of them, and is held to the widest bounds of the others.
+FEW = 30
 #: Kneser-Ney's discount.
 DISCOUNT = 0.75
-#: Most n-grams of all models together; each order of each language holds an even part, its most frequent.
-GRAMS = 2_000_000
 #: Scores of so many words are kept by a Python worker.
 WORDS = 400_000
 #: Longer runs of letters are scored in parts of this length.
@@ -148,27 +149,50 @@ class Model:
     highest: np.ndarray = field(default_factory=lambda: np.full(len(BANDS), np.inf))
 
 
-def _model(k: np.ndarray, gram: np.ndarray, context: np.ndarray, value: np.ndarray, order: int) -> Model:
-    model = Model()
-    for j in range(1, order + 1):
-        own = k == j
-        g, c, v = gram[own], context[own], value[own].astype(float)
-        by = np.argsort(g)
-        g, c, v = g[by], c[by], v[by]
-        if j == 1:
-            total = max(v.sum(), 1.0)
-            model.floor = DISCOUNT * len(g) / total / 5000  # the discount's mass over unseen characters
-            model.grams.append(g)
-            model.probability.append(np.maximum(v - DISCOUNT, 0) / total + model.floor)
-            continue
-        contexts, back = np.unique(c, return_inverse=True)
-        total = np.bincount(back, weights=v, minlength=len(contexts))
-        kinds = np.bincount(back, minlength=len(contexts))
-        model.grams.append(g)
-        model.probability.append(np.maximum(v - DISCOUNT, 0) / total[back])
-        model.contexts.append(contexts)
-        model.backoff.append(DISCOUNT * kinds / total)
-    return model
+def gram_weights(counts: DataFrame) -> DataFrame:
+    """``counts`` of n-grams as lang, k, gram, context, probability, backoff (of the context), floor (of a character that is not known)."""
+    of = W.partitionBy("lang", "k", "context")  # followers of one context are as many as there are characters; a single letter has no context
+    total, kinds = F.greatest(F.sum("value").over(of), F.lit(1)), F.count("*").over(of)
+    # the discount's mass over unseen characters
+    floor = F.when(F.col("k") == 1, F.lit(DISCOUNT) * kinds / total / 5000).otherwise(0.0)
+    seen = F.greatest(F.col("value") - F.lit(DISCOUNT), F.lit(0.0)) / total + floor
+    return counts.select("lang", "k", "gram", "context", seen.alias("probability"), (F.lit(DISCOUNT) * kinds / total).alias("backoff"), floor.alias("floor"))
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """One order of one language as sorted arrays of bytes."""
+    gram, context, probability, backoff = (table.column(c).to_numpy() for c in ("gram", "context", "probability", "backoff"))
+    by = np.argsort(gram)
+    contexts, first = np.unique(context, return_index=True)
+    arrays = (gram[by], probability[by], contexts, backoff[first])
+    return pa.table({"lang": table.column("lang")[:1], "k": table.column("k")[:1], **{f"a{i}": pa.array([a.tobytes()], pa.binary()) for i, a in enumerate(arrays)}, "floor": table.column("floor")[:1]})
+
+
+def models_of(counts: DataFrame) -> tuple[list[str], list[Model]]:
+    """The languages of ``counts`` and their models.
+
+    Tasks build the sorted arrays, one an order of a language, which hold no more
+    than SAMPLE documents do. Only those come to the driver, to be broadcast.
+    """
+    packed = written(gram_weights(counts).groupBy("lang", "k").applyInArrow(_pack, "lang string, k int, a0 binary, a1 binary, a2 binary, a3 binary, floor double"), "models")
+    models: dict[str, Model] = {}
+    for r in packed.orderBy("lang", "k").toLocalIterator():
+        model = models.setdefault(r["lang"], Model())
+        grams, probability, contexts, backoff = (np.frombuffer(r[f"a{i}"], kind) for i, kind in enumerate(("<i8", "<f8", "<i8", "<f8")))
+        model.grams.append(grams)
+        model.probability.append(probability)
+        if r["k"] == 1:
+            model.floor = r["floor"]
+        else:
+            model.contexts.append(contexts)
+            model.backoff.append(backoff)
+    for model in models.values():  # texts of short words lack the longest n-grams
+        while len(model.grams) < ORDER:
+            model.grams.append(np.zeros(0, "<i8"))
+            model.probability.append(np.zeros(0))
+            model.contexts.append(np.zeros(0, "<i8"))
+            model.backoff.append(np.zeros(0))
+    return list(models), list(models.values())
 
 
 def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
@@ -249,34 +273,29 @@ def train(labelled: DataFrame, sample: int = SAMPLE, calibrate: int = CALIBRATE)
     they are taken whole. Null texts and null languages are left out.
     """
     rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return LanguageModels([], [])
-    if len(sizes) > 1000:
-        raise ValueError("more than 1000 languages")
-    lot = F.pmod(F.xxhash64(F.lit("lot"), "doc_id"), F.lit(1_000_000)) / F.lit(1e6)
-    share = F.lit(None).cast("double")
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, (sample + calibrate) / n))).otherwise(share)
-    picked = rows.withColumns({"lot": lot, "share": share}).filter("lot < share").withColumn("learns", F.expr(f"lot < share * {sample / (sample + calibrate)}"))
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit("lot"), "doc_id", "text"), 11) / F.lit(float(1 << 53))
+    share = F.least(F.lit(1.0), F.lit(float(sample + calibrate)) / F.col("rows"))
+    learns = (F.col("rows") < FEW) | (F.col("lot") < F.col("share") * (sample / (sample + calibrate)))
+    picked = rows.join(sizes, "lang").withColumns({"lot": lot, "share": share}).filter("lot < share").withColumn("learns", learns)
     picked = written(picked.select("doc_id", "lang", "text", "learns"), "sample")
-    rank = F.row_number().over(W.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))
-    table = gram_counts(picked.filter("learns").select("lang", "text")).withColumn("rank", rank).filter(F.col("rank") <= GRAMS // (ORDER * len(sizes))).toPandas()
-    languages = sorted(sizes)
-    models = []
-    for lang in languages:
-        own = table[table["lang"] == lang]
-        models.append(_model(own["k"].to_numpy(), own["gram"].to_numpy(), own["context"].to_numpy(), own["value"].to_numpy(), ORDER))
+    languages, models = models_of(gram_counts(picked.filter("learns").select("lang", "text")))
     out = LanguageModels(languages, models)
-    passages = _passages(picked.filter(~F.col("learns")).select("lang", "text"), out)
+    if not models:
+        return out
+    passages = _passages(picked.filter(~F.col("learns") & F.col("lang").isin(languages)).select("lang", "text"), out)
     bounds = passages.groupBy("lang", "band").agg(F.percentile("bits", F.lit(QUANTILE)).alias("high"), F.percentile("bits", F.lit(0.5)).alias("usual"), F.sum("first").alias("docs"))
-    for r in bounds.collect():
+    for r in bounds.collect():  # a row a language and length
         # the highest of few documents is below the quantile of many
         models[languages.index(r["lang"])].highest[r["band"]] = r["high"] + 2 / math.sqrt(r["docs"]) * max(r["high"] - r["usual"], 1.0)
     for model in models:
         for k in range(1, len(BANDS)):  # longer than all that was calibrated
             if math.isinf(model.highest[k]):
                 model.highest[k] = model.highest[k - 1]
+    known = [m.highest for m in models if not math.isinf(m.highest[0])]
+    for model in models:  # languages without a held-out document
+        if known and math.isinf(model.highest[0]):
+            model.highest = np.max(known, axis=0)
     return out
 
 

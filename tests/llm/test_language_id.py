@@ -1,10 +1,14 @@
+import functools
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from pagewright.llm import language_id as L
-from pagewright.llm.language_id import accepted, gram_counts, identify, train, word_scores, words_of
+from pagewright.llm.language_id import accepted, fold, gram_counts, identify, train, word_scores, words_of
 from pagewright.llm.shared import documents
 from tests.llm.conftest import frame, messy_rows
 
@@ -29,8 +33,8 @@ def test_probabilities_are_interpolated_kneser_ney(spark):
     """Against a direct reckoning over dictionaries, for every character that can follow."""
     texts = ["abra cadabra abrac", "barb drab abba", "crab"]
     df = spark.createDataFrame([("x", t) for t in texts], "lang string, text string")
-    table = gram_counts(df).toPandas()
-    model = L._model(table["k"].to_numpy(), table["gram"].to_numpy(), table["context"].to_numpy(), table["value"].to_numpy(), L.ORDER)
+    languages, (model,) = L.models_of(gram_counts(df))
+    assert languages == ["x"]
     edge, seen = chr(L.EDGE), {}
     for w in (w for t in texts for w in words_of(t)):
         padded = edge + w + edge
@@ -62,6 +66,53 @@ def test_probabilities_are_interpolated_kneser_ney(spark):
         assert np.isclose(word_scores([model], [w])[0, 0], bits)
 
 
+def test_whole_documents_against_brute_force(spark):
+    """Languages and bits of all rows, by models over dictionaries of the same documents."""
+    docs = documents(spark, "/root/testdata/sf0.001")
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit("lot"), "doc_id", "text"), 11) / F.lit(float(1 << 53))
+    learned = docs.filter(fold() != 1).filter("text IS NOT NULL AND lang IS NOT NULL").filter(lot < L.SAMPLE / (L.SAMPLE + L.CALIBRATE)).collect()
+    value, total, kinds = {}, {}, {}
+    for lang in sorted({r["lang"] for r in learned}):
+        seen, left = Counter(), {}
+        for w in (w for r in learned if r["lang"] == lang for w in words_of(r["text"])):
+            padded = chr(L.EDGE) + w + chr(L.EDGE)
+            for k in range(1, L.ORDER + 1):
+                for j in range(max(k - 1, 1), len(padded)):
+                    seen[padded[j - k + 1 : j + 1]] += 1
+        for g in seen:
+            left.setdefault(g[1:], set()).add(g[0])
+        own = value[lang] = {g: n if len(g) == L.ORDER or g not in left else len(left[g]) for g, n in seen.items()}
+        total[lang], kinds[lang] = Counter(), Counter()
+        for g, v in own.items():
+            total[lang][g[:-1]] += v
+            kinds[lang][g[:-1]] += 1
+
+    @functools.cache
+    def p(lang, context, c):
+        n = total[lang][context]
+        seen = max(value[lang].get(context + c, 0) - L.DISCOUNT, 0) / n if n else 0.0
+        if not context:
+            return seen + L.DISCOUNT * kinds[lang][""] / n / 5000
+        return seen + (L.DISCOUNT * kinds[lang][context] / n if n else 1.0) * p(lang, context[1:], c)
+
+    @functools.cache
+    def bits(lang, w):
+        padded = chr(L.EDGE) + w + chr(L.EDGE)
+        return sum(-math.log2(p(lang, padded[max(0, j - L.ORDER + 1) : j], padded[j])) for j in range(1, len(padded)))
+
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in identify(docs).collect():
+        found = words_of(text[r["doc_id"]] or "")
+        if not found:
+            assert r["lang_pred"] == "und"
+            continue
+        n = sum(len(w) + 1 for w in found)
+        each = {lang: sum(bits(lang, w) for w in found) / n for lang in value}
+        assert math.isclose(r["bits"], min(each.values()), rel_tol=1e-9) and math.isclose(each[r["lang_pred"]], min(each.values()), rel_tol=1e-9)
+        gaps = [min((x - min(each.values())) * math.sqrt(n), 500) for x in each.values()]
+        assert math.isclose(r["score"], 1 / sum(2**-g for g in gaps), rel_tol=1e-6)
+
+
 def test_messy_rows(messy):
     got = identify(messy).collect()
     assert len(got) == len(messy_rows())
@@ -105,6 +156,15 @@ def test_foreign_passages_and_common_letters_are_rejected(spark):
     assert sum(kept) >= 0.98 * len(kept)
 
 
+def test_many_and_small_languages(spark):
+    """No number of languages is too large, and one with a single row is known, too, without taking the noise."""
+    docs = documents(spark, "/root/testdata/sf0.01").filter("lang IS NOT NULL").select("doc_id", "text", "lang", "source")
+    tiny = [(10**6 + k, " ".join("".join(chr(0x4E00 + 30 * k + (7 * j + i) % 30) for i in range(4)) for j in range(40)), f"t{k}", "s") for k in range(8)]
+    fitted = train(docs.union(spark.createDataFrame(tiny, "doc_id long, text string, lang string, source string")))
+    assert {f"t{k}" for k in range(8)} <= set(fitted.languages) and len(fitted.languages) == 8 + docs.select("lang").distinct().count()
+    assert all(np.isfinite(m.highest).all() for m in fitted.models)
+
+
 def test_nothing_to_read_or_learn_from(spark, nothing):
     assert identify(nothing).count() == 0 and accepted(nothing).count() == 0
     bare = frame(spark, [(1, "some text", None, "a")])
