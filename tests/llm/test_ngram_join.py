@@ -69,12 +69,58 @@ def crowd(seed, n):
 
 
 def test_crowds_lose_no_link(spark, monkeypatch):
-    for seed, cost in ((1, 500), (2, 3), (3, 0)):  # with small costs most nodes get the longest prefix
+    for seed, cost in ((1, 500), (3, 0)):  # with small costs most nodes get the longest prefix
         monkeypatch.setattr(J, "COST", cost)
         rows = crowd(seed, 260)
         check(frame(spark, rows), rows)
 
 
+def loose(seed, n, least=0, most=16, length=300, source=0):
+    """Copies of one text with ``least`` to ``most`` words changed, each apart from the others."""
+    rnd = random.Random(seed)
+    base = words(7000 + source, length, 10**9)
+    rows = []
+    for k in range(n):
+        text = list(base)
+        for at in rnd.sample(range(length), rnd.randint(least, most)):
+            text[at] = f"e{rnd.randrange(10**6)}"
+        rows.append((k, " ".join(text[: length - rnd.choice([0, 0, 0, rnd.randrange(30)])]), "en", "a"))
+    return rows
+
+
+def test_loose_groups_lose_no_link(spark, monkeypatch):
+    """Groups without their source and of two sources, also where sets stand for a few nodes only, and hot shingles are dealt out."""
+    monkeypatch.setattr(J, "COST", 20)
+    for seed, least, members, hot in ((1, 3, 16, 2000), (2, 4, 2, 7), (3, 0, 10**6, 50)):
+        monkeypatch.setattr(J, "MEMBERS", members)
+        monkeypatch.setattr(J, "HOT", hot)
+        rows = loose(seed, 110, least, 12, 150)
+        half = loose(seed + 50, 40, least, 9, 150, source=1)
+        mixed = [(1000 + k, " ".join(half[k][1].split()[: 75 + k] + rows[k][1].split()[75 + k :]), "en", "a") for k in range(40)]
+        rows += [(500 + i, t, *more) for i, t, *more in half] + mixed
+        check(frame(spark, rows), rows)
+
+
+def test_loose_groups_without_pivots(spark, monkeypatch):
+    """What the search between groups must find by itself."""
+    real = J._against_pivots
+    monkeypatch.setattr(J, "_against_pivots", lambda *a: real(*a).limit(0))
+    monkeypatch.setattr(J, "COST", 20)
+    for seed, percent, members in ((1, 85, 4), (2, 40, 3)):
+        monkeypatch.setattr(J, "MEMBERS", members)
+        rows = loose(seed, 80, 1, 14, 90) + [(500 + i, t, *more) for i, t, *more in loose(seed + 9, 30, 0, 9, 90, source=1)]
+        check(frame(spark, rows), rows, 3, percent)
+
+
+def test_candidates_of_loose_groups_grow_in_proportion(spark):
+    counts = []
+    for n in (300, 600, 1200):
+        join = J.Join(frame(spark, loose(5, n)), 4, 85)
+        join.groups()
+        counts.append(sum(pairs.count() for pairs in join.candidates))
+    assert counts[1] <= 2.5 * counts[0] and counts[2] <= 2.5 * counts[1]
+
+
 def test_growing_versions_meet_without_pivots(spark, monkeypatch):
     real = J._against_pivots
     monkeypatch.setattr(J, "_against_pivots", lambda *a: real(*a).limit(0))
