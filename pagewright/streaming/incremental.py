@@ -32,27 +32,45 @@ def follow(stream: DataFrame, manifest: Callable[[], DataFrame], process: Callab
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stalls(results: DataFrame, warn: int = 90, abort: int = 900, mode: str = "append") -> DataFrame:
-    """Of a stream of (run_id, ts): a row for each gap of at least ``warn`` seconds before a result, kept a run at a time.
+def stalls(results: DataFrame, warn: int = 90, abort: int = 900, mode: str = "append", timer: bool = False) -> DataFrame:
+    """Of a stream of (run_id, ts): a row for each gap of at least ``warn`` seconds after a result, and one where it reaches ``abort``.
 
-    A run's last result is its state; late results older than it only confirm it.
+    With ``timer`` a gap is told when the clock reaches a limit, each limit once,
+    else when the result after it comes. A run's last result is its state; late
+    results older than it only confirm it.
     """
 
     def step(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
         import pandas as pd
 
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values("ts")
+        last, told = state.get if state.exists else (None, 0)
         out = []
-        for ts in rows["ts"]:
-            now = ts.timestamp()
-            if last is not None and now - last >= warn:
-                out.append((key[0], ts, int(now - last), now - last >= abort))
-            last = now if last is None else max(last, now)
-        state.update((last,))
-        yield pd.DataFrame(out, columns=["run_id", "ts", "gap", "aborts"])
-
-    return results.groupBy("run_id").applyInPandasWithState(step, "run_id string, ts timestamp, gap long, aborts boolean", "last double", mode, GroupStateTimeout.NoTimeout)
+
+        def tell(at: float) -> int:
+            gap = at - last
+            level = 2 if gap >= abort else 1 if gap >= warn else 0
+            if level > told:
+                out.append((key[0], at, int(gap), level == 2))
+            return max(level, told)
+
+        if state.hasTimedOut:
+            told = tell(time.time())
+        else:
+            for at in sorted(pd.concat(list(frames))["at"]):
+                if last is not None:
+                    tell(at)
+                if last is None or at > last:
+                    last, told = at, 0
+        state.update((last, told))
+        if timer and told < 2:
+            wait = last + (abort if told else warn) - time.time()
+            state.setTimeoutDuration(max(1, int(wait * 1000) + 1))
+        yield pd.DataFrame(out, columns=["run_id", "at", "gap", "aborts"])
+
+    limit = GroupStateTimeout.ProcessingTimeTimeout if timer else GroupStateTimeout.NoTimeout
+    seen = results.select("run_id", F.col("ts").cast("double").alias("at")).groupBy("run_id")
+    found = seen.applyInPandasWithState(step, "run_id string, at double, gap long, aborts boolean", "last double, told long", mode, limit)
+    return found.select("run_id", F.timestamp_seconds("at").alias("ts"), "gap", "aborts")
 
 
 class Stalled(RuntimeError):

@@ -220,6 +220,22 @@ def test_stalls_of_a_stream(spark, tmp_path):
     assert sorted((r["gap"], r["aborts"]) for r in spark.table("stalls").collect()) == [(150, False), (1000, True)]
 
 
+def test_a_timer_tells_stalls_while_nothing_comes(spark, tmp_path):
+    folder = tmp_path / "r"
+    spark.createDataFrame([("r",)], "run_id string").withColumn("ts", F.current_timestamp()).coalesce(1).write.parquet(str(folder))
+    stream = spark.readStream.schema("run_id string, ts timestamp").parquet(str(folder))
+    query = incremental.stalls(stream, 2, 6, timer=True).writeStream.format("memory").queryName("timed").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="1 second").start()
+    try:
+        for _ in range(90):
+            rows = [(r["gap"], r["aborts"]) for r in spark.table("timed").collect()]
+            if any(aborts for _, aborts in rows):
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert rows[-1][1] and rows[-1][0] >= 6 and len(rows) <= 2 and all(2 <= gap for gap, _ in rows)
+
+
 def test_watch_ends_a_hanging_job(spark):
     warned = []
 
