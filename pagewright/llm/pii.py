@@ -1,10 +1,10 @@
 """Personal data by fixed forms, and by contexts that the found ones teach.
 
-What the four base forms match seeds a graph of patterns (the words on the
-left, on the right or on both sides of an identifier) and instances (what looks
-like an identifier). Belief flows between the two by rounds of joins, until no
-further pattern is known; patterns that keep company mostly with believed
-identifiers add spans of their own.
+What the four base forms match, and long hexadecimal keys, seed a graph of
+patterns (the words on the left, on the right or on both sides of an identifier)
+and instances (what looks like an identifier). Belief flows between the two by
+rounds of joins, until no further pattern is known; patterns that keep company
+mostly with believed identifiers add spans of their own.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import text_or_empty, written
+from pagewright.llm.shared import text_or_empty, unused, written
 
 #: Kinds in the order in which spans that start together are listed; added spans come last.
 KINDS = ("email", "ip", "card", "phone", "context")
@@ -35,6 +35,9 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+#: A form that seeds contexts but adds no span by itself: what is found is found by its context.
+KEY = re.compile(r"(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])[0-9a-fA-F]{32,}")
+
 _DIGITS = re.compile(r"[0-9]").search
 _TOKEN = re.compile(r"[^\s=]+=*(?=\s|$)|[^\s=]+|=+")
 _TRIM = ".,;:!?\"'()[]{}<>|#$%&*="
@@ -111,7 +114,8 @@ class _Candidates:
             right = [_word(tail), right[0]]
         patterns = {_pattern(f"l{form}", *left), _pattern(f"r{form}", *right), _pattern(f"b{form}", left[1], right[0])} - {None}
         if patterns:
-            self.found.append((start, end, run, whole, sorted(patterns), xxhash.xxh64_intdigest(text) - (1 << 63), kind))
+            seed = bool(kind) or KEY.fullmatch(text) is not None
+            self.found.append((start, end, run, whole, sorted(patterns), xxhash.xxh64_intdigest(text) - (1 << 63), kind, seed))
 
     def add_run(self, cores: list[tuple[int, int, int]]) -> None:
         """Adds neighbouring tokens (number, start, end), each and as a whole."""
@@ -127,8 +131,8 @@ def _like(core: str) -> bool:
     return bool(_DIGITS(core)) or "@" in core
 
 
-def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, bool, list[int], int, str]]:
-    """Base spans, and what looks like an identifier: start, end, its run, whether it is all of the run, patterns, instance, the base kind or "".
+def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, bool, list[int], int, str, bool]]:
+    """Base spans, and what looks like an identifier: start, end, its run, whether it is all of the run, patterns, instance, the base kind or "", whether it is a seed.
 
     Tokens with a digit or an at sign look like identifiers, and so do runs of them
     that only white space parts, with words in capitals between two of them.
@@ -178,7 +182,7 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
     return own.found
 
 
-_NEAR = [("start", pa.int64()), ("end", pa.int64()), ("run", pa.int64()), ("whole", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("instance", pa.int64()), ("kind", pa.string())]
+_NEAR = [("start", pa.int64()), ("end", pa.int64()), ("run", pa.int64()), ("whole", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("instance", pa.int64()), ("kind", pa.string()), ("seed", pa.bool_())]
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,30 +195,31 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = base_spans(t)
             base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
             more.append([dict(zip(names, c, strict=True)) for c in candidates(t, found)])
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(base, span), pa.array(more, pa.list_(pa.struct(_NEAR)))], names=["doc_id", "row", "base", "near"])
+        kept = ["doc_id", "row", "text_sha256"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(base, span), pa.array(more, pa.list_(pa.struct(_NEAR)))], names=[*kept, "base", "near"])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """For each row: doc_id, a number, its base spans, and its candidates with their patterns."""
-    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("row", F.monotonically_increasing_id())
+    """For each row: doc_id, a number, a digest of its text, its base spans, and its candidates with their patterns."""
+    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumns({"row": F.monotonically_increasing_id(), "text_sha256": F.sha2("text", 256)})
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         _scan,
-        f"doc_id {kind}, row long, base array<struct<kind:string,start:long,end:long>>,"
-        " near array<struct<start:long,end:long,run:long,whole:boolean,patterns:array<long>,instance:long,kind:string>>",
+        f"doc_id {kind}, row long, text_sha256 string, base array<struct<kind:string,start:long,end:long>>,"
+        " near array<struct<start:long,end:long,run:long,whole:boolean,patterns:array<long>,instance:long,kind:string,seed:boolean>>",
     )
 
 
 def learn_patterns(found: DataFrame) -> DataFrame:
     """The patterns that are known for identifiers: pattern, confidence, support.
 
-    Base matches are believed from the start. A pattern's support is the sum of
+    Seeds are believed from the start. A pattern's support is the sum of
     its instances' beliefs, each counted once, and its confidence their average.
     From CONFIDENCE and SUPPORT on it is known, and its other instances are
     believed as much as it was then, so that they can make further patterns
     known. Rounds go on until one makes no pattern known.
     """
-    near = found.select(F.explode("near").alias("n")).select("n.instance", (F.col("n.kind") != "").alias("seed"), F.explode("n.patterns").alias("pattern"))
+    near = found.select(F.explode("near").alias("n")).select("n.instance", "n.seed", F.explode("n.patterns").alias("pattern"))
     edges = near.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
     edges = written(edges, "edges")
     beliefs = written(edges.filter("seed").select("instance", F.lit(1.0).alias("belief")).distinct(), "beliefs")
@@ -247,7 +252,8 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     tokens, the whole if it does, else those of its tokens that do. Repeated rows
     each get a row; other columns are not read; an empty table gives an empty result.
 
-    Returns doc_id, n_email, n_ip, n_card, n_phone, n_context, base_sha256, spans.
+    Returns doc_id, n_email, n_ip, n_card, n_phone, n_context, n_spans, base_sha256,
+    spans, text_sha256 (of the text, by which redact finds the spans).
     """
     found = written(scan(docs), "found")
     good = learn_patterns(found).select("pattern")
@@ -257,27 +263,39 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     added = spans.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("added"))
     rows = found.drop("near").join(added, "row", "left").withColumn("all", F.expr("concat(base, coalesce(added, array()))"))
     count = {f"n_{k}": F.expr(f"CAST(size(filter(all, s -> s.kind = '{k}')) AS long)") for k in KINDS}
-    return rows.select("doc_id", *(c.alias(n) for n, c in count.items()), F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("all").alias("spans"))
+    every = F.size("all").cast("long").alias("n_spans")
+    return rows.select("doc_id", *(c.alias(n) for n, c in count.items()), every, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("all").alias("spans"), "text_sha256")
 
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` (with unique doc_id) with each span of ``found`` replaced by its kind in angle brackets."""
+    """``docs`` with each span of ``found`` (see find_personal_data) replaced by its kind in angle brackets.
+
+    Spans belong to a text, whatever row it is in, so null and repeated doc_id are
+    no matter; a null text stays null. A text that ``found`` does not cover is an
+    error: it must not go out as it is.
+    """
 
     @F.pandas_udf("string")
     def cover(text, spans):
+        import pandas as pd
+
         out = []
         for t, s in zip(text, spans, strict=True):
+            if t is not None and s is None:
+                raise ValueError("a text was not searched for personal data")
             if t is not None and s:
                 cut, at = [], 0
                 for kind, start, end in (x.split(":") for x in s.split(",")):
                     if int(start) >= at:
                         cut += [t[at : int(start)], f"<{kind}>"]
-                        at = int(end)
+                    elif int(end) > at:
+                        cut.append(f"<{kind}>")  # spans that overlap
+                    at = max(at, int(end))
                 t = "".join(cut) + t[at:]
             out.append(t)
-        import pandas as pd
-
         return pd.Series(out, dtype="object")
 
-    spans = found.select("doc_id", F.col("spans").alias("_spans"))
-    return docs.join(spans, "doc_id", "left").withColumn("text", cover("text", "_spans")).select(*docs.columns)
+    digest, spans = unused(docs, "digest", "spans")
+    known = found.groupBy(F.col("text_sha256").alias(digest)).agg(F.first("spans").alias(spans))
+    keyed = docs.withColumn(digest, F.sha2(text_or_empty(), 256)).join(known, digest, "left")
+    return keyed.withColumn("text", cover(F.col("text").cast("string"), F.col(spans))).select(*docs.columns)

@@ -2,10 +2,11 @@ import hashlib
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pagewright.llm.pii import KINDS, base_spans, candidates, find_personal_data, luhn, redact
+from pagewright.llm.pii import CONFIDENCE, KINDS, SUPPORT, base_spans, candidates, find_personal_data, learn_patterns, luhn, redact, scan
 from pagewright.llm.shared import documents
 from tests.llm.conftest import frame, messy_rows
 
@@ -47,7 +48,7 @@ def check(df, rows):
     assert sorted(str((r["doc_id"], r["base_sha256"])) for r in got) == want
     for r in got:
         kinds = [s.split(":")[0] for s in r["spans"].split(",") if s]
-        assert [kinds.count(k) for k in KINDS] == [r[f"n_{k}"] for k in KINDS]
+        assert [kinds.count(k) for k in KINDS] == [r[f"n_{k}"] for k in KINDS] and r["n_spans"] == len(kinds)
     return got
 
 
@@ -96,12 +97,61 @@ def test_found_instances_make_further_contexts_known(spark):
     assert got[3002]["spans"] == f"context:16:{16 + len(long)}"
 
 
+def test_keys_teach_contexts_of_secrets(spark):
+    """Long hexadecimal keys seed contexts; secrets of another form there are found, and keys elsewhere are not."""
+    rnd = random.Random(12)
+    key = lambda n: "".join(rnd.choices("0123456789abcdef", k=n - 2)) + "a1"
+    rows = [(k, f'{"abcdefg"[k % 7]} token = "{key(40)}" {"hijkl"[k % 5]}', "en", "a") for k in range(30)]
+    rows += [(100, 'my token = "Zm9vYmFy-09_qqWWee" here', "en", "a"), (101, f"commit {key(40)} fixed it", "en", "a"), (102, "a token of 9 parts", "en", "a")]
+    got = {r["doc_id"]: r for r in check(frame(spark, rows), rows)}
+    assert all(got[k]["n_context"] == 1 for k in range(30))
+    assert got[100]["spans"] == "context:12:30"
+    assert got[101]["n_spans"] == 0 and got[102]["n_spans"] == 0
+
+
+def brute_patterns(texts):
+    """The known patterns by dictionaries."""
+    edges, seeds = {}, set()
+    for t in texts:
+        for *_, patterns, instance, _, seed in candidates(t, base_spans(t)):
+            seeds |= {instance} if seed else set()
+            for p in patterns:
+                edges.setdefault(p, set()).add(instance)
+    belief, known = {i: 1.0 for i in seeds}, {}
+    while True:
+        fresh = {}
+        for p, own in edges.items():
+            support = sum(belief.get(i, 0.0) for i in own)
+            if p not in known and len(own) >= SUPPORT and support >= SUPPORT and support / len(own) >= CONFIDENCE:
+                fresh[p] = support / len(own)
+        if not fresh:
+            return known
+        known |= fresh
+        for p, c in fresh.items():
+            for i in edges[p]:
+                belief[i] = max(belief.get(i, 0.0), c)
+
+
+def test_patterns_are_those_of_the_rounds(spark):
+    """Against a brute force over dictionaries, on a small table and on identifiers that lead from one context to the next."""
+    rnd = random.Random(13)
+    texts = [r["text"] for r in documents(spark, "/root/testdata/sf0.01").collect() if r["text"]]
+    pools = [[card(rnd) for _ in range(1000)]] + [[f"{'xyzw'[k]}{rnd.randrange(10**6):06}q" for _ in range(25)] for k in range(4)]
+    for k, (left, right) in enumerate((("pay card", "now"), ("member no", "joined"), ("ref id", "sent"), ("lot nr", "gone"))):
+        own = pools[k] + pools[k + 1][: (25, 1, 9, 20)[k]]  # what the second context teaches is too little for the third
+        texts += [f"{'abcd'[j % 4]} {left} {i} {right} {'efg'[j % 3]}" for j, i in enumerate(own)]
+    docs = frame(spark, [(k, t, "en", "a") for k, t in enumerate(texts)])
+    got = {r["pattern"]: r["confidence"] for r in learn_patterns(scan(docs)).collect()}
+    want = brute_patterns(texts)
+    assert got.keys() == want.keys() and len(got) > 6 and len(set(got.values())) > 2 and all(abs(got[p] - want[p]) < 1e-9 for p in got)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="a9A.@= ,\n1", max_size=40))
 def test_candidates_lie_in_the_text_and_apart(text):
     spans = base_spans(text)
     found = candidates(text, spans)
-    for s, e, run, whole, patterns, _, kind in found:
+    for s, e, run, whole, patterns, _, kind, seed in found:
         assert 0 <= s < e <= len(text) and patterns and run <= s
         assert kind or not any(s < b and a < e for _, a, b in spans)
     whole = sorted((s, e) for s, e, _, w, *_ in found if w)
@@ -114,5 +164,16 @@ def test_redaction_covers_the_spans(spark):
     assert out == {1: "mail <email> or <phone>!", 2: None, 3: "clean"}
 
 
+def test_redaction_needs_no_ids(spark):
+    """Null and repeated doc_id and columns of clashing names; a text that was not searched is an error."""
+    rows = [(None, "mail a.b@c.org", "en", "a"), (None, "call +1 (741) 555-3069", "en", "a"), (1, "x@y.zz", "en", "a"), (1, "x@y.zz", "en", "a"), (1, "fine", "en", "a")]
+    docs = frame(spark, rows).selectExpr("*", "'s' AS spans", "'d' AS _spans")
+    out = redact(docs, find_personal_data(docs))
+    assert out.columns == docs.columns
+    assert sorted(r["text"] for r in out.collect()) == ["<email>", "<email>", "call <phone>", "fine", "mail <email>"]
+    with pytest.raises(Exception, match="not searched"):
+        redact(docs, find_personal_data(docs.filter("text <> 'fine'"))).collect()
+
+
 def test_nothing(nothing):
     assert find_personal_data(nothing).count() == 0
