@@ -16,30 +16,34 @@ from pagewright.llm.shared import written
 LINES = 3
 
 
+#: 128 bits that tell (doc_id, text) apart.
+KEY = ["_k1", "_k2"]
+
+
 def _key(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_text", F.xxhash64(F.lit("text"), "text"))
+    return docs.withColumns({"_k1": F.xxhash64("doc_id", "text"), "_k2": F.xxhash64(F.lit("second"), "text", "doc_id")})
 
 
 def windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """Each window of ``lines`` lines that holds a word: doc_id, _text (a hash of the text), position of its first line, two hashes."""
+    """Each window of ``lines`` lines that holds a word: doc_id, KEY, position of its first line, two hashes."""
     held = [f"l[i + {k}]" for k in range(lines)]
     each = f"""transform(sequence(0, size(l) - {lines}), i -> struct(
         i AS pos, xxhash64({", ".join(held)}) AS h1, xxhash64('second', {", ".join(reversed(held))}) AS h2, trim(concat({", ".join(held)})) <> '' AS words))"""
-    split = _key(docs).filter(F.col("text").contains("\n")).select("doc_id", "_text", F.split("text", "\n", -1).alias("l"))
-    return split.filter(F.size("l") >= lines).select("doc_id", "_text", F.expr(f"inline({each})")).filter("words").drop("words")
+    split = _key(docs).filter(F.col("text").contains("\n")).select("doc_id", *KEY, F.split("text", "\n", -1).alias("l"))
+    return split.filter(F.size("l") >= lines).select("doc_id", *KEY, F.expr(f"inline({each})")).filter("words").drop("words")
 
 
 def removed_spans(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """Merged spans of lines that later occurrences cover: doc_id, _text, spans (array of first and last line)."""
+    """Merged spans of lines that later occurrences cover: KEY, spans (array of first and last line)."""
     found = written(windows(docs, lines), "windows")
-    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pos", "_text")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pos", *KEY)
     repeated = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(at).alias("first")).filter("n > 1").drop("n")
-    later = found.join(repeated, ["h1", "h2"]).filter(at != F.col("first")).select("doc_id", "_text", "pos").distinct()
-    own = W.partitionBy("doc_id", "_text").orderBy("pos")
+    later = found.join(repeated, ["h1", "h2"]).filter(at != F.col("first")).select(*KEY, "pos").distinct()
+    own = W.partitionBy(*KEY).orderBy("pos")
     opens = F.coalesce(F.col("pos") > F.lag("pos").over(own) + lines, F.lit(True)).cast("int")
     runs = later.withColumn("opens", opens).withColumn("run", F.sum("opens").over(own))
-    merged = runs.groupBy("doc_id", "_text", "run").agg(F.min("pos").alias("start"), (F.max("pos") + lines - 1).alias("end"))
-    return merged.groupBy("doc_id", "_text").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    merged = runs.groupBy(*KEY, "run").agg(F.min("pos").alias("start"), (F.max("pos") + lines - 1).alias("end"))
+    return merged.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def _listed(spans: Column) -> Column:
@@ -60,10 +64,9 @@ def drop_repeated_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     """
     spans = removed_spans(docs, lines)
     keyed = _key(docs.select("doc_id", "text"))
-    same = keyed["doc_id"].eqNullSafe(spans["doc_id"]) & (keyed["_text"] == spans["_text"])
-    joined = keyed.join(spans, same, "left").select(keyed["doc_id"], keyed["text"], keyed["_text"], spans["spans"])
-    again = F.row_number().over(W.partitionBy("doc_id", "_text").orderBy("text")) > 1
-    split = joined.withColumn("again", again).withColumn("l", F.split("text", "\n", -1))
+    # the join and the window deal rows out by the same key, so texts are moved once
+    again = F.row_number().over(W.partitionBy(*KEY).orderBy("doc_id")) > 1
+    split = keyed.join(spans, KEY, "left").withColumn("again", again).withColumn("l", F.split("text", "\n", -1))
     n = F.size("l")
     whole = F.col("again") & (n >= lines) & F.col("text").rlike(r"\S")
     cut = F.when(whole, F.array(F.struct(F.lit(0).alias("start"), (n - 1).alias("end")))).otherwise(F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")))
