@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import text_or_empty, written
+from pagewright.llm.shared import text_or_empty, unused, written
 
 #: Virtual slots; fixed for the life of a corpus, so that a record never changes its slot.
 SLOTS = 8192
@@ -46,20 +46,23 @@ def _least_loaded(shards: int, loads: str, entries: str) -> str:
     return f"""aggregate({entries},
         named_struct('loads', {loads}, 'taken', cast(array() AS array<bigint>)),
         (s, e) -> named_struct(
-            'loads', transform(s.loads, (x, i) -> IF(i + 1 = {least}, x + e.bytes, x)),
+            'loads', transform(s.loads, (x, i) -> IF(i + 1 = {least}, x + greatest(e.bytes, 1), x)),
             'taken', concat(s.taken, array({least} - 1))),
         s -> s.taken)"""
 
 
-def slot_map(bytes_by_slot: DataFrame, shards: int, before: DataFrame | None = None, version: int = 0) -> DataFrame:
-    """A map of version ``version``: virtual_slot, shard, version, bytes, rows.
+def slot_map(bytes_by_slot: DataFrame, shards: int, before: DataFrame | None = None, version: int = 0, slots: int = SLOTS) -> DataFrame:
+    """A map of version ``version`` of all slots, empty ones too: virtual_slot, shard, version, bytes, rows.
 
     Without ``before``, slots go from the largest down, each to the shard with the
     least bytes. With ``before`` (an earlier map) a shard keeps its largest slots
     up to an even share of all bytes; only what is over that, and slots whose
-    shard is gone, goes to the least loaded shards. The input has at most SLOTS
-    rows, so the one task that orders them is bounded. No rows: an empty map.
+    shard is gone, goes to the least loaded shards. An empty slot counts as one byte
+    and stays where it is. The map has ``slots`` rows, so the one task that orders
+    them is bounded.
     """
+    every = bytes_by_slot.sparkSession.range(slots).select(F.col("id").cast("int").alias("virtual_slot"))
+    bytes_by_slot = every.join(bytes_by_slot, "virtual_slot", "left").fillna(0, ["bytes", "rows"])
     if before is None:
         placed = bytes_by_slot.withColumn("stays", F.lit(None).cast("long"))
     else:
@@ -69,7 +72,7 @@ def slot_map(bytes_by_slot: DataFrame, shards: int, before: DataFrame | None = N
         placed = (
             bytes_by_slot.join(F.broadcast(old), "virtual_slot", "left")
             .join(F.broadcast(share))
-            .withColumn("stays", F.when((F.col("old") < shards) & (running <= F.col("share")), F.col("old")))
+            .withColumn("stays", F.when((F.col("old") < shards) & ((running <= F.col("share")) | (F.col("bytes") == 0)), F.col("old")))
             .select(*bytes_by_slot.columns, "stays")
         )
     entry = "struct(-bytes AS less, virtual_slot, bytes, rows)"
@@ -107,11 +110,32 @@ def shard(docs: DataFrame, shards: int = 8, slots: int = SLOTS, before: DataFram
     Other columns are not read. An empty table gives an empty result.
     """
     rows = written(sized(docs, slots), "sized")
-    table = written(slot_map(slot_bytes(rows), shards, before, version), f"slot-map-v{version}")
+    table = written(slot_map(slot_bytes(rows), shards, before, version, slots), f"slot-map-v{version}")
     return place(rows, table)
 
 
-def write_shards(docs: DataFrame, table: DataFrame, path: str, slots: int = SLOTS) -> None:
-    """Write ``docs`` with all columns under ``path``/_shard=k/ by the map ``table``, with no shuffle."""
-    placed = docs.withColumn("__slot", virtual_slot(slots)).join(F.broadcast(table.select(F.col("virtual_slot").alias("__slot"), F.col("shard").alias("_shard"))), "__slot")
-    placed.drop("__slot").write.partitionBy("_shard").mode("overwrite").parquet(path)
+def shard_and_grow(docs: DataFrame, shards: int = 8, slots: int = SLOTS) -> DataFrame:
+    """What ``shard`` gives, with the edit of the map that takes in one more shard.
+
+    ``next_shard`` and ``next_version`` are those of the edited map: only slots over
+    an even share of its shard's bytes have another shard there.
+    """
+    rows = written(sized(docs, slots), "sized")
+    table = written(slot_map(slot_bytes(rows), shards, slots=slots), "slot-map-v0")
+    edited = slot_map(table.select("virtual_slot", "bytes", "rows"), shards + 1, table, 1, slots)
+    named = edited.select("virtual_slot", F.col("shard").alias("next_shard"), F.col("version").alias("next_version"))
+    return place(rows, table).join(F.broadcast(named), "virtual_slot")
+
+
+def write_shards(docs: DataFrame, table: DataFrame, path: str, slots: int = SLOTS) -> str:
+    """Write ``docs`` with all columns under ``path``, in a folder a shard, by the map ``table``, with no shuffle.
+
+    Returns the name of the partition column: shard, with underscores before it
+    where ``docs`` has that already. The map has all slots, so rows of slots that
+    were empty when it was made are written, too.
+    """
+    slot, shard = unused(docs, "virtual_slot", "shard")
+    named = table.select(F.col("virtual_slot").alias(slot), F.col("shard").alias(shard))
+    placed = docs.withColumn(slot, virtual_slot(slots)).join(F.broadcast(named), slot)
+    placed.drop(slot).write.partitionBy(shard).mode("overwrite").parquet(path)
+    return shard
