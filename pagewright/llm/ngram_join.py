@@ -58,8 +58,7 @@ BROADCAST = 500_000
 HOT = 2000
 #: Rounds in which nodes go whose own tokens, in whole sets, leave no room for a partner; others' tokens then become own.
 PRUNES = 3
-#: Rounds against pivots before the search between groups; nodes of a token for one pivot, and pivots a token at most.
-PIVOTS = 2
+#: Nodes of a token for one pivot, and pivots a token at most.
 PART, PARTS = 8, 8
 #: Nodes from which on a set stands for them.
 MEMBERS = 16
@@ -191,10 +190,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _grouped(nodes: DataFrame, groups: DataFrame | None) -> DataFrame:
+def _grouped(nodes: DataFrame, groups: DataFrame) -> DataFrame:
     """``nodes`` with the group of each, itself where it has no link yet."""
-    if groups is None:
-        return nodes.withColumn("group", F.col("node"))
     return nodes.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
 
@@ -212,10 +209,10 @@ def _ordered(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _against_pivots(postings: DataFrame, percent: int, turn: int) -> DataFrame:
+def _against_pivots(postings: DataFrame, percent: int) -> DataFrame:
     """Pairs of each node and the pivots with which it shares half of its prefix.
 
-    A token's groups fall into parts, one for each PART nodes and PARTS at most, and
+    A token's nodes fall into parts, one for each PART nodes and PARTS at most, and
     the most central node of a part, whose tokens most others have, is a pivot. A text
     that many copies come from is nearer to them than they are to each other. The
     nodes of a frequent token meet its pivots in salted parts.
@@ -223,12 +220,12 @@ def _against_pivots(postings: DataFrame, percent: int, turn: int) -> DataFrame:
     node = W.partitionBy("node")
     parts, salts = F.least(F.lit(PARTS), F.ceil(F.col("df") / PART)), F.ceil(F.col("df") / HOT)
     length = _prefix(F.col("n"), percent) + _slack(F.col("n"), percent, SLACK)
-    ranked = postings.withColumns({"rank": F.sum("df").over(node) / length, "part": F.pmod(F.xxhash64("group", F.lit(turn)), parts)})
-    pivots = ranked.groupBy("token", "part").agg(F.max(F.struct("rank", "node", "n", "group")).alias("p"), F.first("df").alias("df"))
+    ranked = postings.withColumns({"rank": F.sum("df").over(node) / length, "part": F.pmod(F.xxhash64("node", F.lit("part")), parts)})
+    pivots = ranked.groupBy("token", "part").agg(F.max(F.struct("rank", "node", "n")).alias("p"), F.first("df").alias("df"))
     sent = pivots.select("token", "p", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
     met = postings.withColumn("salt", F.pmod(F.xxhash64("node"), salts)).join(sent, ["token", "salt"])
-    met = met.select("node", "n", "group", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"), F.col("p.group").alias("other"))
-    counts = met.filter((F.col("group") != F.col("other")) & _near_in_size(percent)).groupBy("node", "n", "pivot").agg(F.count("*").alias("c"))
+    met = met.select("node", "n", F.col("p.node").alias("pivot"), F.col("p.n").alias("m"))
+    counts = met.filter((F.col("node") != F.col("pivot")) & _near_in_size(percent)).groupBy("node", "n", "pivot").agg(F.count("*").alias("c"))
     return counts.filter(F.col("c") * 2 >= length).select(*_ordered("node", "pivot")).distinct()
 
 
@@ -351,7 +348,7 @@ def _by_difference(deltas: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(F.col("c") >= F.greatest("level", F.col("level") + exact - F.col("need"))).select(*_ordered("node", "b")).distinct()
 
 
-def _among_dear(sets: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
+def _among_dear(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) among the nodes of the ``sets`` (node, n, tokens)."""
     known = _grouped(sets.select("node", "n"), groups)
     postings = _pruned(_grouped(sets.select("node", "n", F.explode("tokens").alias("token")), groups), percent)
@@ -408,7 +405,7 @@ class _Sets:
         return written(verified(pairs, sets, self.percent), "verified")
 
 
-def _between_groups(shared: DataFrame, groups: DataFrame | None, sets: _Sets, marks: DataFrame, percent: int) -> DataFrame:
+def _between_groups(shared: DataFrame, groups: DataFrame, sets: _Sets, marks: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs of different groups: every similar pair of those is among them, or linked through other ones that are.
 
     ``marks`` has the parities and the prefix's end of each node. Nodes whose
@@ -453,16 +450,10 @@ class Join:
         end = F.element_at("tokens", -1).bitwiseXOR(F.lit(-(1 << 63)))  # signed as tokens are ordered
         marks = self.filled.select(F.col("row").alias("node"), *PARITY, end.alias("end"))
 
-        links, groups = None, None
-        for turn in range(PIVOTS):
-            grouped = shared.withColumn("group", F.col("node")) if groups is None else written(_shared(_grouped(shared.drop("df"), groups)), "postings")
-            found = self._compared(written(_against_pivots(grouped, self.percent, turn), "pivots"))
-            if found.isEmpty() and turn:
-                break
-            links = found if links is None else links.unionByName(found)
-            groups = components(links)
+        links = self._compared(written(_against_pivots(shared, self.percent), "pivots"))
+        groups = components(links)
         found = self._compared(_between_groups(shared, groups, self.sets, marks, self.percent))
-        return components(found if links is None else links.unionByName(found))
+        return groups if found.isEmpty() else components(links.unionByName(found))
 
     def rows_by_group(self) -> DataFrame:
         """doc_id, mark, n_shingles, group, component_id, node of each row; group and node are null for empty sets."""
