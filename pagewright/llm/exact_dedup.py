@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import SPACE, text_or_empty, written
+from pagewright.llm.shared import SPACE, text_or_empty, unused, written
 
 #: Counters of a summary; at most so many winners are broadcast, of about 100 bytes each.
 COUNTERS = 4096
@@ -97,9 +97,19 @@ def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
 
     Of rows that agree in doc_id and text but differ elsewhere, one stays.
     """
-    stay = exact_dedup(docs, counters).filter("kept").select("doc_id", "text_sha256", "n_chars")
+    found = written(exact_dedup(docs, counters).select("doc_id", "text_sha256", "n_chars", "kept"), "found")
+    key = ["doc_id", "text_sha256", "n_chars"]
+    stay = written(found.groupBy(*key).agg(F.max("kept").alias("kept"), F.count("*").alias("rows")).filter("kept").drop("kept"), "stay")
     text = text_or_empty()
-    own = {"__digest": F.sha2(F.regexp_replace(text, SPACE, ""), 256), "__chars": F.length(text).cast("long")}
-    keyed = docs.withColumns(own)
-    same = keyed["doc_id"].eqNullSafe(stay["doc_id"]) & (keyed["__digest"] == stay["text_sha256"]) & (keyed["__chars"] == stay["n_chars"])
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", *own]).select(*docs.columns)
+    digest, chars = unused(docs, "digest", "chars")
+    keyed = docs.withColumns({digest: F.sha2(F.regexp_replace(text, SPACE, ""), 256), chars: F.length(text).cast("long")})
+
+    def rows(of: DataFrame) -> DataFrame:
+        same = keyed["doc_id"].eqNullSafe(of["doc_id"]) & (keyed[digest] == of["text_sha256"]) & (keyed[chars] == of["n_chars"])
+        return keyed.join(of, same, "left_semi")
+
+    repeated = stay.filter("rows > 1")
+    if repeated.isEmpty():
+        return rows(stay).select(*docs.columns)
+    single, several = rows(stay.filter("rows = 1")), rows(repeated).dropDuplicates(["doc_id", digest, chars])
+    return single.unionByName(several).select(*docs.columns)
