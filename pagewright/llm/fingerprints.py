@@ -18,7 +18,7 @@ from pagewright.llm.shared import SPACE, text_or_empty
 BITS = 128
 #: Documents in a range of ids, about, and ranges at most; both bound what one window holds.
 RANGE = 3000
-RANGES = 65_536
+RANGES = 1 << 20
 #: Cut points that are estimated; ranges between two of them are cut evenly.
 CUTS = 256
 
