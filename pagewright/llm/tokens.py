@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -12,6 +13,17 @@ from tokenizers import Tokenizer
 #: Ids of so many distinct words at most are kept by a Python worker.
 WORDS = 600_000
 WORD_BPE = "word_bpe_49k.json"
+#: How word_bpe_49k.json prepares a text; only a file that does just this has its words cut here.
+CUT = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -36,12 +48,16 @@ class WordEncoder:
     The vocabulary of ``word_bpe_49k.json`` splits lower-cased text into words
     that are merged one by one, so the ids of a word can be kept. Texts with
     anything but Latin letters, common signs and plain white space, or with the
-    start of a special token, go to the tokenizer whole.
+    start of a special token, go to the tokenizer whole, and so do all texts where
+    the file is one that cuts words in any other way.
     """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        self.cuts = all(told[k] == v for k, v in CUT.items()) and all("<|" in t["content"] for t in told["added_tokens"])
         self.merge = self.tokenizer.model.tokenize
         self.letters = _byte_letters()
         self.kept: dict[str, bytes] = {}
@@ -58,7 +74,7 @@ class WordEncoder:
         return b"".join([t.id.to_bytes(4, "little") for t in tokens])
 
     def __call__(self, text: str) -> bytes:
-        if self.unusual(text):
+        if not self.cuts or self.unusual(text):
             return self._encoded(text)
         words = self.words(text.lower())
         kept = self.kept
