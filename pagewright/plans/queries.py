@@ -342,13 +342,14 @@ def consumer_training_rows(t):
 
 @_query("""WITH p AS (SELECT l_orderkey AS id, CAST(l_partkey AS VARCHAR) || '.pdf' AS doc, l_linenumber AS n,
                       CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS VARCHAR) || '_p' || CAST(l_linenumber AS VARCHAR) || '.jpg' ELSE '' END AS image FROM lineitem)
-           SELECT o_orderkey AS submission_id, '[' || o_orderstatus || '] ' || substr(CAST(o_orderkey AS VARCHAR), 1, 8) || '...' AS label, doc AS doc_filename, n AS page_number, image AS image_filename,
-                  CASE WHEN doc IS NOT NULL THEN (dense_rank() OVER (PARTITION BY o_orderkey ORDER BY doc) - 1)::INTEGER END AS document,
-                  CASE WHEN doc IS NOT NULL THEN (row_number() OVER (PARTITION BY o_orderkey, doc ORDER BY n, image) - 1)::INTEGER END AS place
+           SELECT o_orderkey AS submission_id, '[' || o_orderstatus || '] ' || substr(CAST(o_orderkey AS VARCHAR), 1, 8) || '...' AS label, coalesce(doc, '') AS doc_filename, coalesce(n, -1) AS page_number, coalesce(image, '') AS image_filename,
+                  CASE WHEN doc IS NOT NULL THEN (dense_rank() OVER (PARTITION BY o_orderkey ORDER BY doc) - 1)::INTEGER ELSE -1 END AS document,
+                  CASE WHEN doc IS NOT NULL THEN (row_number() OVER (PARTITION BY o_orderkey, doc ORDER BY n, image) - 1)::INTEGER ELSE -1 END AS place
            FROM orders LEFT JOIN p ON id = o_orderkey""")
 def viewer_tree(t):
     subs = t("orders").select(F.col("o_orderkey").alias("submission_id"), F.col("o_orderstatus").alias("status"))
-    return consumer.tree(subs, _line_pages(t).withColumn("lines_filename", F.lit(""))).drop("lines_filename")
+    tree = consumer.tree(subs, _line_pages(t).withColumn("lines_filename", F.lit(""))).drop("lines_filename")
+    return tree.fillna("", ["doc_filename", "image_filename"]).fillna(-1, ["page_number", "document", "place"])
 
 
 @_query("""WITH z AS (SELECT event_id, coalesce(value, 0) AS v FROM events)
