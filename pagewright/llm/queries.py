@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import documents, shared_folder
+from pagewright.llm.shared import SPACE, documents, shared_folder
 
 
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents come in, the batch is sent twice, then those labelled toxic are deleted."""
+    """All documents come in, the batch is sent twice; those of quality 0 are revised, with single spaces for white space, and those labelled toxic deleted."""
     from pagewright.llm.token_counts import TokenLedger
 
     docs = documents(spark, sf_dir)
@@ -31,7 +31,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = docs.select(F.lit("insert").alias("op"), "doc_id", "text", "source", "lang")
     ledger.commit("load", load)
     ledger.commit("load", load)
-    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic = 1").select("doc_id")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    poor = load.join(labels.filter("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
+    ledger.commit("poor", poor.select(F.lit("revise").alias("op"), "doc_id", F.regexp_replace("text", SPACE, " ").alias("text"), "source", "lang"))
+    toxic = labels.filter("toxic = 1").select("doc_id")
     none = F.lit(None).cast("string")
     ledger.commit("toxic", toxic.select(F.lit("delete").alias("op"), "doc_id", none.alias("text"), none.alias("source"), none.alias("lang")))
     return ledger.totals()
@@ -44,11 +47,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pagewright.llm.sharding import shard
+    from pagewright.llm.sharding import shard_and_grow
 
-    return shard(documents(spark, sf_dir), 8).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "version"
-    )
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return shard_and_grow(documents(spark, sf_dir), 8).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "virtual_slot", "version", "next_shard", "next_version")
 
 
 def op1_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,9 @@ class TokenLedger:
     (insert, delete, revise), doc_id, text, source, lang; a delete needs only its
     doc_id. A null text counts as empty, null sources and languages are groups of
     their own, and rows of equal doc_id count each; a delete or revision takes back
-    all that a doc_id counts so far. An empty batch commits and changes nothing.
+    all that a doc_id counts so far. An empty batch commits and changes nothing; a
+    batch with a null or unknown op is an error. Batches are committed one after
+    another, by one writer: a delete takes back what earlier batches count.
     """
 
     def __init__(self, spark: SparkSession, folder: str, versions: dict[str, str] | None = None) -> None:
@@ -84,6 +86,9 @@ class TokenLedger:
         to = f"{self.folder}/batch-{batch}"
         if self._exists(f"{to}/totals/_SUCCESS"):
             return False
+        unknown = changes.filter(F.col("op").isNull() | ~F.col("op").isin("insert", "delete", "revise")).select("op").first()
+        if unknown:
+            raise ValueError(f"unknown op {unknown['op']!r} in batch {batch!r}")
         arriving = changes.filter(F.col("op").isin("insert", "revise"))
         deltas = None
         for name, path in self.versions.items():

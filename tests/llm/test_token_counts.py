@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -47,8 +48,21 @@ def test_a_broken_batch_does_not_count_and_is_written_anew(spark, tmp_path):
     assert ledger.commit("x", df) and told(ledger) == brute([(1, "some words", "en", "a")])
 
 
-def test_versions_are_counted_side_by_side(spark, tmp_path):
-    versions = {"v1": tokenizer_path(), "v2": tokenizer_path()}
+def test_versions_are_counted_side_by_side(spark, messy, tmp_path):
+    """Tokenizers that cut words in different ways, each as its own library counts."""
+    versions = {"v1": tokenizer_path(), "v2": tokenizer_path("byte_bpe_50k.json")}
     ledger = TokenLedger(spark, str(tmp_path / "ledger"), versions)
-    ledger.commit("x", change(frame(spark, [(1, "some words", "en", "a")]), "insert"))
-    assert {r["tokenizer"]: r["tokens"] for r in ledger.totals().collect()} == {"v1": 2, "v2": 2}
+    ledger.commit("x", change(messy, "insert"))
+    for name, path in versions.items():
+        direct = Tokenizer.from_file(path)
+        want = sum(len(direct.encode(t or "", add_special_tokens=False).ids) for _, t, *_ in messy_rows())
+        assert sum(r["tokens"] for r in ledger.totals().collect() if r["tokenizer"] == name) == want
+
+
+@pytest.mark.parametrize("op", ["upsert", None])
+def test_unknown_changes_are_an_error(spark, tmp_path, op):
+    ledger = TokenLedger(spark, str(tmp_path / "ledger"))
+    df = frame(spark, [(1, "some words", "en", "a")])
+    with pytest.raises(ValueError, match="unknown op"):
+        ledger.commit("x", change(df, "insert").unionByName(df.select(F.lit(op).cast("string").alias("op"), "doc_id", "text", "source", "lang")))
+    assert ledger.batches() == []
