@@ -4,7 +4,9 @@ Each document gets a rate: the least change from one copy, in relative entropy,
 that makes every source's expected words equal its target, with no rate over a
 cap. The solution tilts rates exponentially in the document's size, with one
 multiplier a source, the root of a convex dual that Newton steps find over the
-counts of equal sizes. Rates are then rounded into whole copies.
+counts of equal sizes. Rates are then rounded into whole copies by systematic
+sampling: along a source's documents by size, the parts of copies add up, and
+each whole one that the sum passes is a copy more.
 """
 
 from __future__ import annotations
@@ -13,23 +15,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import WORD, text_or_empty, written
+from pagewright.llm.shared import WORD, text_or_empty, unused, written
 
 #: Most copies of a document, and most times its own size that a source may give.
 CAP = 3
-#: Parts of a group of equal sizes, so that no task ranks a whole group.
-SALTS = 256
+#: Equally long documents of a source fall into a part for each so many rows of the table, within the limits, so that no task ranks them all.
+SALTED = 200_000
+SALTS = (64, 1 << 16)
 #: Newton steps at most, and the part of the target that may be missed before rounding.
 STEPS = 60
-CLOSE = 1e-9
+CLOSE = 1e-8
+#: Starts of the systematic sample that are tried; the one with the source nearest its target is taken.
+STARTS = 64
+#: Documents a source that then get or lose a copy at most, to bring it nearer still.
+REPAIRS = 4
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, key (the source, told apart from null), size in words, salt."""
-    size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
+def _salts(docs: DataFrame) -> int:
+    return min(SALTS[1], max(SALTS[0], docs.count() // SALTED))
+
+
+def _marks(salts: int, names: tuple[str, ...] = ("key", "size", "lot", "salt")) -> dict[str, Column]:
+    """What the mix reads of a document: the source (told apart from null), size in words, and by hashes of doc_id and text a lot and a salt."""
     key = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    salt = F.pmod(F.xxhash64("doc_id", size), F.lit(SALTS)).cast("int")
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), key.alias("key"), size.alias("size"), salt.alias("salt"))
+    size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
+    lot = F.xxhash64("doc_id", "text")
+    return dict(zip(names, (key, size, lot, F.pmod(lot, F.lit(salts)).cast("int")), strict=True))
 
 
 def cycling_weights(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -109,72 +120,108 @@ def multipliers(cells: DataFrame, aims: DataFrame, cap: float = CAP, steps: int
     return state
 
 
-def rounded(cells: DataFrame, passes: int = 5) -> DataFrame:
-    """``cells`` (key, size, count, rate, target) with ``base`` copies of each document and ``more`` documents with one more.
+def rounded(cells: DataFrame) -> DataFrame:
+    """``cells`` (key, size, count, rate, target) with ``base`` copies of each document, and ``part`` and ``before``: what a document of the cell, and all those before the cell, have over whole copies.
 
-    Whole copies leave less than one document of each size over. Those words are
-    given back by whole documents, first in a hashed order, then the longest that
-    still fit, at last the shortest if that brings the source nearer its target.
+    Documents up to a place in the order of sizes have as many copies more as the
+    sum of parts up to there has passed whole numbers, so any run of sizes is taken
+    as its rates say, but for one copy. Of STARTS starts of the sum, all equally
+    fair, each source takes the one that comes nearest its target.
     """
-    part = F.col("count") * (F.col("rate") - F.col("base"))
-    out = cells.withColumn("base", F.floor("rate").cast("long")).withColumn("more", F.floor(part + 1e-9).cast("long"))
-    out = out.withColumn("picked", F.lit(False))
-    source = W.partitionBy("key")
-    for k in range(passes + 1):
-        last = k == passes
-        given = F.sum((F.col("count") * F.col("base") + F.col("more") + F.col("picked").cast("long")) * F.col("size")).over(source)
-        out = out.withColumn("left", F.col("target") - given)
-        fits = ~F.col("picked") & (F.col("size") > 0) & (F.col("rate") > F.col("base")) & (F.col("more") < F.col("count")) & (F.col("size") <= F.col("left") * (2 if last else 1))
-        first = F.xxhash64("key", "size") if k == 0 else F.col("size") if last else -F.col("size")
-        running = F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0)).over(source.orderBy(first, "size"))
-        chosen = (running == F.col("size")) if last else (running <= F.col("left"))
-        out = out.withColumn("fits", fits).withColumn("picked", F.col("picked") | (F.col("fits") & chosen))
-    return out.withColumn("more", F.col("more") + F.col("picked").cast("long")).drop("picked", "left", "fits")
+    part = F.col("rate") - F.col("base")
+    upto = F.sum(F.col("count") * F.col("part")).over(W.partitionBy("key").orderBy("size"))
+    summed = cells.withColumn("base", F.floor("rate").cast("long")).withColumn("part", part).withColumn("before", upto - F.col("count") * F.col("part"))
+    summed = written(summed, "parts")
+    starts = [(k + 0.5) / STARTS for k in range(STARTS)]
+    words = lambda u: F.sum(F.col("size") * (F.col("count") * F.col("base") + _more(F.col("count"), F.lit(u))))
+    misses = summed.groupBy("key").agg(F.first("target").alias("aim"), *(words(u).alias(f"w{k}") for k, u in enumerate(starts)))
+    by_miss = F.array_min(F.array(*(F.struct(F.abs(F.col(f"w{k}") - F.col("aim")).alias("miss"), F.lit(u).alias("start")) for k, u in enumerate(starts))))
+    chosen = misses.select("key", by_miss["start"].alias("start"))
+    return _repaired(summed.join(chosen, "key"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, words: int | None = None, cap: int = CAP) -> DataFrame:
-    """How often each row of ``docs`` is taken so that sources reach their targets.
+def _more(n: Column, start: Column) -> Column:
+    """How many of the first ``n`` documents of a cell get one copy more."""
+    before = F.col("before") + start
+    return (F.floor(before + n * F.col("part") + 1e-9) - F.floor(before + 1e-9)).cast("long")
 
-    Size is the number of words (null text: 0). ``weights`` has source and weight
-    (a source that it lacks weighs 0); without it weights 1, 2, 3 repeat over the
-    sources by code point, null last. Targets share ``words`` (or all sizes) by
-    weight, at most ``cap`` times a source. Which of equally long documents get
-    more copies is settled by a hash of doc_id, so reruns agree. Repeated rows
-    count each; other columns are not read; an empty table gives an empty result.
 
-    Returns doc_id, source, size, source_size, target, rate, copies, taken.
+def _repaired(cells: DataFrame) -> DataFrame:
+    """``cells`` with ``extra``, in all how many documents of each get one copy more, after up to REPAIRS documents a source got or lost one.
+
+    The document is that whose size comes nearest to what is missing, and its rate
+    not near a whole number as long as there is such a document.
     """
-    rows = written(sized(docs), "sized")
-    salted = written(rows.groupBy("key", "size", "salt").agg(F.count("*").alias("n")), "salted-sizes")
+    out = cells.withColumn("extra", _more(F.col("count"), F.col("start")))
+    for k in range(REPAIRS):
+        out = written(out, "repaired")
+        given = out.groupBy("key").agg(F.first("target").alias("aim"), F.sum((F.col("count") * F.col("base") + F.col("extra")) * F.col("size")).alias("given"))
+        left = given.select("key", (F.col("aim") - F.col("given")).alias("left"))
+        far = F.lit(0.1 if k < REPAIRS - 1 else 1e-9)
+        able = F.when(F.col("left") > 0, (F.col("part") >= far) & (F.col("extra") < F.col("count"))).otherwise((F.col("part") > 1e-9) & (F.col("part") <= 1 - far) & (F.col("extra") > 0))
+        off = F.abs(F.abs("left") - F.col("size"))
+        best = out.join(left, "key").filter(able & (F.col("size") > 0) & (off < F.abs("left"))).groupBy("key").agg(F.min_by(F.struct("size", F.signum("left").alias("sign")), F.struct(off, "size")).alias("best"))
+        step = F.when(F.col("best.size") == F.col("size"), F.col("best.sign").cast("long")).otherwise(F.lit(0).cast("long"))
+        out = out.join(best, "key", "left").withColumn("extra", F.col("extra") + F.coalesce(step, F.lit(0))).drop("best")
+    return out
+
+
+def _plan(salted: DataFrame, weights: DataFrame | None, words: int | None, cap: int) -> DataFrame:
+    """For each key, size and salt of ``salted`` (with n, its documents): source_size, target, rate, base and extra, the documents of the part with one copy more."""
     cells = written(salted.groupBy("key", "size").agg(F.sum("n").alias("count")), "sizes")
     sources = cells.groupBy("key").agg(F.sum(F.col("size") * F.col("count")).alias("source_size"))
     if weights is None:
         weighted = cycling_weights(sources)
     else:
         keyed = weights.select(F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("key"), F.col("weight").cast("double"))
-        weighted = sources.join(keyed, "key", "left").fillna(0.0, ["weight"])
+        weighted = sources.join(keyed.groupBy("key").agg(F.sum("weight").alias("weight")), "key", "left").fillna(0.0, ["weight"])
     aims = written(targets(weighted, None if words is None else F.lit(float(words)), cap), "targets")
     tilt = multipliers(cells, aims, cap)
     rated = cells.join(tilt.select("key", "multiplier", "scale", "full"), "key").withColumn("rate", F.when(F.col("size") > 0, _rate(cap)).otherwise(1.0))
-    plan = rounded(rated.join(aims.select("key", "source_size", "target"), "key").select("key", "size", "count", "rate", "source_size", "target"))
-    plan = written(plan, "copies")
-    # the documents with one more copy, dealt out over the salted parts of a cell
+    plan = written(rounded(rated.join(aims.select("key", "source_size", "target"), "key").select("key", "size", "count", "rate", "source_size", "target")), "copies")
+    # a cell's extra copies are dealt out over its salted parts as they grow
     upto = F.sum("n").over(W.partitionBy("key", "size").orderBy("salt"))
-    share = lambda n: F.floor(F.col("more").cast("decimal(19,0)") * n / F.col("count"))
-    parts = salted.join(plan, ["key", "size"]).withColumn("upto", upto)
-    parts = parts.withColumn("extra", (share(F.col("upto")) - share(F.col("upto") - F.col("n"))).cast("long"))
-    rank = F.row_number().over(W.partitionBy("key", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    dealt = rows.join(parts.select("key", "size", "salt", "base", "extra", "rate", "source_size", "target"), ["key", "size", "salt"])
-    copies = (F.col("base") + (rank <= F.col("extra")).cast("long")).alias("copies")
-    return dealt.select("doc_id", "source", "size", "source_size", "target", "rate", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    share = lambda n: F.floor(F.col("all").cast("decimal(19,0)") * n / F.col("count"))
+    parts = salted.join(plan.withColumnRenamed("extra", "all"), ["key", "size"]).withColumn("upto", upto)
+    return parts.select("key", "size", "salt", "source_size", "target", "rate", "base", (share(F.col("upto")) - share(F.col("upto") - F.col("n"))).cast("long").alias("extra"))
+
+
+def _dealt(rows: DataFrame, plan: DataFrame, names: tuple[str, ...], copies: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``rows``, whose marks have the given ``names``, with how many copies each gets by ``plan``, and ``keep`` of it."""
+    key, size, lot, salt = names
+    rank = F.row_number().over(W.partitionBy(key, size, salt).orderBy(lot, "doc_id"))
+    own = rows.columns
+    named = plan.select(F.col("key").alias(key), F.col("size").alias(size), F.col("salt").alias(salt), F.struct("base", "extra", *keep).alias(copies))
+    out = rows.join(named, [key, size, salt]).withColumn(lot, rank)
+    number = F.col(copies)["base"] + (F.col(lot) <= F.col(copies)["extra"]).cast("long")
+    return out.select(*(c for c in own if c not in names), *(F.col(c) for c in (size,) if keep), *(F.col(copies)[c].alias(c) for c in keep), number.alias(copies))
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, words: int | None = None, cap: int = CAP) -> DataFrame:
+    """How often each row of ``docs`` is taken so that sources reach their targets.
+
+    Size is the number of words (null text: 0). ``weights`` has source and weight
+    (a source that it lacks weighs 0); without it weights 1, 2, 3 repeat over the
+    sources by code point, null last. Targets share ``words`` (or all sizes) by
+    weight, at most ``cap`` times a source. Copies follow the rates, see rounded;
+    which of equally long documents get one more is settled by a hash of doc_id and
+    text, so reruns agree. Repeated rows count each; other columns are not read; an
+    empty table gives an empty result.
+
+    Returns doc_id, source, size, source_size, target, rate, copies, taken.
+    """
+    marks = _marks(_salts(docs))
+    rows = written(docs.select("doc_id", F.col("source").cast("string").alias("source"), *(c.alias(n) for n, c in marks.items())), "sized")
+    salted = written(rows.groupBy("key", "size", "salt").agg(F.count("*").alias("n")), "salted-sizes")
+    dealt = _dealt(rows, _plan(salted, weights, words, cap), tuple(marks), "copies", ("source_size", "target", "rate"))
+    return dealt.select("doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, words: int | None = None, cap: int = CAP) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as ``mix`` takes it, with their columns as they were."""
-    size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
-    key = lambda size: F.to_json(F.struct("doc_id", F.col("source").cast("string").alias("source"), size.alias("size")), {"ignoreNullFields": "false"})
-    taken = mix(docs, weights, words, cap).groupBy(key(F.col("size")).alias("__key")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("__copies"))
-    keyed = docs.withColumn("__key", key(size))
-    # rows that share doc_id, source and size take their copies in the order of their texts
-    numbered = keyed.join(taken, "__key").withColumn("__n", F.row_number().over(W.partitionBy("__key").orderBy("text")))
-    return numbered.withColumn("__times", F.explode(F.expr("array_repeat(0, CAST(element_at(__copies, __n) AS int))"))).select(*docs.columns)
+    salts = _salts(docs)
+    marks = _marks(salts)
+    salted = written(docs.select(*(c.alias(n) for n, c in marks.items())).groupBy("key", "size", "salt").agg(F.count("*").alias("n")), "salted-sizes")
+    *names, copies, time = unused(docs, *marks, "copies", "time")
+    dealt = _dealt(docs.withColumns(_marks(salts, tuple(names))), _plan(salted, weights, words, cap), tuple(names), copies)
+    return dealt.withColumn(time, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int")))).select(*docs.columns)

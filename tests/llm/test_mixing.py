@@ -65,6 +65,30 @@ def test_targets_are_met_and_capped(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_copies_follow_the_rates(spark):
+    """By deciles of the rate and by classes of size, on documents of very unequal sizes that are rarely equally long."""
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for k in range(12_000):
+        so = rnd.choices(["hot", "b", "c"], [60, 10, 10])[0]
+        rows.append((k, "w " * min(20_000, int(rnd.paretovariate(1.1) * 30)), "en", so))
+    got, want = check(frame(spark, rows), rows)
+    for so, target in want.items():
+        assert abs(sum(r["taken"] for r in got if r["source"] == so) - target) <= 0.001 * target + 1
+    by_rate = sorted(got, key=lambda r: (r["rate"], r["doc_id"]))
+    for at in range(0, len(got), len(got) // 10):
+        own = by_rate[at : at + len(got) // 10]
+        assert abs(sum(r["copies"] for r in own) - sum(r["rate"] for r in own)) <= 0.05 * sum(r["rate"] for r in own) + 2
+    for low, high in ((1, 50), (50, 100), (100, 300), (300, 1000), (1000, 20_001)):
+        own = [r for r in got if low <= r["size"] < high]
+        expected = sum(r["rate"] * r["size"] for r in own)
+        assert abs(sum(r["taken"] for r in own) - expected) <= 0.02 * expected + high
+    whole = [r for r in got if r["copies"] not in (math.floor(r["rate"]), math.ceil(r["rate"]))]
+    assert not [r for r in whole if abs(r["rate"] - round(r["rate"])) > 1e-6]
+
+
 def test_rates_are_the_entropy_balance(spark):
     """Rates are exp(multiplier * size) up to the cap, with the words expected at the target."""
     rows = [(k, " ".join(["w"] * (1 + k % 40)), "en", "ab"[k % 2]) for k in range(400)]
@@ -91,5 +115,19 @@ def test_mixed_rows_keep_their_columns(messy):
     assert out.count() == sum(r["copies"] for r in mix(messy).collect())
 
 
+def test_mixed_rows_are_those_that_mix_takes(spark):
+    """Also where columns have the names that the operator uses itself, and rows are repeated."""
+    rows = [(k % 150, " ".join(words(k % 150, 1 + k % 7)), "en", "ab"[k % 2]) for k in range(300)]
+    docs = frame(spark, rows).selectExpr("*", "1 AS copies", "2 AS lot", "3 AS KEY", "4 AS salt", "5 AS `_copies`", "6 AS time", "7 AS base")
+    times = {}
+    for r in mix(docs).collect():
+        times[r["doc_id"], r["source"], r["size"]] = times.get((r["doc_id"], r["source"], r["size"]), 0) + r["copies"]
+    out = {}
+    for r in mixed(docs).collect():
+        assert (r["copies"], r["lot"], r["KEY"], r["base"]) == (1, 2, 3, 7)
+        out[r["doc_id"], r["source"], size(r["text"])] = out.get((r["doc_id"], r["source"], size(r["text"])), 0) + 1
+    assert out == {k: n for k, n in times.items() if n}
+
+
 def test_nothing(nothing):
     assert mix(nothing).count() == 0 and mixed(nothing).count() == 0
