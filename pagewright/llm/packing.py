@@ -180,17 +180,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> dict[str, np.ndarr
 def _placed(spark, places: dict[str, np.ndarray]):
     sent = spark.sparkContext.broadcast(places)
 
-    @F.pandas_udf("sequence_id long, offset long")
-    def lookup(length, rank):
-        import pandas as pd
-
+    @F.arrow_udf("sequence_id long, offset long")
+    def lookup(length: pa.Array, rank: pa.Array) -> pa.Array:
         p = sent.value
         first = np.searchsorted(p["length"], np.arange(p["length"][-1] + 2))  # where each length's places begin
-        v, r = length.to_numpy(), rank.to_numpy()
+        v, r = length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
         key = p["length"] * (1 << 44) + p["rank"]
         at = np.maximum(np.searchsorted(key, v * (1 << 44) + r, side="right") - 1, first[v])
         within = r - p["rank"][at]
-        return pd.DataFrame({"sequence_id": p["sequence"][at] + within // p["times"][at], "offset": p["offset"][at] + within % p["times"][at] * v})
+        found = (p["sequence"][at] + within // p["times"][at], p["offset"][at] + within % p["times"][at] * v)
+        return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in found], names=["sequence_id", "offset"])
 
     return lookup
 
