@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import text_or_empty, written
+from pagewright.llm.shared import text_or_empty, worker_cache, written
 
 #: Longest n-gram.
 ORDER = 5
@@ -31,7 +31,7 @@ FEW = 30
 #: Kneser-Ney's discount.
 DISCOUNT = 0.75
 #: Scores of so many words are kept by a Python worker.
-WORDS = 400_000
+WORDS = 250_000
 #: Longer runs of letters are scored in parts of this length.
 LONGEST = 40
 #: A text is rejected if its cross-entropy is over this quantile of its language's, for passages of its length.
@@ -257,7 +257,14 @@ class LanguageModels:
 
     languages: list[str]
     models: list[Model]
-    scorer: Scorer | None = None
+
+    def scorer(self) -> Scorer:
+        """One for this Python worker, as long as it works with these models."""
+        kept = worker_cache("languages")
+        if kept.get("models") is not self.models:
+            kept.clear()
+            kept |= {"models": self.models, "scorer": Scorer(self.models)}
+        return kept["scorer"]
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -305,7 +312,7 @@ def _passages(docs: DataFrame, fitted: LanguageModels) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models: LanguageModels = sent.value
-        scorer = Scorer(models.models)
+        scorer = models.scorer()
         for batch in batches:
             rows = []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -340,7 +347,7 @@ def _excess(fitted: LanguageModels, entropy: np.ndarray, characters: np.ndarray)
 def _scoring(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: LanguageModels = sent.value
-        scorer = fitted.scorer = fitted.scorer or Scorer(fitted.models)  # lives as long as the worker holds the broadcast
+        scorer = fitted.scorer()
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
@@ -394,7 +401,7 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
 def _accepting(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted: LanguageModels = sent.value
-        scorer = fitted.scorer = fitted.scorer or Scorer(fitted.models)
+        scorer = fitted.scorer()
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)

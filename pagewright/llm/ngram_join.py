@@ -41,10 +41,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import text_or_empty, unused, written
+from pagewright.llm.shared import text_or_empty, unused, worker_cache, written
 
 #: Hashes of so many words are kept by a Python worker.
-KEPT = 300_000
+KEPT = 150_000
 #: Part of a node's shingles by which its prefix is lengthened, so that as many of the commonest need no lookup.
 SLACK = 1 / 8
 #: Candidates a node may look up by its prefix; with more, its whole set is taken.
@@ -66,11 +66,9 @@ MEMBERS = 16
 #: Columns of the parities: two sets differ in at least as many shingles as in parities.
 PARITY = ("s0", "s1", "s2", "s3")
 
-_KEPT: dict[bytes, int] = {}
-
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
-    kept = _KEPT
+    kept = worker_cache("shingles")
     try:
         return np.array([kept[w] for w in words], dtype=np.uint64)
     except KeyError:

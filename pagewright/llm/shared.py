@@ -41,6 +41,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """A dictionary that lives as long as this Python worker works for ``owner``: what it kept for another goes, as workers are used again."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = {}
+    return _KEPT[owner]
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """``names``, each with as many underscores before it as it takes to be none of the columns of ``df``, whatever their case."""
     taken = {c.lower() for c in df.columns}

@@ -10,8 +10,10 @@ import unicodedata
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from pagewright.llm.shared import worker_cache
+
 #: Ids of so many distinct words at most are kept by a Python worker.
-WORDS = 600_000
+WORDS = 200_000
 WORD_BPE = "word_bpe_49k.json"
 #: How word_bpe_49k.json prepares a text; only a file that does just this has its words cut here.
 CUT = {
@@ -89,11 +91,9 @@ class WordEncoder:
             return b"".join([kept[w] for w in words])
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The encoder for a file, once per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    encoders = worker_cache("tokens")
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
