@@ -83,7 +83,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.divergence import source_divergence
+
+    return source_divergence(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id, op11_source_divergence)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
@@ -112,4 +118,28 @@ ORACLE_SQL = {
                coalesce(s.removed, '') AS removed
         FROM documents d LEFT JOIN body b USING (doc_id) LEFT JOIN spans s USING (doc_id)
     """,
+    "op11_source_divergence": """
+        WITH t AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+        c AS (SELECT lang, source, unnest(terms) AS term, 1 AS n, 0 AS docs FROM t
+              UNION ALL SELECT lang, source, unnest(list_distinct(terms)), 0, 1 FROM t),
+        counts AS (SELECT lang, source, term, sum(n) AS n, sum(docs) AS docs FROM c GROUP BY ALL),
+        kept AS (SELECT lang, term, sum(n) AS lang_n FROM counts GROUP BY ALL HAVING sum(docs) >= 10),
+        groups AS (SELECT DISTINCT lang, source FROM t),
+        dense AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.lang_n::HUGEINT AS lang_n
+                  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        share AS (SELECT lang, source, term, n,
+                         (1 + (1000000000 * (n + 2)) // (sum(n) OVER own + 2 * count(*) OVER own))::BIGINT AS p,
+                         (1 + (1000000000 * (lang_n + 2)) // (sum(lang_n) OVER own + 2 * count(*) OVER own))::BIGINT AS q
+                  FROM dense WINDOW own AS (PARTITION BY lang, source)),
+        summed AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+                   FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+                  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM share WHERE n > 0 AND p > q)
+        SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
+        UNION ALL SELECT * FROM (SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms) WHERE rank <= 10
+    """,
 }
