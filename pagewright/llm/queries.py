@@ -89,7 +89,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id, op11_source_divergence)}
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id, op11_source_divergence, op12_prefix_trie)}
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
@@ -142,4 +148,24 @@ ORACLE_SQL = {
         SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM pairs
         UNION ALL SELECT * FROM (SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INTEGER AS rank FROM terms) WHERE rank <= 10
     """,
+    "op12_prefix_trie": """
+        WITH crc AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) t(i))),
+        t AS (SELECT conv_id, sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS item, octet_length(encode(coalesce(text, ''))) AS bytes,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, item) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT DISTINCT conv_id FROM t),
+        c AS (SELECT conv_id, conv_id - conv_id % 5 AS base,
+                     xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 9 AS h FROM ids, crc),
+        r AS (SELECT c.conv_id, 1 AS part, pos, item, bytes FROM t JOIN c USING (conv_id) WHERE pos >= h
+              UNION ALL SELECT c.conv_id, 0, pos, item, bytes FROM c JOIN t ON t.conv_id = c.base WHERE pos < h),
+        s AS (SELECT conv_id, row_number() OVER o AS depth, list(item) OVER o AS path, bytes FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY part, pos)),
+        p AS (SELECT conv_id, depth, path, bytes FROM s UNION ALL SELECT conv_id, 0, []::VARCHAR[], 0 FROM ids),
+        node AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM p GROUP BY path, depth),
+        ends AS (SELECT path, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends FROM (SELECT conv_id, max_by(path, depth) AS path FROM p GROUP BY conv_id) GROUP BY path),
+        kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+        u AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM node n LEFT JOIN kids USING (path)),
+        below AS (SELECT path[1:k] AS path, sum((n_convs - 1) * bytes) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+                  FROM (SELECT u.*, unnest(range(depth + 1)) AS k FROM u) GROUP BY 1)
+        SELECT u.conv_id, u.depth, a.conv_id AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
+        FROM u JOIN below USING (path) LEFT JOIN ends USING (path) LEFT JOIN node a ON u.depth > 0 AND a.path = u.path[1:u.depth - 1]
+    """,
 }
