@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.llm.license_scan import BLOCK, NOTICES, PERCENT, PHRASES, STEP
 from pagewright.llm.shared import SPACE, documents, shared_folder
 
 
@@ -95,7 +97,18 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id, op11_source_divergence, op12_prefix_trie)}
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pagewright.llm.license_scan import license_scan
+
+    return license_scan(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_entropy_mixing, op2_sharding, op3_best_fit_packing, op4_simhash_fingerprints, op5_ngram_join, op6_token_counts, op7_exact_dedup, op8_line_dedup, op9_pii, op10_language_id, op11_source_divergence, op12_prefix_trie, op13_license_scan)}
+
+
+def _values(pairs: Iterable[tuple[str, str]]) -> str:
+    return ", ".join(f"('{a}', '{b}')" for a, b in pairs)
+
 
 ORACLE_SQL = {
     "op7_exact_dedup": """
@@ -168,4 +181,21 @@ ORACLE_SQL = {
         SELECT u.conv_id, u.depth, a.conv_id AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, coalesce(ends, sha256('')) AS ends_sha256
         FROM u JOIN below USING (path) LEFT JOIN ends USING (path) LEFT JOIN node a ON u.depth > 0 AND a.path = u.path[1:u.depth - 1]
     """,
+    "op13_license_scan": f"""
+        WITH notice AS (SELECT label, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs
+                        FROM (SELECT label, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM (VALUES {_values(NOTICES)}) v(label, text))),
+        phrase AS (SELECT label, string_split(text, ' ') AS w FROM (VALUES {_values((label, text) for text, label in PHRASES)}) v(label, text)),
+        d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id,
+                     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        place AS (SELECT row, label, unnest(list_filter(range(len(d.w)), lambda i: d.w[i + 1:i + len(p.w)] = p.w)) AS k FROM d, phrase p),
+        base AS (SELECT row, count(*) AS n, min(k) AS first_word, max(k) AS last_word, list_distinct(list(label)) AS labels FROM place GROUP BY row),
+        cut AS (SELECT row, w, unnest(range(0, greatest(len(w) - {STEP}, 1), {STEP})) AS s FROM d),
+        block AS (SELECT row, s, list_distinct(list_transform(range(s + 1, least(s + {BLOCK}, len(w))), lambda i: w[i] || ' ' || w[i + 1])) AS pairs FROM cut),
+        hit AS (SELECT row, s, label, len(list_intersect(block.pairs, notice.pairs)) AS n, len(notice.pairs) AS size FROM block, notice WHERE 100 * n >= {PERCENT} * size),
+        own AS (SELECT row, list_distinct(list(label)) AS labels, max(n::DOUBLE / size) AS held, count(DISTINCT s) AS n_blocks FROM hit GROUP BY row)
+        SELECT doc_id, len(w) AS n_words, coalesce(b.n, 0) AS n_base, b.first_word, b.last_word, coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+               array_to_string(list_sort(list_distinct(coalesce(b.labels, []) || coalesce(o.labels, []))), ',') AS labels,
+               CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(o.held, 0.0) END::DOUBLE AS score, coalesce(o.n_blocks, 0) AS n_blocks
+        FROM d LEFT JOIN base b USING (row) LEFT JOIN own o USING (row)
+    """,
 }
