@@ -26,14 +26,13 @@ ORDER = 5
 #: them, and they are taken whole). Nothing else bounds the models, which hold every n-gram of these.
 SAMPLE = 4000
 CALIBRATE = 2000
-#: A language of fewer rows learns from all of them, and is held to the widest bounds of the others.
-FEW = 30
 #: Kneser-Ney's discount.
 DISCOUNT = 0.75
-#: Scores of so many words are kept by a Python worker.
+#: Scores of so many words, and of words of so many letters in all, are kept by a Python worker.
 WORDS = 250_000
-#: Longer runs of letters are scored in parts of this length.
-LONGEST = 40
+LETTERS = 4_000_000
+#: Words that are hashed together fill so many cells at most, or are one word.
+CELLS = 1 << 20
 #: A text is rejected if its cross-entropy is over this quantile of its language's, for passages of its length.
 QUANTILE = 0.999
 #: Lengths, in characters, at which that is calibrated; passages of each that a document gives at most.
@@ -45,10 +44,20 @@ _LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
 def words_of(text: str) -> list[str]:
-    found = _LETTERS(text.lower())
-    if max(map(len, found), default=0) > LONGEST:
-        found = [w[k : k + LONGEST] for w in found for k in range(0, len(w), LONGEST)]
-    return found
+    """Runs of letters, lower-cased, of any length."""
+    return _LETTERS(text.lower())
+
+
+def _alike(words: list[str], most: int) -> Iterator[np.ndarray]:
+    """Numbers of ``words`` by length, ``most`` or CELLS cells of a grid at a time; a longer word is alone."""
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    by, at = np.argsort(lengths, kind="stable"), 0
+    while at < len(by):
+        end = min(at + most, len(by))
+        while end - at > 1 and (end - at) * (lengths[by[end - 1]] + 2) > CELLS:
+            end = at + (end - at) // 2
+        yield by[at:end]
+        at = end
 
 
 def _grid(words: list[str]) -> np.ndarray:
@@ -104,9 +113,9 @@ def _count(order: int):
 
 def _grams(lang: str, counts: dict[str, int], order: int) -> Iterator[pa.RecordBatch]:
     words, times = list(counts), np.fromiter(counts.values(), dtype=np.int64)
-    for at in range(0, len(words), 20_000):
-        grid = _grid(words[at : at + 20_000])
-        n = times[at : at + 20_000]
+    for part in _alike(words, 20_000):
+        grid = _grid([words[i] for i in part])
+        n = times[part]
         hashes = [gram_hashes(grid, k) for k in range(1, order + 1)]
         for k in range(1, order + 1):
             own = hashes[k - 1]
@@ -205,9 +214,7 @@ def _look(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: flo
 def word_scores(models: list[Model], words: list[str], order: int = ORDER) -> np.ndarray:
     """Bits of each word (its letters and its end) by each model."""
     out = np.zeros((len(words), len(models)))
-    by = np.argsort([len(w) for w in words], kind="stable")
-    for at in range(0, len(words), 4096):  # words of like length together
-        part = by[at : at + 4096]
+    for part in _alike(words, 4096):
         grid = _grid([words[i] for i in part])
         hashes = [gram_hashes(grid, k)[:, 1:] for k in range(1, order + 1)]
         inside = hashes[0] != 0
@@ -230,17 +237,18 @@ class Scorer:
     """Cross-entropies of texts by all models, in bits a character, and the number of characters."""
 
     def __init__(self, models: list[Model]) -> None:
-        self.models, self.kept = models, {}
+        self.models, self.kept, self.letters = models, {}, 0
         self.table = np.zeros((0, len(models)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [words_of(t) for t in texts]
-        if len(self.kept) > WORDS:
-            self.kept, self.table = {}, np.zeros((0, len(self.models)))
+        if len(self.kept) > WORDS or self.letters > LETTERS:
+            self.kept, self.letters, self.table = {}, 0, np.zeros((0, len(self.models)))
         kept = self.kept
         new = list({w for ws in found for w in ws if w not in kept})
         if new:
             start = len(kept)
+            self.letters += sum(map(len, new))
             kept.update(zip(new, range(start, start + len(new)), strict=True))
             self.table = np.concatenate([self.table, word_scores(self.models, new)])
         counts = np.array([len(ws) for ws in found])
@@ -276,15 +284,17 @@ def train(labelled: DataFrame, sample: int = SAMPLE, calibrate: int = CALIBRATE)
     """Models of all languages of ``labelled`` (doc_id, text, lang).
 
     About ``sample`` documents a language are learned from and ``calibrate`` more
-    set its highest usual cross-entropy for each length; a hash of doc_id picks them, and
-    they are taken whole. Null texts and null languages are left out.
+    set its highest usual cross-entropy for each length; the lot of each row, a hash of it, decides
+    which, and they are taken whole. The lowest lot of a language always teaches, so a
+    language of one row is known; one without a row to calibrate with is held to the
+    highest bounds of the others. Null texts and null languages are left out.
     """
-    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
     lot = F.shiftrightunsigned(F.xxhash64(F.lit("lot"), "doc_id", "text"), 11) / F.lit(float(1 << 53))
+    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang").withColumn("lot", lot)
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("rows"), F.min("lot").alias("lowest")), "languages")
     share = F.least(F.lit(1.0), F.lit(float(sample + calibrate)) / F.col("rows"))
-    learns = (F.col("rows") < FEW) | (F.col("lot") < F.col("share") * (sample / (sample + calibrate)))
-    picked = rows.join(sizes, "lang").withColumns({"lot": lot, "share": share}).filter("lot < share").withColumn("learns", learns)
+    learns = (F.col("lot") < F.col("share") * (sample / (sample + calibrate))) | (F.col("lot") == F.col("lowest"))
+    picked = rows.join(sizes, "lang").withColumn("share", share).filter((F.col("lot") < F.col("share")) | (F.col("lot") == F.col("lowest"))).withColumn("learns", learns)
     picked = written(picked.select("doc_id", "lang", "text", "learns"), "sample")
     languages, models = models_of(gram_counts(picked.filter("learns").select("lang", "text")))
     out = LanguageModels(languages, models)

@@ -165,6 +165,39 @@ def test_many_and_small_languages(spark):
     assert all(np.isfinite(m.highest).all() for m in fitted.models)
 
 
+def test_few_rows_are_split_like_many(spark):
+    """29, 30 and 31 rows of a language: those of a low lot teach, whatever the number, and one row always does."""
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit("lot"), "doc_id", "text"), 11) / F.lit(float(1 << 53))
+    for n in (1, 29, 30, 31):
+        docs = spark.createDataFrame([(k, f"wort{k} haus{k % 3} baum", "de") for k in range(n)], "doc_id long, text string, lang string")
+        own = docs.withColumn("lot", lot).collect()
+        low = min(r["lot"] for r in own)
+        learned = [r["text"] for r in own if r["lot"] < L.SAMPLE / (L.SAMPLE + L.CALIBRATE) or r["lot"] == low]
+        fitted = train(docs)
+        assert fitted.languages == ["de"] and 0 < len(learned) <= n
+        direct = L.models_of(gram_counts(spark.createDataFrame([("de", t) for t in learned], "lang string, text string")))[1][0]
+        assert all((a == b).all() for a, b in zip(fitted.models[0].grams, direct.grams)) and all(np.allclose(a, b) for a, b in zip(fitted.models[0].probability, direct.probability))
+
+
+def test_runs_of_letters_of_any_length(spark):
+    """An unspaced script: a run is one word, scored as a whole, also beside short ones and beyond a grid's cells."""
+    rnd = random.Random(8)
+    signs = [chr(0x4E00 + k) for k in range(60)]
+    texts = ["".join(rnd.choices(signs, k=n)) for n in (3, 39, 40, 41, 200, 3000)] + ["kurz wort"]
+    languages, (model,) = L.models_of(gram_counts(spark.createDataFrame([("zh", t) for t in texts], "lang string, text string")))
+    whole = word_scores([model], [w for t in texts for w in words_of(t)])[:, 0]
+    alone = [word_scores([model], [w])[0, 0] for t in texts for w in words_of(t)]
+    assert np.allclose(whole, alone) and len(words_of(texts[5])) == 1
+    old, L.CELLS = L.CELLS, 100
+    try:
+        assert np.allclose(word_scores([model], [w for t in texts for w in words_of(t)])[:, 0], whole)
+    finally:
+        L.CELLS = old
+    seen = [chr(L.EDGE) + w + chr(L.EDGE) for t in texts for w in words_of(t)]
+    grams = {s[j - 4 : j + 1] for s in seen for j in range(4, len(s))}
+    assert len(model.grams[4]) == len(grams)  # none holds an edge inside a run
+
+
 def test_nothing_to_read_or_learn_from(spark, nothing):
     assert identify(nothing).count() == 0 and accepted(nothing).count() == 0
     bare = frame(spark, [(1, "some text", None, "a")])
