@@ -1,16 +1,16 @@
 """Personal data by fixed forms, and by contexts that the found ones teach.
 
-What the four base forms match, and long hexadecimal keys, seed a graph of
-patterns (the words on the left, on the right or on both sides of an identifier)
-and instances (what looks like an identifier). Belief flows between the two by
-rounds of joins, until no further pattern is known; patterns that keep company
-mostly with believed identifiers add spans of their own.
+What the four base forms match, and identifiers that a user knows already, seed a
+graph of patterns (the words on the left, on the right or on both sides of an
+identifier) and instances (what looks like an identifier, of whatever form). Belief
+flows between the two by rounds of joins, until no further pattern is known; patterns
+that keep company mostly with believed identifiers add spans of their own.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -27,6 +27,8 @@ CONFIDENCE = 0.9
 SUPPORT = 3
 #: Shorter tokens, and shorter runs of tokens, are no identifiers.
 SHORTEST = 6
+#: At most so many identifiers are given as seeds: they go to every task.
+SEEDS = 100_000
 
 # fixed values: the base forms
 EMAIL_DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -35,9 +37,6 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: A form that seeds contexts but adds no span by itself: what is found is found by its context.
-KEY = re.compile(r"(?=[a-fA-F]*[0-9])(?=[0-9]*[a-fA-F])[0-9a-fA-F]{32,}")
-
 _DIGITS = re.compile(r"[0-9]").search
 _TOKEN = re.compile(r"[^\s=]+=*(?=\s|$)|[^\s=]+|=+")
 _TRIM = ".,;:!?\"'()[]{}<>|#$%&*="
@@ -95,15 +94,14 @@ def _word(token: str) -> str:
 class _Candidates:
     """Identifiers of one text, known or likely, with their contexts."""
 
-    def __init__(self, text: str) -> None:
-        self.text, self.found = text, []
+    def __init__(self, text: str, seeds: frozenset[str]) -> None:
+        self.text, self.seeds, self.found = text, seeds, []
         self.tokens = [m.span() for m in _TOKEN.finditer(text)]
         self.words = [_word(text[s:e]) for s, e in self.tokens]
 
     def add(self, start: int, end: int, first: int, last: int, run: int, whole: bool, kind: str) -> None:
         """Adds text[start:end], which lies in the tokens first to last."""
         text, words = self.text[start:end], self.words
-        form = "@" if "@" in text else "9"
         left = [words[k] if k >= 0 else "" for k in (first - 2, first - 1)]
         right = [words[k] if k < len(words) else "" for k in (last + 1, last + 2)]
         # what a token has beside a base match is its nearest context
@@ -112,9 +110,9 @@ class _Candidates:
             left = [left[1], _word(head)]
         if tail:
             right = [_word(tail), right[0]]
-        patterns = {_pattern(f"l{form}", *left), _pattern(f"r{form}", *right), _pattern(f"b{form}", left[1], right[0])} - {None}
+        patterns = {_pattern("l", *left), _pattern("r", *right), _pattern("b", left[1], right[0])} - {None}
         if patterns:
-            seed = bool(kind) or KEY.fullmatch(text) is not None
+            seed = bool(kind) or text in self.seeds
             self.found.append((start, end, run, whole, sorted(patterns), xxhash.xxh64_intdigest(text) - (1 << 63), kind, seed))
 
     def add_run(self, cores: list[tuple[int, int, int]]) -> None:
@@ -131,7 +129,7 @@ def _like(core: str) -> bool:
     return bool(_DIGITS(core)) or "@" in core
 
 
-def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, bool, list[int], int, str, bool]]:
+def candidates(text: str, spans: list[tuple[str, int, int]], seeds: frozenset[str] = frozenset()) -> list[tuple[int, int, int, bool, list[int], int, str, bool]]:
     """Base spans, and what looks like an identifier: start, end, its run, whether it is all of the run, patterns, instance, the base kind or "", whether it is a seed.
 
     Tokens with a digit or an at sign look like identifiers, and so do runs of them
@@ -139,7 +137,7 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
     """
     if not _like(text):
         return []
-    own = _Candidates(text)
+    own = _Candidates(text, seeds)
     tokens, k, j, taken = own.tokens, 0, 0, 0
     for kind, s, e in spans:
         if s >= taken:
@@ -185,26 +183,32 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
 _NEAR = [("start", pa.int64()), ("end", pa.int64()), ("run", pa.int64()), ("whole", pa.bool_()), ("patterns", pa.list_(pa.int64())), ("instance", pa.int64()), ("kind", pa.string()), ("seed", pa.bool_())]
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(seeds: frozenset[str]):
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    names = [name for name, _ in _NEAR]
-    for batch in batches:
-        base, more = [], []
-        for text in batch.column("text"):
-            t = text.as_py()
-            found = base_spans(t)
-            base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
-            more.append([dict(zip(names, c, strict=True)) for c in candidates(t, found)])
-        kept = ["doc_id", "row", "text_sha256"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(base, span), pa.array(more, pa.list_(pa.struct(_NEAR)))], names=[*kept, "base", "near"])
-
-
-def scan(docs: DataFrame) -> DataFrame:
+    names, kept = [name for name, _ in _NEAR], ["doc_id", "row", "text_sha256"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base, more = [], []
+            for text in batch.column("text"):
+                t = text.as_py()
+                found = base_spans(t)
+                base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
+                more.append([dict(zip(names, c, strict=True)) for c in candidates(t, found, seeds)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(base, span), pa.array(more, pa.list_(pa.struct(_NEAR)))], names=[*kept, "base", "near"])
+
+    return run
+
+
+def scan(docs: DataFrame, seeds: Iterable[str] = ()) -> DataFrame:
     """For each row: doc_id, a number, a digest of its text, its base spans, and its candidates with their patterns."""
+    given = frozenset(seeds)
+    if len(given) > SEEDS:
+        raise ValueError(f"at most {SEEDS} identifiers can be given as seeds")
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumns({"row": F.monotonically_increasing_id(), "text_sha256": F.sha2("text", 256)})
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        _scan,
+        _scan(given),
         f"doc_id {kind}, row long, text_sha256 string, base array<struct<kind:string,start:long,end:long>>,"
         " near array<struct<start:long,end:long,run:long,whole:boolean,patterns:array<long>,instance:long,kind:string,seed:boolean>>",
     )
@@ -244,9 +248,11 @@ def _listed(spans: str) -> Column:
     return F.array_join(F.expr(f"transform({ordered}, s -> concat(s.kind, ':', s.start, ':', s.end))"), ",")
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, seeds: Iterable[str] = ()) -> DataFrame:
     """The personal data of every row of ``docs``; a null text is empty and has none.
 
+    ``seeds`` are identifiers known already, at most SEEDS; they teach contexts as base
+    matches do, and are themselves found only in known contexts.
     Base spans always stay. What looks like an identifier and lies in a known
     context (see learn_patterns) adds a span of kind ``context``; of a run of
     tokens, the whole if it does, else those of its tokens that do. Repeated rows
@@ -255,7 +261,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_email, n_ip, n_card, n_phone, n_context, n_spans, base_sha256,
     spans, text_sha256 (of the text, by which redact finds the spans).
     """
-    found = written(scan(docs), "found")
+    found = written(scan(docs, seeds), "found")
     good = learn_patterns(found).select("pattern")
     fresh = found.select("row", F.explode("near").alias("n")).filter("n.kind = ''").select("row", "n.*").withColumn("pattern", F.explode("patterns")).join(good, "pattern", "left_semi")
     runs = fresh.groupBy("row", "run").agg(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end", "whole")).alias("all"))

@@ -97,16 +97,35 @@ def test_found_instances_make_further_contexts_known(spark):
     assert got[3002]["spans"] == f"context:16:{16 + len(long)}"
 
 
-def test_keys_teach_contexts_of_secrets(spark):
-    """Long hexadecimal keys seed contexts; secrets of another form there are found, and keys elsewhere are not."""
+def test_given_seeds_teach_contexts_of_secrets(spark):
+    """Some keys that are known teach the context of all; without them nothing does, and keys elsewhere are never found."""
     rnd = random.Random(12)
-    key = lambda n: "".join(rnd.choices("0123456789abcdef", k=n - 2)) + "a1"
-    rows = [(k, f'{"abcdefg"[k % 7]} token = "{key(40)}" {"hijkl"[k % 5]}', "en", "a") for k in range(30)]
-    rows += [(100, 'my token = "Zm9vYmFy-09_qqWWee" here', "en", "a"), (101, f"commit {key(40)} fixed it", "en", "a"), (102, "a token of 9 parts", "en", "a")]
-    got = {r["doc_id"]: r for r in check(frame(spark, rows), rows)}
+    keys = ["".join(rnd.choices("0123456789abcdef", k=38)) + "a1" for _ in range(31)]
+    rows = [(k, f'{"abcdefg"[k % 7]} token = "{keys[k]}" {"hijkl"[k % 5]}', "en", "a") for k in range(30)]
+    rows += [(100, 'my token = "Zm9vYmFy-09_qqWWee" here', "en", "a"), (101, f"commit {keys[30]} fixed it", "en", "a"), (102, "a token of 9 parts", "en", "a")]
+    docs = frame(spark, rows)
+    got = {r["doc_id"]: r for r in find_personal_data(docs, keys[:29]).collect()}
     assert all(got[k]["n_context"] == 1 for k in range(30))
     assert got[100]["spans"] == "context:12:30"
     assert got[101]["n_spans"] == 0 and got[102]["n_spans"] == 0
+    assert all(r["n_spans"] == 0 for r in find_personal_data(docs).collect())
+    with pytest.raises(ValueError, match="seeds"):
+        find_personal_data(docs, map(str, range(100_001)))
+
+
+def test_unseen_family_in_a_whole_table(spark):
+    """Passport numbers, which no constant here names, stand where mail addresses and cards do: base matches alone lead to them, and to nothing in clean documents."""
+    rnd = random.Random(14)
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang", "source")
+    known = [f"m{k}.{rnd.randrange(10**6)}@mail{k % 5}.org" if k % 2 else card(rnd) for k in range(120)]
+    numbers = ["".join(rnd.choices("CFGHJKLMNPRTVWXYZ", k=2)) + f"{rnd.randrange(10**7):07}" for _ in range(12)]
+    own = [(10**9 + k, f"{'the you we it'.split()[k % 4]} verified holder {x} on file {'then so and'.split()[k % 3]}", "en", "a") for k, x in enumerate(known + numbers)]
+    own += [(2 * 10**9 + k, f"lot {x} left the depot", "en", "a") for k, x in enumerate(numbers[:3])]
+    got = {r["doc_id"]: r for r in find_personal_data(docs.unionByName(frame(spark, own).select(docs.columns))).collect()}
+    assert all(got[10**9 + 120 + k]["n_context"] == 1 for k in range(12))
+    assert all(got[2 * 10**9 + k]["n_spans"] == 0 for k in range(3))
+    assert not any(r["n_context"] for i, r in got.items() if i < 10**9)
+    assert all(got[10**9 + k]["n_context"] == 0 and got[10**9 + k]["n_spans"] == 1 for k in range(120))
 
 
 def brute_patterns(texts):
