@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 
 from pagewright.operators.outcomes import NO_IMAGE, STAGES
 from pagewright.schema import COMPLETED, FAILED, PENDING
+from pagewright.sources.journal import Journal
 from pagewright.sources.storage import Storage
 
 
@@ -133,6 +134,8 @@ PAGES = (
     "submission_id string, doc_filename string, position int, page_number int, status string, error string, image_filename string, lines_filename string,"
     " raw_image_filename string, raw_image_width int, raw_image_height int, applied string, image binary, broken boolean"
 )
+#: The type of a page in a journal.
+RECORDED = f"struct<{PAGES.replace(', image binary', '')}>"
 
 
 def cached_first(applied: list[dict[str, Any]] | None, redetect: bool) -> int | None:
@@ -235,12 +238,13 @@ def with_lines(page: dict[str, Any], made: _Made, target: Storage) -> dict[str,
     return {**page, "status": COMPLETED, "error": "", "lines_filename": name}
 
 
-def extracted(docs: DataFrame, providers: Providers, source: Storage, target: Storage, batch: int = 16) -> DataFrame:
+def extracted(docs: DataFrame, providers: Providers, source: Storage, target: Storage, batch: int = 16, journal: Journal | None = None) -> DataFrame:
     """Page rows of ``docs`` (submission_id, source_path, doc_filename, position, pdf, cached), images and lines written on the way.
 
     A task reads one document at a time and keeps no image of a page that is done.
     What no row of a page can tell gives a row that is ``broken``: it fails the
-    whole submission.
+    whole submission. ``journal`` is told of each document that is begun and, unless
+    it is broken, finished.
     """
 
     def run(batches):
@@ -250,6 +254,7 @@ def extracted(docs: DataFrame, providers: Providers, source: Storage, target: St
             made, problem = providers.made(), None
         except Exception as error:
             made, problem = None, error
+        beat = journal.beat() if journal else None
         for rows in batches:
             out = []
             for doc in rows.to_dict("records"):
@@ -257,6 +262,9 @@ def extracted(docs: DataFrame, providers: Providers, source: Storage, target: St
                     out.append(_row(doc, 0, error=str(problem), broken=True))
                     continue
                 path = f"{doc['source_path']}/{doc['doc_filename']}"
+                if beat:
+                    beat.at(doc)
+                    stamp, own = source.stamp(path), []
                 try:
                     doc |= {"content": source.read_bytes(path), "error": ""}
                 except Exception as problem:
@@ -264,13 +272,21 @@ def extracted(docs: DataFrame, providers: Providers, source: Storage, target: St
                 try:
                     for page in pages_of(doc, made, target):
                         out.append({**with_lines(page, made, target), "image": None})
+                        if beat:
+                            own.append(out[-1])
                         if len(out) >= batch:
                             yield pd.DataFrame(out)
                             out = []
+                    if beat:
+                        journal.record(doc, stamp, own)
                 except Exception as error:
                     out.append(_row(doc, 0, error=str(error), broken=True))
+                if beat:
+                    beat.done()
             if out:
                 yield pd.DataFrame(out)
+        if beat:
+            beat.end()
 
     return docs.mapInPandas(run, PAGES)
 

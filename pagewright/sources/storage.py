@@ -140,6 +140,29 @@ class Storage:
 
         with_retry(remove)
 
+    def move(self, path: str, to: str) -> None:
+        """A file, over what is there; FileNotFoundError if there is none."""
+        fs, place = self._open(), self.absolute(to)
+        fs.create_dir(posixpath.dirname(place), recursive=True)
+        fs.move(self.absolute(path), place)
+
+    def delete_folder(self, path: str) -> None:
+        """With all that is in it; also if it is gone already. The root stays."""
+        place = self.absolute(path)
+        if place == self.base:
+            raise ValueError("the root is not deleted")
+        fs = self._open()
+        if fs.get_file_info(place).type == pafs.FileType.Directory:
+            with_retry(lambda: fs.delete_dir(place))
+
+    def stamp(self, path: str) -> str:
+        """Tells versions of a file apart, by size and time; '' where there is none."""
+        try:
+            info = self._open().get_file_info(self.absolute(path))
+        except Exception:
+            return ""
+        return "" if info.type == pafs.FileType.NotFound else f"{info.size}-{info.mtime_ns}"
+
     def probe_read(self) -> None:
         self.list_prefixes("")
 

@@ -54,15 +54,14 @@ def load_pages(spark: SparkSession, storage: Storage, prefix: str = "") -> DataF
     return read_manifest(spark, storage.uri(path), "pages", storage.exists(path))
 
 
-def save_manifest(df: DataFrame, storage: Storage, path: str, keys: tuple[str, ...]) -> None:
-    """Write ``df`` sorted by ``keys`` as one CSV file of exactly this path.
+def stage_manifest(df: DataFrame, storage: Storage, path: str, keys: tuple[str, ...]) -> str:
+    """Write ``df`` sorted by ``keys`` as one CSV file in the folder ``path``, and give the file's path.
 
     Tasks sort and write parts. One file is the format, so one task then strings
     the bytes of the parts together, without looking into them; nothing goes
-    through the driver. The file is replaced only when it is whole.
+    through the driver. Each attempt of that task writes a file of its own.
     """
-    spark, staged = df.sparkSession, f"{path}.{uuid.uuid4().hex}"
-    parts = f"{staged}.parts"
+    spark, parts = df.sparkSession, f"{path}/parts"
     storage.prepare(spark)
     df.orderBy(*keys).write.options(header="false", emptyValue="", nullValue="", **_DIALECT).csv(storage.uri(parts))
     names = list(df.columns)
@@ -71,19 +70,30 @@ def save_manifest(df: DataFrame, storage: Storage, path: str, keys: tuple[str, .
         import pandas as pd
 
         for rows in batches:
-            for _ in range(len(rows)):
+            staged = f"{path}/whole-{uuid.uuid4().hex}"
+            if len(rows):
                 fs, head = storage._open(), io.StringIO()
                 csv.writer(head, lineterminator="\n").writerow(names)
                 with fs.open_output_stream(storage.absolute(staged)) as out:
                     out.write(head.getvalue().encode("utf-8"))
-                    for part in storage.list_files(parts):
-                        if part.rsplit("/", 1)[-1].startswith("part-"):
+                    for part in sorted(storage.list_files(parts), key=part_number):
+                        if part_number(part) >= 0:
                             with fs.open_input_stream(storage.absolute(part)) as content:
                                 while chunk := content.read(8_000_000):
                                     out.write(chunk)
-            yield pd.DataFrame({"done": [len(rows)]})
+            yield pd.DataFrame({"path": [staged] * len(rows)})
+
+    return spark.range(1).coalesce(1).mapInPandas(joined, "path string").first()["path"]
+
 
-    spark.range(1).coalesce(1).mapInPandas(joined, "done long").collect()
-    fs = storage._open()
-    fs.move(storage.absolute(staged), storage.absolute(path))
-    fs.delete_dir(storage.absolute(parts))
+def part_number(path: str) -> int:
+    """The number of a part that a writer of Spark's made, by which parts are in order; -1 for other files."""
+    name = path.rsplit("/", 1)[-1].split("-")
+    return int(name[1]) if name[0] == "part" and len(name) > 1 and name[1].isdigit() else -1
+
+
+def save_manifest(df: DataFrame, storage: Storage, path: str, keys: tuple[str, ...]) -> None:
+    """Write ``df`` sorted by ``keys`` as one CSV file of exactly this path, which is replaced only when the new one is whole."""
+    folder = f"{path}.{uuid.uuid4().hex}"
+    storage.move(stage_manifest(df, storage, folder, keys), path)
+    storage.delete_folder(folder)

@@ -74,43 +74,67 @@ def stalls(results: DataFrame, warn: int = 90, abort: int = 900, mode: str = "ap
 
 
 class Stalled(RuntimeError):
-    pass
+    """No result came for too long; ``in_flight`` is what was being worked on."""
 
+    def __init__(self, text: str, in_flight: list[str]) -> None:
+        super().__init__(text)
+        self.in_flight = in_flight
 
-def watched(spark: SparkSession, work: Callable[[], object], warn: int | None, abort: int | None, on_warn: Callable[[float, list[str]], None] = lambda s, stages: None, poll: float = 10.0) -> object:
-    """``work()`` under a watch: a warning once for each time that no task ends for ``warn`` seconds, with what is in flight, and an end to it all after ``abort``.
 
-    None switches a limit off. An ended job raises Stalled; what it would have
-    published stays as it was, as manifests are written last.
+#: A state that differs once a result has come, and the ids that are in flight.
+Progress = Callable[[], tuple[object, list[str]]]
+
+
+def watched(
+    spark: SparkSession,
+    work: Callable[[], object],
+    warn: int | None,
+    abort: int | None,
+    on_warn: Callable[[float, list[str]], None] = lambda s, ids: None,
+    poll: float = 10.0,
+    progress: Progress | None = None,
+) -> object:
+    """``work()`` under a watch: a warning once for each time that no result comes for ``warn`` seconds, with what is in flight, and an end to it all after ``abort``.
+
+    A result is what ``progress`` tells (see Journal.progress), or the end of a task:
+    a long task that gets on is not idle. None switches a limit off. An ended job raises
+    Stalled. The caller's job group is as it was before.
     """
     context, group = spark.sparkContext, f"watched-{time.time_ns()}"
-    done, stalled = threading.Event(), threading.Event()
+    done, stalled, held = threading.Event(), threading.Event(), []
+    own = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+    before = {name: context.getLocalProperty(name) for name in own}
 
     def infos() -> list:
         tracker = context.statusTracker()
         stages = [s for j in tracker.getJobIdsForGroup(group) if (job := tracker.getJobInfo(j)) for s in job.stageIds]
         return [info for s in stages if (info := tracker.getStageInfo(s))]
 
-    def finished() -> int:
-        return sum(info.numCompletedTasks for info in infos())
-
-    def in_flight() -> list[str]:
-        return [f"{info.numActiveTasks} of {info.numTasks} tasks of {info.name}" for info in infos() if info.numActiveTasks]
+    def told() -> tuple[object, list[str]]:
+        """What has come so far, and what is in flight."""
+        running = infos()
+        at = [f"{info.numActiveTasks} of {info.numTasks} tasks of {info.name}" for info in running if info.numActiveTasks]
+        state, ids = progress() if progress else (None, [])
+        return (sum(info.numCompletedTasks for info in running), state), ids or at
 
     def watch() -> None:
-        seen, since, warned = -1, time.monotonic(), False
+        seen, since, warned = None, time.monotonic(), False
         while not done.wait(poll):
-            now = finished()
+            try:
+                now, at = told()
+            except Exception:  # what cannot be seen has not come
+                now, at = seen, []
             if now != seen:
                 seen, since, warned = now, time.monotonic(), False
             idle = time.monotonic() - since
             if abort is not None and idle >= abort:
+                held.extend(at)
                 stalled.set()
                 context.cancelJobGroup(group)
                 return
             if warn is not None and idle >= warn and not warned:
                 warned = True
-                on_warn(idle, in_flight())
+                on_warn(idle, at)
 
     watcher = threading.Thread(target=watch, daemon=True)
     context.setJobGroup(group, "watched run", interruptOnCancel=True)
@@ -119,8 +143,10 @@ def watched(spark: SparkSession, work: Callable[[], object], warn: int | None, a
         return work()
     except Exception as error:
         if stalled.is_set():
-            raise Stalled(f"no worker result for {abort} s") from error
+            raise Stalled(f"no worker result for {abort} s; in flight: {', '.join(held) or 'nothing'}", held) from error
         raise
     finally:
         done.set()
         watcher.join(poll + 5)
+        for name, value in before.items():
+            context.setLocalProperty(name, value)

@@ -1,5 +1,7 @@
 """Providers that need no image library: a document is text, a page is a line of it."""
 
+import time
+
 from pagewright.operators.imaging import Providers, Transformed, target_size
 
 
@@ -57,3 +59,17 @@ def no_rasterizer():
 
 def made_for(settings):
     return Providers(Pages, Images, Detector, (bad_rotator, rotator))
+
+
+class Noted(Pages):
+    """A page "note FILE NAME" adds its name to a file when it is made; "wait SECONDS" takes its time."""
+
+    def pages(self, content):
+        for page in super().pages(content):
+            word = page.split() if isinstance(page, bytes) else [b""]
+            if word[0] == b"note":
+                with open(word[1], "a") as f:
+                    f.write(word[2].decode() + "\n")
+            elif word[0] == b"wait":
+                time.sleep(float(word[1]))
+            yield page

@@ -170,11 +170,12 @@ def test_command_line(spark, sides, monkeypatch, caplog):
     assert manifest(spark, target)[0]["good"] == ("completed", "")
 
 
-def test_a_stalled_run_leaves_manifests(spark, sides):
+def test_a_stalled_run_publishes_only_what_has_ended(spark, sides):
     _, target, settings = sides
     with pytest.raises(incremental.Stalled):
         runs.run(spark, replace(settings, stall_warning=1, stall_timeout=2), Providers(Slow, fakes.Images, fakes.Detector))
-    assert not target.exists("pages.csv")
+    subs, pages = manifest(spark, target)
+    assert subs.keys() == {"empty", "badjson", "nullext"} and {k[0] for k in pages} == {"badjson"}
 
 
 class Slow(fakes.Pages):
@@ -248,3 +249,4 @@ def test_watch_ends_a_hanging_job(spark):
         incremental.watched(spark, lambda: spark.range(4).mapInPandas(hang, "id long").count(), 4, 8, lambda s, stages: warned.append(stages), poll=0.5)
     assert len(warned) == 1 and any("tasks of" in s for s in warned[0])
     assert incremental.watched(spark, lambda: spark.range(10).filter(F.col("id") > 3).count(), None, None, poll=0.2) == 6
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
