@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as E
 from pagewright.operators import relational as R
+from pagewright.operators.spatial import lines_at
 from pagewright.plans import consumer
 from pagewright.schema import COMPLETED, FAILED, PENDING
 
@@ -303,6 +304,25 @@ def point_in_polygon(t):
     return t("embeddings").select("vec_id", E.in_polygon(_points(), F.lit(0.0), F.lit(0.0)).alias("inside"))
 
 
+def _crossing(a: int, b: int) -> str:
+    return f"CASE WHEN (e[{2 * a + 2}] > y) <> (e[{2 * b + 2}] > y) AND x < (e[{2 * b + 1}] - e[{2 * a + 1}]) * (y - e[{2 * a + 2}]) / nullif(e[{2 * b + 2}] - e[{2 * a + 2}], 0) + e[{2 * a + 1}] THEN 1 ELSE 0 END"
+
+
+@_query(f"""WITH l AS (SELECT label, vec_id AS line, list_transform(embedding, lambda v: v::DOUBLE * 1000) AS e FROM embeddings),
+            p AS (SELECT label, line AS vec_id, e[13] AS x, e[14] AS y FROM l),
+            m AS (SELECT p.vec_id, line, CASE WHEN line % 2 = 0 THEN ({_crossing(0, 3)} + {_crossing(1, 0)} + {_crossing(2, 1)} + {_crossing(3, 2)}) % 2 = 1
+                         ELSE x BETWEEN least(e[9], e[11]) AND greatest(e[9], e[11]) AND y BETWEEN least(e[10], e[12]) AND greatest(e[10], e[12]) END AS inside
+                  FROM p LEFT JOIN l USING (label))
+            SELECT vec_id, coalesce(min(line) FILTER (WHERE inside), -1) AS line FROM m GROUP BY vec_id""")
+def lines_at_points(t):
+    """Points of all rows in the lines of their page, which is the label: even rows are lines by their polygon, odd ones by their box."""
+    a, b, c, d, x, y = (F.get("embedding", F.lit(k)).cast("double") * 1000 for k in (8, 9, 10, 11, 12, 13))
+    page = [F.col("label").cast("string").alias("submission_id"), F.lit("page").alias("image_filename")]
+    rows = t("embeddings")
+    lines = rows.select(*page, F.col("vec_id").alias("index"), F.array(F.least(a, c), F.least(b, d), F.greatest(a, c), F.greatest(b, d)).alias("bbox"), F.when(F.col("vec_id") % 2 == 0, _points()).alias("polygon"))
+    return lines_at(lines, rows.select(*page, x.alias("x"), y.alias("y"), "vec_id")).select("vec_id", F.col("index").alias("line"))
+
+
 @_query("""WITH g AS (SELECT event_id, date_sub('second', lag(ts) OVER (ORDER BY ts, event_id), ts) AS gap FROM events)
            SELECT event_id, gap, gap >= 900 AS aborts FROM g WHERE gap >= 90""")
 def result_stall_gaps(t):
