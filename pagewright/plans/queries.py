@@ -8,6 +8,7 @@ paths, events a stream of results, embeddings hold the corners of boxes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pagewright.operators import relational as R
 from pagewright.operators.spatial import lines_at
 from pagewright.plans import consumer
 from pagewright.schema import COMPLETED, FAILED, PENDING
+from pagewright.sources import state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -90,6 +92,15 @@ def carry_forward_manifest(t):
     return R.published(R.carried(manifest, work).withColumn("origin", F.lit("carried")), new)
 
 
+@_query("""SELECT o_orderkey AS submission_id, o_orderstatus AS status, o_totalprice AS price FROM orders
+           WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+def carried_from_buckets(t):
+    """Orders as the rows of a bucketed manifest; those with a returned line item are worked on again."""
+    orders = t("orders").select(F.col("o_orderkey").alias("submission_id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
+    work = t("lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("submission_id"))
+    return state.carried(state.save(orders, f"manifest_{uuid.uuid4().hex}", 32), work)
+
+
 @_query("""SELECT o_orderkey AS submission_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def in_flight_ids(t):
     return R.in_flight(t("orders").select(F.col("o_orderkey").alias("submission_id")), t("lineitem").select(F.col("l_orderkey").alias("submission_id")))

@@ -15,7 +15,7 @@ from pagewright.operators.imaging import RECORDED, Options, Providers, extracted
 from pagewright.operators.outcomes import failure_text
 from pagewright.schema import COMPLETED, DESCRIPTOR, FAILED, METADATA, PAGE, PAGES_CSV, SUBMISSIONS_CSV, TRANSFORMS, filled
 from pagewright.settings import Settings, whole_or
-from pagewright.sources import artifacts, descriptor, tables, versions
+from pagewright.sources import artifacts, descriptor, state, tables, versions
 from pagewright.sources.discovery import discover
 from pagewright.sources.journal import KEY, Journal, unchanged
 from pagewright.sources.scratch import kept
@@ -130,6 +130,21 @@ def _extracted(spark: SparkSession, settings: Settings, ready: DataFrame, provid
     return pages if fresh is None else pages.unionByName(fresh), left, problem
 
 
+def _publish(spark: SparkSession, settings: Settings, target: Storage, prefix: str, last: dict, submissions: DataFrame, pages: DataFrame) -> None:
+    """Both manifests as the next version, and their rows as tables if the settings ask for that."""
+    names: dict[str, str] = {}
+    if settings.state:
+        names = state.save_all(spark, settings.state, {"submissions": submissions, "pages": pages})
+        submissions, pages = (spark.table(names[kind]) for kind in ("submissions", "pages"))
+    manifests = {PAGES_CSV: (pages, ("submission_id", "doc_filename", "page_number")), SUBMISSIONS_CSV: (submissions, ("submission_id",))}
+    try:
+        versions.publish(spark, target, prefix, last["version"], manifests, names)
+    except versions.Conflict:
+        state.drop(spark, names)
+        raise
+    state.drop(spark, last.get("state"))
+
+
 def _run(spark: SparkSession, settings: Settings, providers: Providers) -> dict[str, int]:
     source, source_prefix = open_side(settings.source)
     target, prefix = open_side(settings.target)
@@ -139,8 +154,9 @@ def _run(spark: SparkSession, settings: Settings, providers: Providers) -> dict[
     if settings.metadata_only:
         told_files = publish_metadata(R.first_by_path(found, settings.max_submissions), source, target, settings, prefix)
         return {"submissions": told_files.count()}
-    version = versions.current(target, prefix)
-    old = tables.load_submissions(spark, target, prefix)
+    last = versions.latest(target, prefix)
+    tabled = state.load(spark, last)
+    old = tabled["submissions"] if tabled else tables.load_submissions(spark, target, prefix)
     queue = kept(R.first_by_path(R.work_queue(found, old, settings.force_reprocess), settings.max_submissions))
     if queue.isEmpty():
         return {"submissions": 0, "completed": 0, "failed": 0, "pages": 0}
@@ -163,13 +179,10 @@ def _run(spark: SparkSession, settings: Settings, providers: Providers) -> dict[
     broken = failures.select("submission_id", F.lit(FAILED).alias("status"), "error")
     whole = work.join(broken, "submission_id", "left_anti")
     new = kept(R.roll_up(whole, pages, ("position", "page_number")).unionByName(broken))
-    old_pages = tables.load_pages(spark, target, prefix)
-    manifests = {
-        PAGES_CSV: (R.published(R.carried(filled(old_pages, PAGE), work), filled(pages, PAGE)), ("submission_id", "doc_filename", "page_number")),
-        SUBMISSIONS_CSV: (R.published(R.carried(old, work), new), ("submission_id",)),
-    }
     if problem is None or not work.isEmpty():
-        versions.publish(spark, target, prefix, version, manifests)
+        old_pages = tabled["pages"] if tabled else filled(tables.load_pages(spark, target, prefix), PAGE)
+        carried = state.carried if tabled else R.carried
+        _publish(spark, settings, target, prefix, last, R.published(carried(old, work), new), R.published(carried(old_pages, work), filled(pages, PAGE)))
         journal.forget(ready.join(work.select("submission_id"), "submission_id", "left_semi"))
     if problem is not None:
         raise problem
@@ -183,7 +196,7 @@ def backfill(spark: SparkSession, settings: Settings, providers: Providers) -> d
     target, prefix = open_side(settings.target)
     source.probe_read()
     target.probe_write()
-    version = versions.current(target, prefix)
+    last = versions.latest(target, prefix)
     pages = tables.load_pages(spark, target, prefix)
     wanted = R.first_ids(R.wants_raw_image(pages), settings.max_submissions)
     placed = R.with_source_path(wanted, discover(spark, source, source_prefix)).filter("NOT lost").drop("lost")
@@ -200,5 +213,6 @@ def backfill(spark: SparkSession, settings: Settings, providers: Providers) -> d
     n = made.filter("raw_image_filename <> ''").count()
     if n:
         merged = R.upserted(pages.drop("_order"), made, order="_order")
-        versions.publish(spark, target, prefix, version, {PAGES_CSV: (kept(merged), ("submission_id", "doc_filename", "page_number"))})
+        versions.publish(spark, target, prefix, last["version"], {PAGES_CSV: (kept(merged), ("submission_id", "doc_filename", "page_number"))})
+        state.drop(spark, last.get("state"))
     return {"pages": n}

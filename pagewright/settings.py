@@ -47,6 +47,8 @@ class Settings:
     redetect_rotation: bool = False
     rotation_service: RotationService | None = None
     model_cache: str | None = None
+    #: Names of the tables that keep the manifests' rows begin so (see sources/state.py); none are kept without it.
+    state: str | None = None
 
 
 def _text(env: Mapping[str, str], name: str) -> str:
@@ -134,4 +136,5 @@ def read_settings(env: Mapping[str, str] | None = None) -> Settings:
         redetect_rotation=_flag(env, "FORCE_ROTATION_REDETECTION"),
         rotation_service=_rotation_service(env),
         model_cache=_text(env, "MODEL_CACHE_DIR") or None,
+        state=_text(env, "PAGEWRIGHT_STATE") or None,
     )

@@ -36,14 +36,18 @@ def _records(storage: Storage, prefix: str) -> dict[int, str]:
     return {int(name.removesuffix(".json")): path for name, path in names.items() if name.removesuffix(".json").isdigit()}
 
 
-def current(storage: Storage, prefix: str = "") -> int:
-    """The number of the last version, 0 if there is none, after its manifests have taken their places."""
+def latest(storage: Storage, prefix: str = "") -> dict:
+    """The record of the last version, after its manifests have taken their places; version 0 if there is none."""
     found = _records(storage, prefix)
     if not found:
-        return 0
-    last = max(found)
-    _settle(storage, json.loads(storage.read_text(found[last])))
-    return last
+        return {"version": 0, "state": {}}
+    record = json.loads(storage.read_text(found[max(found)]))
+    _settle(storage, record)
+    return record
+
+
+def current(storage: Storage, prefix: str = "") -> int:
+    return latest(storage, prefix)["version"]
 
 
 def _settle(storage: Storage, record: dict) -> None:
@@ -55,11 +59,11 @@ def _settle(storage: Storage, record: dict) -> None:
     storage.delete_folder(record["folder"])
 
 
-def publish(spark: SparkSession, storage: Storage, prefix: str, base: int, manifests: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> int:
-    """Put ``manifests`` (name: rows and sort keys) in force as the version after ``base``; Conflict if there is one already."""
+def publish(spark: SparkSession, storage: Storage, prefix: str, base: int, manifests: dict[str, tuple[DataFrame, tuple[str, ...]]], state: dict[str, str] | None = None) -> int:
+    """Put ``manifests`` (name: rows and sort keys) in force as the version after ``base``; Conflict if there is one already. ``state`` names tables of the same rows."""
     number, folder = base + 1, _at(prefix, f"{FOLDER}/staged-{uuid.uuid4().hex}")
     files = [(stage_manifest(df, storage, f"{folder}/{name}", keys), _at(prefix, name)) for name, (df, keys) in manifests.items()]
-    record = {"version": number, "folder": folder, "files": files}
+    record = {"version": number, "folder": folder, "files": files, "state": state or {}}
     if not put_if_absent(spark, storage, _at(prefix, f"{FOLDER}/{number:012d}.json"), json.dumps(record).encode("utf-8")):
         storage.delete_folder(folder)
         raise Conflict(f"version {number} of the manifests is another writer's")
