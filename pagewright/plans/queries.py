@@ -19,7 +19,9 @@ from pagewright.operators import relational as R
 from pagewright.operators.spatial import lines_at
 from pagewright.plans import consumer
 from pagewright.schema import COMPLETED, FAILED, PENDING
-from pagewright.sources import state
+from pagewright.sources import packs, state
+from pagewright.sources.scratch import shared_folder
+from pagewright.sources.storage import Storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -340,6 +342,15 @@ def result_stall_gaps(t):
     return R.stall_gaps(t("events").select("event_id", "ts")).select("event_id", "gap", "aborts")
 
 
+@_query("""SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.txt' AS path, octet_length(encode(text)) AS size, md5(text) AS digest FROM documents WHERE text IS NOT NULL""")
+def packed_artifacts(t):
+    """All texts as artifacts of one commit, packed by tasks, and read back."""
+    docs = t("documents").select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"), F.col("text").alias("content"))
+    home = Storage(shared_folder(docs.sparkSession).removesuffix("/") + f"/packs-{uuid.uuid4().hex}")
+    packs.pack(docs, home)
+    return packs.packed(docs.sparkSession, home).select("path", "size", F.md5("content").alias("digest"))
+
+
 @_query("""SELECT source AS submission_id, lang || '_p1.jpg' AS image_filename, count(*) AS n FROM documents GROUP BY 1, 2 HAVING count(*) > 1""")
 def output_name_collisions(t):
     stored = F.concat("lang", F.lit("."), F.when(F.col("n_chars") % 2 == 0, "jpg").otherwise("pdf"))

@@ -10,8 +10,10 @@ import posixpath
 import time
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from datetime import datetime
 from typing import TypeVar
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
@@ -95,6 +97,10 @@ class Storage:
     def list_files(self, prefix: str = "") -> list[str]:
         return sorted(self._relative(i.path) for i in self._children(prefix) if i.type == pafs.FileType.File)
 
+    def entries(self, prefix: str = "") -> list[tuple[str, int | None, datetime | None, bool]]:
+        """What lies right under ``prefix``, sorted: path, size, time and whether it is a folder."""
+        return sorted(((self._relative(i.path), i.size, i.mtime, i.type == pafs.FileType.Directory) for i in self._children(prefix)), key=lambda e: e[0])
+
     def walk(self, prefix: str, name: str) -> list[str]:
         """Files of exactly this name at any depth, hidden folders too, sorted part by part."""
         found = [self._relative(i.path) for i in self._children(prefix, recursive=True) if i.type == pafs.FileType.File and i.base_name == name]
@@ -108,6 +114,15 @@ class Storage:
             return False
         return self._open().get_file_info(place).type != pafs.FileType.NotFound
 
+    def opened(self, path: str) -> pa.NativeFile:
+        return self._open().open_input_stream(self.absolute(path))
+
+    def created(self, path: str) -> pa.NativeFile:
+        """A stream over a new file, which is to be closed."""
+        fs, place = self._open(), self.absolute(path)
+        fs.create_dir(posixpath.dirname(place), recursive=True)
+        return fs.open_output_stream(place)
+
     def read_bytes(self, path: str) -> bytes:
         with self._open().open_input_stream(self.absolute(path)) as f:
             return f.read()

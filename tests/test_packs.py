@@ -1,0 +1,115 @@
+"""Files of a tree and packed artifacts as data sources."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, In
+
+from pagewright.sources import packs
+from pagewright.sources.packs import Files, FilesReader, Packs, PacksWriter
+from pagewright.sources.storage import Storage
+
+
+def told(df):
+    return sorted((r["path"], bytes(r["content"])) for r in df.collect())
+
+
+def test_round_trip_of_packs(spark, tmp_path):
+    storage = Storage(str(tmp_path))
+    rows = [(f"s{k}/x é.json", bytes([k % 256]) * (k % 50)) for k in range(300)]
+    df = spark.createDataFrame([*rows, ("none", None), (None, b"x")], "path string, content binary").repartition(7)
+    packs.pack(df, storage, "a/b")
+    assert told(packs.packed(spark, storage, "a/b")) == sorted(rows)
+    assert len(storage.walk("a/b/_packs", "x")) == 0 and len([p for p in storage.list_files("a/b/_commits")]) == 1
+    bare = packs.packed(spark, storage, "a/b", content="false")
+    assert bare.filter("content IS NOT NULL").count() == 0 and bare.agg(F.sum("size")).first()[0] == sum(len(c) for _, c in rows)
+    packs.pack(spark.createDataFrame([("s1/x é.json", b"new")], "path string, content binary"), storage, "a/b")
+    got = packs.packed(spark, storage, "a/b").filter("path = 's1/x é.json'").orderBy("commit").collect()
+    assert [bytes(r["content"]) for r in got] == [b"\x01", b"new"]
+    packs.pack(spark.createDataFrame([("only", b"1")], "path string, content binary"), storage, "a/b", overwrite=True)
+    assert told(packs.packed(spark, storage, "a/b")) == [("only", b"1")]
+    assert len(packs.vacuum(storage, "a/b", older=0)) == 2 and told(packs.packed(spark, storage, "a/b")) == [("only", b"1")]
+
+
+def test_a_failed_task_leaves_nothing_to_be_seen(spark, tmp_path):
+    storage = Storage(str(tmp_path))
+    packs.pack(spark.createDataFrame([("a", b"1")], "path string, content binary"), storage)
+    torn = spark.range(40).repartition(4).selectExpr("CAST(id AS string) AS path", "CAST(IF(id = 33, raise_error('torn'), 'x') AS binary) AS content")
+    with pytest.raises(Exception, match="torn"):
+        packs.pack(torn, storage)
+    assert told(packs.packed(spark, storage)) == [("a", b"1")]
+    assert len(storage.list_prefixes("_packs")) == 1 and len(storage.list_files("_commits")) == 1
+
+
+def test_tasks_write_apart_and_a_job_that_ends_early_is_cleared(spark, tmp_path):
+    """By the writer itself: an aborted job, a task that fails, and one without rows."""
+    import pyarrow as pa
+
+    storage = Storage(str(tmp_path))
+    batch = pa.RecordBatch.from_pydict({"path": ["a", "b"], "content": [b"1", b"22"]})
+    writer = PacksWriter(storage, "", False)
+    done, again, empty = writer.write(iter([batch])), writer.write(iter([batch])), writer.write(iter([]))
+
+    def torn():
+        yield batch
+        raise ValueError("torn")
+
+    with pytest.raises(ValueError, match="torn"):
+        writer.write(torn())
+    assert (done.rows, empty.rows, empty.index) == (2, 0, None) and done.pack != again.pack
+    assert len(storage.list_files(f"_packs/{writer.job}")) == 4 and packs.packed(spark, storage).count() == 0
+    writer.commit([done, None, empty])  # the second attempt of a task is not named
+    assert told(packs.packed(spark, storage)) == [("a", b"1"), ("b", b"22")]
+    other = PacksWriter(storage, "", False)
+    other.abort([other.write(iter([batch]))])
+    assert storage.list_prefixes("_packs") == [f"_packs/{writer.job}/"]
+
+
+def test_damage_is_told(spark, tmp_path):
+    storage = Storage(str(tmp_path))
+    packs.pack(spark.createDataFrame([("a", b"12345")], "path string, content binary").coalesce(1), storage)
+    folder = storage.list_prefixes("_packs")[0]
+    pack = next(p for p in storage.list_files(folder) if p.endswith(".pack"))
+    storage.write_bytes(pack, b"12x45")
+    with pytest.raises(Exception, match="damaged"):
+        packs.packed(spark, storage).collect()
+
+
+@pytest.mark.parametrize("splits", ["1", "3", "256"])
+def test_files_of_a_tree(spark, tmp_path, splits):
+    storage = Storage(str(tmp_path))
+    paths = ["r.txt", "a/desc.json", "a/x.txt", "b/c/desc.json", "b/c/d/e/desc.json", "_h/.dot/desc.json", "é ü/desc.json"]
+    for p in paths:
+        storage.write_text(p, f"<{p}>")
+    got = packs.files(spark, storage, splits=splits)
+    assert told(got) == sorted((p, f"<{p}>".encode()) for p in paths)
+    assert got.filter("name = 'desc.json' AND size > 12").count() == sum(p.endswith("desc.json") and len(f"<{p}>".encode()) > 12 for p in paths)
+    assert sorted(r["path"] for r in packs.files(spark, storage, "b", splits=splits).select("path").collect()) == ["b/c/d/e/desc.json", "b/c/desc.json"]
+    assert packs.files(spark, storage, "absent", splits=splits).count() == 0 and packs.files(spark, storage, splits=splits, content="false").filter("content IS NULL AND modified IS NOT NULL").count() == 7
+
+
+def test_names_are_pushed_down(spark, tmp_path, monkeypatch):
+    """What no filter asks for is not opened."""
+    storage, opened = Storage(str(tmp_path)), []
+    for name in ("desc.json", "big.bin", "x.txt"):
+        storage.write_text(f"a/{name}", name)
+    reader, other = FilesReader(storage, "", 4, True), EqualTo(("size",), 1)
+    assert list(reader.pushFilters([In(("name",), ("desc.json", "big.bin")), other, EqualTo(("name",), "desc.json")])) == [other] and reader.names == {"desc.json"}
+    read = Storage.read_bytes
+    monkeypatch.setattr(Storage, "read_bytes", lambda self, path: opened.append(path) or read(self, path))
+    assert [b.num_rows for p in reader.partitions() for b in reader.read(p)] == [1] and opened == ["a/desc.json"]
+    assert told(packs.files(spark, storage).filter("name IN ('desc.json', 'none')")) == [("a/desc.json", b"desc.json")]
+
+
+def test_options_and_bounds(spark, tmp_path, monkeypatch):
+    with pytest.raises(ValueError, match="root"):
+        Files({}).reader(None)
+    with pytest.raises(ValueError, match="content"):
+        Packs({"root": str(tmp_path)}).writer(spark.range(1).schema, False)
+    storage = Storage(str(tmp_path))
+    for k in range(5):
+        storage.write_text(f"f{k}/x", json.dumps(k))
+    monkeypatch.setattr(packs, "FOLDERS", 4)
+    with pytest.raises(ValueError, match="folders"):
+        FilesReader(storage, "", 256, True).partitions()
