@@ -60,6 +60,11 @@ class Images(Protocol):
         """Width and height."""
 
 
+def extensions(images: Images) -> tuple[str, str]:
+    """What names of published and raw images end with; a provider of other formats says so itself."""
+    return getattr(images, "extension", "jpg"), getattr(images, "raw_extension", "avif")
+
+
 class Detector(Protocol):
     def detect(self, image: bytes) -> list[dict[str, Any]]:
         """Lines with bbox, polygon and confidence (or None), in reading order."""
@@ -158,10 +163,11 @@ def _row(doc: dict[str, Any], page: int, **more: Any) -> dict[str, Any]:
 
 def _page(doc: dict[str, Any], page: int, jpeg: bytes, made: _Made, target: Storage, cached: list | None) -> dict[str, Any]:
     done = made.transformed(jpeg, cached)
-    name, raw_name = f"{stem(doc['doc_filename'])}_p{page}.jpg", ""
+    ending, raw_ending = extensions(made.images)
+    name, raw_name = f"{stem(doc['doc_filename'])}_p{page}.{ending}", ""
     target.write_bytes(f"{doc['submission_id']}/{name}", done.image)
     if done.raw is not None:
-        raw_name = f"{stem(doc['doc_filename'])}_p{page}.avif"
+        raw_name = f"{stem(doc['doc_filename'])}_p{page}.{raw_ending}"
         target.write_bytes(f"{doc['submission_id']}/{raw_name}", done.raw)
     sizes = {"raw_image_width": done.raw_width, "raw_image_height": done.raw_height} if raw_name else {}
     return _row(doc, page, status=PENDING, image_filename=name, raw_image_filename=raw_name, applied=json.dumps(done.applied), image=done.image, **sizes)
@@ -309,7 +315,7 @@ def with_raw_images(pages: DataFrame, providers: Providers, source: Storage, tar
         done = made.transformed(jpeg, [{"rotation": int(row["rotation"] or 0)}], redetect=False)
         if done.raw is None:
             return row
-        name = f"{stem(row['doc_filename'])}_p{number}.avif"
+        name = f"{stem(row['doc_filename'])}_p{number}.{extensions(made.images)[1]}"
         target.write_bytes(f"{row['submission_id']}/{name}", done.raw)
         new = {"raw_image_filename": name, "raw_image_width": done.raw_width, "raw_image_height": done.raw_height}
         patch_lines(target, row["submission_id"], row["lines_filename"], new)
