@@ -66,13 +66,17 @@ def tree(subs: DataFrame, page_rows: DataFrame) -> DataFrame:
     return placed.orderBy("submission_id", "doc_filename", "page_number", "image_filename")
 
 
-def training_rows(subs: DataFrame, page_rows: DataFrame, line_rows: DataFrame) -> DataFrame:
-    """Lines of completed pages with their page and submission; boxes in pixels of the raw image."""
+def training_rows(subs: DataFrame, page_rows: DataFrame, line_rows: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:
+    """Lines of completed pages with their page and submission; boxes in pixels of the raw image.
+
+    ``fields`` of the metadata become columns of their own, which are read once a
+    submission and not once a line.
+    """
     sx = F.when(F.col("image_width") > 0, F.col("raw_image_width") / F.col("image_width"))
     sy = F.when(F.col("image_height") > 0, F.col("raw_image_height") / F.col("image_height"))
     own = line_rows.withColumns({"raw_bbox": E.scaled(F.col("bbox"), sx, sy), "raw_polygon": E.scaled_points(F.col("polygon"), sx, sy)})
     done = page_rows.filter(F.col("status") == COMPLETED).select("submission_id", "image_filename", "doc_filename", "page_number")
-    return own.join(done, ["submission_id", "image_filename"]).join(subs.select("submission_id", "metadata"), "submission_id")
+    return own.join(done, ["submission_id", "image_filename"]).join(subs.select("submission_id", "metadata", *(field(f).alias(f) for f in fields)), "submission_id")
 
 
 def line_at(line_rows: DataFrame, x: float, y: float) -> DataFrame:

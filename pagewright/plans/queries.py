@@ -100,7 +100,8 @@ def carried_from_buckets(t):
     """Orders as the rows of a bucketed manifest; those with a returned line item are worked on again."""
     orders = t("orders").select(F.col("o_orderkey").alias("submission_id"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"))
     work = t("lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("submission_id"))
-    return state.carried(state.save(orders, f"manifest_{uuid.uuid4().hex}", 32), work)
+    name = f"manifest_{uuid.uuid4().hex}"
+    return state.carried(state.save(orders, name, 32, f"{shared_folder(orders.sparkSession)}/{name}"), work)
 
 
 @_query("""SELECT o_orderkey AS submission_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
@@ -376,8 +377,8 @@ def consumer_training_rows(t):
     lines = items.select(F.col("l_orderkey").alias("submission_id"), image.alias("image_filename"), "l_quantity", F.explode(F.array(F.lit(0), F.lit(1))).alias("index"))
     lines = lines.withColumns({k: F.lit(v) for k, v in size.items()} | {"bbox": F.array(left, F.lit(1.0), left + 2, F.lit(3.0)), "polygon": F.array().cast("array<array<double>>")})
     subs = t("orders").select(F.col("o_orderkey").alias("submission_id"), F.to_json(F.struct(F.col("o_orderpriority").alias("priority"))).alias("metadata"))
-    rows = consumer.training_rows(subs, pages, lines)
-    return rows.groupBy(consumer.field("priority").alias("priority"), "index").agg(
+    rows = consumer.training_rows(subs, pages, lines, ("priority",))
+    return rows.groupBy("priority", "index").agg(
         F.count("*").alias("lines"), F.count_distinct("submission_id").alias("submissions"), F.sum(F.col("raw_bbox")[0]).alias("left_edges")
     )
 

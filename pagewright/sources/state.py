@@ -21,9 +21,10 @@ BITS = 1 << 27
 _BITMAP = 4096 * 8
 
 
-def save(df: DataFrame, name: str, buckets: int = BUCKETS) -> DataFrame:
-    """``df`` as a table of this name, a file a bucket."""
-    df.repartition(buckets, KEY).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).mode("errorifexists").saveAsTable(name)
+def save(df: DataFrame, name: str, buckets: int = BUCKETS, path: str | None = None) -> DataFrame:
+    """``df`` as a table of this name, a file a bucket; in the warehouse, or at ``path``."""
+    writer = df.repartition(buckets, KEY).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).mode("errorifexists")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
