@@ -34,7 +34,7 @@ def _chunks(content: bytes) -> Iterator[tuple[bytes, bytes]]:
         at += 12 + size
 
 
-def _unfiltered(rows: np.ndarray, step: int) -> np.ndarray:
+def unfiltered(rows: np.ndarray, step: int) -> np.ndarray:
     """Rows of bytes, each after its filter's number, as they were before the filters."""
     out = np.zeros((len(rows), rows.shape[1] - 1), dtype=np.uint8)
     above = np.zeros(out.shape[1], dtype=np.uint8)
@@ -83,7 +83,7 @@ def read_png(content: bytes) -> tuple[np.ndarray, bytes]:
     samples = _SAMPLES[colour]
     if len(packed) != height * (1 + width * samples) or not width or not height:
         raise ValueError("the image ends early")
-    pixels = _unfiltered(np.frombuffer(packed, np.uint8).reshape(height, -1), samples).reshape(height, width, samples)
+    pixels = unfiltered(np.frombuffer(packed, np.uint8).reshape(height, -1), samples).reshape(height, width, samples)
     if colour == 3:
         palette = np.frombuffer(parts.get(b"PLTE", b""), np.uint8).reshape(-1, 3)
         if pixels.max() >= len(palette):
