@@ -45,10 +45,10 @@ def publish_metadata(found: DataFrame, source: Storage, target: Storage, setting
     return artifacts.write_texts(files, target)
 
 
-def dealt(df: DataFrame, each: int, *keys: str, least: int = 1) -> DataFrame:
-    """``df`` in parts of about ``each`` rows, but at least as many as run at once, or ``least``: what a lost task costs does not grow with the run."""
+def dealt(df: DataFrame, each: int, least: int = 1) -> DataFrame:
+    """``df`` in even parts of about ``each`` rows, but at least as many as run at once, or ``least``: what a lost task costs does not grow with the run."""
     n, least = df.count(), max(least, df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(max(1, min(n, least), -(-n // each)), *keys)
+    return df.repartition(max(1, min(n, least), -(-n // each)))
 
 
 def planned(work: DataFrame, source: Storage) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +81,7 @@ def told(pages: DataFrame, others: DataFrame) -> DataFrame:
 def extract(work: DataFrame, source: Storage, target: Storage, providers: Providers, each: int = 50) -> DataFrame:
     """Page rows of all submissions of ``work``, failures of descriptors and documents among them; ``broken`` rows fail their whole submission, with their error."""
     ready, others = planned(work, source)
-    return told(extracted(dealt(ready, each, "submission_id", "position"), providers, source, target).drop("image"), others)
+    return told(extracted(dealt(ready, each), providers, source, target).drop("image"), others)
 
 
 #: Documents that one task extracts, and submissions whose descriptors one task reads, about.
@@ -111,14 +111,15 @@ def _extracted(spark: SparkSession, settings: Settings, ready: DataFrame, provid
     """Pages of the documents of ``ready``, those documents that are not finished, and why."""
 
     def recorded() -> DataFrame:
-        return kept(unchanged(journal.load(spark, RECORDED).join(ready.select(*KEY), list(KEY), "left_semi"), source))
+        own = kept(journal.load(spark, RECORDED).join(ready.select(*KEY), list(KEY), "left_semi"))
+        return kept(unchanged(own, source))
 
     def warn(seconds: float, ids: list[str]) -> None:
         logging.getLogger(__name__).warning("no result for %.0f s; in flight: %s", seconds, ", ".join(ids) or "nothing")
 
     journal.begin()
     earlier = recorded()
-    todo = dealt(ready.join(earlier.select(*KEY), list(KEY), "left_anti"), DOCUMENTS, "submission_id", "position", least=settings.parallelism)
+    todo = dealt(ready.join(earlier.select(*KEY), list(KEY), "left_anti"), DOCUMENTS, least=settings.parallelism)
     work = lambda: kept(extracted(todo, providers, source, home, journal=journal).drop("image"))
     try:
         fresh = watched(spark, work, whole_or(settings.stall_warning, 90), whole_or(settings.stall_timeout, 900), warn, progress=journal.progress)

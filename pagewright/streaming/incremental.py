@@ -127,14 +127,14 @@ def watched(
             if now != seen:
                 seen, since, warned = now, time.monotonic(), False
             idle = time.monotonic() - since
+            if warn is not None and idle >= warn and not warned:
+                warned = True
+                on_warn(idle, at)
             if abort is not None and idle >= abort:
                 held.extend(at)
                 stalled.set()
                 context.cancelJobGroup(group)
                 return
-            if warn is not None and idle >= warn and not warned:
-                warned = True
-                on_warn(idle, at)
 
     watcher = threading.Thread(target=watch, daemon=True)
     context.setJobGroup(group, "watched run", interruptOnCancel=True)
