@@ -113,7 +113,7 @@ def watched(
     def told() -> tuple[object, list[str]]:
         """What has come so far, and what is in flight."""
         running = infos()
-        at = [f"{info.numActiveTasks} of {info.numTasks} tasks of {info.name}" for info in running if info.numActiveTasks]
+        at = [f"{info.numActiveTasks} of {info.numTasks} tasks of {info.name}" for info in running if info.numCompletedTasks < info.numTasks]
         state, ids = progress() if progress else (None, [])
         return (sum(info.numCompletedTasks for info in running), state), ids or at
 

@@ -246,7 +246,7 @@ def test_watch_ends_a_hanging_job(spark):
             yield b
 
     with pytest.raises(incremental.Stalled):
-        incremental.watched(spark, lambda: spark.range(4).mapInPandas(hang, "id long").count(), 4, 8, lambda s, stages: warned.append(stages), poll=0.5)
+        incremental.watched(spark, lambda: spark.range(4).mapInPandas(hang, "id long").count(), 8, 14, lambda s, stages: warned.append(stages), poll=0.5)
     assert len(warned) == 1 and any("tasks of" in s for s in warned[0])
     assert incremental.watched(spark, lambda: spark.range(10).filter(F.col("id") > 3).count(), None, None, poll=0.2) == 6
     assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
