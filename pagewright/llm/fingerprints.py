@@ -1,8 +1,11 @@
 """SimHash fingerprints of whole texts, and a search within a Hamming radius.
 
 Every word of a text votes on 128 signed bits with the bits of its hash and the
-weight of its length. All of this is DataFrame operations: votes are sums of
-packed lanes, a document's neighbours come from one window over ranges of ids.
+weight of its length. Fingerprints within a radius are found by tables of block
+choices: of radius + SHARED blocks at least SHARED agree, and each choice of
+SHARED blocks is a table that is joined on them. All of this is DataFrame
+operations: votes are sums of packed lanes, a document's next one comes from one
+window over ranges of ids, blocks are masks on two longs.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pagewright.llm.shared import SPACE, text_or_empty
+from pagewright.llm.shared import SPACE, text_or_empty, written
 
 BITS = 128
 #: Documents in a range of ids, about, and ranges at most; both bound what one window holds.
@@ -22,6 +25,16 @@ RANGES = 1 << 20
 #: Cut points that are estimated; ranges between two of them are cut evenly.
 CUTS = 256
 
+#: Bits that fingerprints of a search may differ in, and blocks that then still agree for certain.
+RADIUS = 6
+SHARED = 2
+#: Documents whose id this divides are the queries of a search.
+EVERY = 20
+#: A key of a block table is dealt out in parts of about so many queries, where it has more.
+PART = 200
+#: Keys, and fingerprints, that are dealt out by a broadcast table: no more can be above a share of 1 / HOT.
+HOT = 1 << 16
+
 _LANES = (1 << 32) | 1
 
 
@@ -141,24 +154,89 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     )
 
 
-def search(queries: DataFrame, fingerprints: DataFrame, radius: int = 6, shared: int = 2) -> DataFrame:
+def _longs(fingerprint: str = "fingerprint") -> list[Column]:
+    return [F.conv(F.substring(fingerprint, 1 + 16 * k, 16), 16, -10).cast("long").alias(f"f{k}") for k in (0, 1)]
+
+
+def _signed(v: int) -> int:
+    return v - (1 << 64) if v >> 63 else v
+
+
+def block_masks(radius: int = RADIUS, shared: int = SHARED) -> list[tuple[int, int]]:
+    """For each choice of ``shared`` of radius + shared blocks, its bits in the two longs of a fingerprint."""
+    blocks = radius + shared
+    edges = [round(k * BITS / blocks) for k in range(blocks + 1)]
+    bits = [((1 << edges[k + 1]) - 1) ^ ((1 << edges[k]) - 1) for k in range(blocks)]
+    chosen = [sum(c) for c in combinations(bits, shared)]
+    return [(_signed(m >> 64), _signed(m & ((1 << 64) - 1))) for m in chosen]
+
+
+def _keyed(df: DataFrame, masks: list[tuple[int, int]]) -> DataFrame:
+    """``df`` (f0, f1) once for each block table, with its number and key there."""
+    keys = [F.struct(F.lit(n).alias("_table"), F.xxhash64(F.lit(n), F.col("f0").bitwiseAND(F.lit(a)), F.col("f1").bitwiseAND(F.lit(b))).alias("_key")) for n, (a, b) in enumerate(masks)]
+    return df.select("*", F.inline(F.array(*keys)))
+
+
+def within(queries: DataFrame, rows: DataFrame, radius: int = RADIUS, shared: int = SHARED) -> DataFrame:
+    """Each row of ``rows`` (distinct f0, f1 and more) beside each of ``queries`` (distinct f0, f1) within ``radius`` bits, itself too.
+
+    Returns q0, q1, the columns of ``rows`` and distance. A pair is given by the
+    first of the tables in which it meets, so none comes twice. A key with many
+    queries is dealt out: its queries go to all parts, each row to one.
+    """
+    masks = block_masks(radius, shared)
+    asked = _keyed(queries.select("f0", "f1"), masks).withColumnsRenamed({"f0": "q0", "f1": "q1"})
+    least = max(PART, queries.count() * len(masks) // HOT)
+    often = asked.groupBy("_key").agg(F.ceil(F.count("*") / PART).cast("int").alias("_parts"), F.count("*").alias("_n")).filter(F.col("_n") > least).select("_key", "_parts")
+    parts = F.coalesce("_parts", F.lit(1))
+    to_all = asked.join(F.broadcast(often), "_key", "left").select("_key", "q0", "q1", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    to_one = _keyed(rows, masks).join(F.broadcast(often), "_key", "left").withColumn("_part", F.pmod(F.xxhash64("f0", "f1"), parts).cast("int")).drop("_parts")
+    x0, x1 = F.col("q0").bitwiseXOR(F.col("f0")), F.col("q1").bitwiseXOR(F.col("f1"))
+    meets = F.coalesce(*(F.when(x0.bitwiseAND(F.lit(a)).bitwiseOR(x1.bitwiseAND(F.lit(b))) == 0, n) for n, (a, b) in enumerate(masks)))
+    near = to_all.join(to_one, ["_key", "_part"]).withColumn("distance", F.bit_count(x0) + F.bit_count(x1)).filter(F.col("distance") <= radius)
+    return near.filter(F.col("_table") == meets).select("q0", "q1", *rows.columns, "distance")
+
+
+def search(queries: DataFrame, fingerprints: DataFrame, radius: int = RADIUS, shared: int = SHARED) -> DataFrame:
     """All fingerprints within ``radius`` bits of those of ``queries``: fingerprint, near, distance.
 
     Both inputs have a column fingerprint; distinct ones stand for all their
-    documents. The bits are cut into radius + shared blocks, of which at least
-    ``shared`` must agree; each choice of blocks is one table that is joined on them.
+    documents, and null ones are near none.
     """
-    blocks = radius + shared
-    edges = [round(k * BITS / blocks) for k in range(blocks + 1)]
+    own = [df.filter("fingerprint IS NOT NULL").select(*_longs()).distinct() for df in (queries, fingerprints)]
+    return within(*own, radius, shared).select(_string("q0", "q1").alias("fingerprint"), _string("f0", "f1").alias("near"), "distance")
 
-    def tables(df: DataFrame, name: str) -> DataFrame:
-        bits = F.concat(*(F.lpad(F.conv(F.substring("fingerprint", 1 + 8 * k, 8), 16, 2), 32, "0") for k in range(4)))
-        own = df.select("fingerprint").distinct().withColumn("_bits", bits)
-        cut = [F.substring("_bits", edges[k] + 1, edges[k + 1] - edges[k]) for k in range(blocks)]
-        keys = F.array(*(F.xxhash64(F.lit(n), *(cut[k] for k in chosen)) for n, chosen in enumerate(combinations(range(blocks), shared))))
-        return own.select(F.col("fingerprint").alias(name), F.explode(keys).alias("_key"))
-
-    half = lambda c, k: F.conv(F.substring(c, 1 + 16 * k, 16), 16, -10).cast("long")
-    apart = sum((F.bit_count(half("fingerprint", k).bitwiseXOR(half("near", k))) for k in (0, 1)), F.lit(0))
-    pairs = tables(queries, "fingerprint").join(tables(fingerprints, "near"), "_key").withColumn("distance", apart).filter(F.col("distance") <= radius)
-    return pairs.select("fingerprint", "near", "distance").distinct()
+
+def neighbours(prints: DataFrame, radius: int = RADIUS, every: int = EVERY) -> DataFrame:
+    """``prints`` (doc_id, fingerprint and more) with what a search finds for documents whose id ``every`` divides.
+
+    Added are near_fingerprints (other fingerprints within ``radius`` bits),
+    near_docs (other documents within it, equal fingerprints counted) and nearest
+    (likeness of the nearest other fingerprint within it, else null); for all other
+    rows, and those with a null doc_id, all three are null. Every row is searched.
+    A query and a fingerprint are compared once a key they share, so the work in a
+    group of near copies is its queries times its different fingerprints; documents
+    with equal ones cost nothing more. The caller gives a table that can be read
+    several times.
+    """
+    rows = prints.withColumn("_asked", F.coalesce(F.pmod(F.col("doc_id"), F.lit(every)) == 0, F.lit(False))).select("*", *_longs())
+    classes = written(rows.groupBy("f0", "f1").agg(F.count("*").alias("docs"), F.max("_asked").alias("_asked")), "fingerprints")
+    pairs = within(classes.filter("_asked"), classes.select("f0", "f1", "docs"), radius)
+    other = F.col("distance") > 0
+    found = pairs.groupBy(F.col("q0").alias("f0"), F.col("q1").alias("f1")).agg(
+        F.count(F.when(other, 1)).alias("near_fingerprints"),
+        (F.sum("docs") - 1).alias("near_docs"),
+        (1 - F.min(F.when(other, F.col("distance"))) / F.lit(BITS)).cast("double").alias("nearest"),
+        F.max(F.when(~other, F.col("docs"))).alias("_docs"),
+    )
+    found, names = written(found, "neighbours"), ["near_fingerprints", "near_docs", "nearest"]
+    # what many documents share is broadcast, and those are then dealt out by id
+    many = F.col("_docs") > rows.count() // HOT + PART
+    hot = found.filter(many).select("f0", "f1", F.struct(*names).alias("_hot"))
+    rest = found.filter(~many).select(F.col("f0").alias("_f0"), F.col("f1").alias("_f1"), F.struct(*names).alias("_rest"))
+    asked = rows.filter("_asked").join(F.broadcast(hot), ["f0", "f1"], "left").withColumn("_spread", F.when(F.col("_hot").isNull(), F.col("f1")).otherwise(F.xxhash64("doc_id")))
+    met = asked.join(rest, (F.col("f0") == F.col("_f0")) & (F.col("_spread") == F.col("_f1")), "left")
+    got = F.coalesce("_hot", "_rest")
+    told = met.select(*prints.columns, *(got[n].alias(n) for n in names))
+    silent = rows.filter("NOT _asked").select(*prints.columns, *(F.lit(None).cast(t).alias(n) for n, t in zip(names, ("long", "long", "double"), strict=True)))
+    return told.unionByName(silent)

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm.license_scan import BLOCK, NOTICES, PERCENT, PHRASES, STEP
-from pagewright.llm.shared import SPACE, documents, shared_folder
+from pagewright.llm.shared import SPACE, documents, shared_folder, written
 
 
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pagewright.llm.fingerprints import fingerprint
+    from pagewright.llm.fingerprints import fingerprint, neighbours
 
-    return fingerprint(documents(spark, sf_dir))
+    return neighbours(written(fingerprint(documents(spark, sf_dir)), "simhashes"))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,92 @@
+"""Searches by block tables, against brute force over all pairs of fingerprints."""
+
+import random
+
+import pytest
+
+from pagewright.llm import fingerprints
+from pagewright.llm.fingerprints import BITS, block_masks, fingerprint, neighbours, search
+from pagewright.llm.shared import written
+
+
+def brute(rows, radius=6, every=20):
+    out = {}
+    for i, v in rows:
+        if i is None or i % every:
+            continue
+        near = [(int(v, 16) ^ int(w, 16)).bit_count() for _, w in rows]
+        kinds = {w: d for (_, w), d in zip(rows, near, strict=True) if 0 < d <= radius}
+        out[i] = (len(kinds), sum(d <= radius for d in near) - 1, 1 - min(kinds.values()) / BITS if kinds else None)
+    return out
+
+
+def check(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, "kept") for i, v in rows], "doc_id long, fingerprint string, extra string")
+    got = neighbours(df, **options).collect()
+    assert len(got) == len(rows) and all(r["extra"] == "kept" for r in got)
+    want = brute(rows, options.get("radius", 6), options.get("every", 20))
+    for r in got:
+        assert (r["near_fingerprints"], r["near_docs"], r["nearest"]) == want.get(r["doc_id"], (None, None, None)), r
+    return got
+
+
+def turned(v, rnd, most):
+    return v ^ sum(1 << k for k in rnd.sample(range(BITS), rnd.randint(0, most)))
+
+
+def groups(rnd, n, copies, most=5):
+    return [f"{turned(v, rnd, most):032x}" for v in (rnd.getrandbits(BITS) for _ in range(n)) for _ in range(copies)]
+
+
+@pytest.mark.parametrize("radius", [0, 1, 6, 11])
+def test_masks_leave_blocks_that_agree(radius):
+    """However radius bits are chosen, some table's bits are free of them."""
+    rnd = random.Random(radius)
+    masks = [(a % (1 << 64)) << 64 | b % (1 << 64) for a, b in block_masks(radius, 2)]
+    for _ in range(300):
+        differ = sum(1 << k for k in rnd.sample(range(BITS), radius))
+        assert any(not m & differ for m in masks)
+
+
+@pytest.mark.parametrize("radius", [0, 3, 9])
+def test_other_radii(spark, radius):
+    rnd = random.Random(radius)
+    every = groups(rnd, 20, 5)
+    check(spark, list(enumerate(every)), radius=radius, every=3)
+
+
+def test_one_group_of_many_near_copies(spark, monkeypatch):
+    """A third of all rows is one group and a hot key in all tables; parts are small, so that keys are dealt out."""
+    monkeypatch.setattr(fingerprints, "PART", 4)
+    rnd = random.Random(2)
+    rows = list(enumerate([*groups(rnd, 1, 200), *groups(rnd, 40, 10)]))
+    check(spark, rows, every=2)
+
+
+def test_equal_fingerprints_of_many_documents(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "PART", 4)
+    rnd = random.Random(3)
+    same = f"{rnd.getrandbits(BITS):032x}"
+    got = check(spark, list(enumerate([same] * 150 + groups(rnd, 30, 3))), every=5)
+    assert {r["near_docs"] for r in got if r["doc_id"] < 150 and r["doc_id"] % 5 == 0} == {149}
+
+
+def test_extreme_bits_and_ids(spark):
+    """All bits 0 (no words), all bits 1, null and negative ids."""
+    check(spark, [(0, "0" * 32), (20, "f" * 32), (-20, "0" * 31 + "1"), (None, "0" * 32), (40, "8" + "0" * 31), (7, "f" * 31 + "e")])
+
+
+def test_nothing(spark, nothing):
+    assert neighbours(fingerprint(nothing)).count() == 0
+    none = spark.createDataFrame([], "fingerprint string")
+    assert search(none, none).count() == 0
+
+
+def test_whole_table(spark):
+    """What the query finds among all documents, with repeats in place."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    prints = written(fingerprint(docs.unionByName(docs.filter("doc_id % 7 = 0").withColumn("doc_id", docs["doc_id"] + 10**6))), "simhashes")
+    rows = [(r["doc_id"], r["fingerprint"]) for r in prints.collect()]
+    want = brute(rows)
+    got = {r["doc_id"]: (r["near_fingerprints"], r["near_docs"], r["nearest"]) for r in neighbours(prints).filter("near_docs IS NOT NULL").collect()}
+    assert got == want and any(n for _, n, _ in got.values())
