@@ -3,7 +3,9 @@
 A ledger is a folder of batches. A batch holds the signed counts of the
 documents that it inserts, deletes or revises, and their sums by source,
 language and tokenizer version. It counts once its sums are complete, so a
-batch that is sent again changes nothing, and totals are sums of sums.
+batch that is sent again changes nothing, and totals are sums of sums. Batches
+are merged into a base, which holds what counts and the ids of what it merged, so
+that neither the work of a delete nor the number of folders grows with history.
 """
 
 from __future__ import annotations
@@ -57,21 +59,39 @@ class TokenLedger:
         self.spark, self.folder = spark, folder.rstrip("/")
         self.versions = versions or {"word_bpe_49k": tokenizer_path()}
 
-    def _exists(self, path: str) -> bool:
+    def _path(self, path: str):
         at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+        return at, at.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def batches(self) -> list[str]:
-        """Ids of the committed batches."""
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        files = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def _exists(self, path: str) -> bool:
+        at, files = self._path(path)
+        return files.exists(at)
+
+    def _folders(self, kind: str) -> list[str]:
+        """What comes after ``kind`` in the names of folders, whole or not, in order."""
+        at, files = self._path(self.folder)
         if not files.exists(at):
             return []
         names = [f.getPath().getName() for f in files.listStatus(at)]
-        return sorted(n.removeprefix("batch-") for n in names if n.startswith("batch-") and self._exists(f"{self.folder}/{n}/totals/_SUCCESS"))
+        return sorted(n.removeprefix(kind) for n in names if n.startswith(kind))
+
+    def _whole(self, kind: str) -> list[str]:
+        return [n for n in self._folders(kind) if self._exists(f"{self.folder}/{kind}{n}/totals/_SUCCESS")]
+
+    def _state(self) -> tuple[str | None, set[str], list[str]]:
+        """The newest whole base, the ids that it merged, and the committed batches that it did not."""
+        base = max(self._whole("base-"), key=int, default=None)
+        merged = {r["batch"] for r in self.spark.read.parquet(f"{self.folder}/base-{base}/merged").collect()} if base else set()
+        return base, merged, [b for b in self._whole("batch-") if b not in merged]
+
+    def batches(self) -> list[str]:
+        """Ids of the committed batches, merged ones too."""
+        _, merged, since = self._state()
+        return sorted([*merged, *since])
 
     def _read(self, part: str) -> DataFrame | None:
-        paths = [f"{self.folder}/batch-{b}/{part}" for b in self.batches()]
+        base, _, since = self._state()
+        paths = [f"{self.folder}/base-{base}/{part}"] * bool(base) + [f"{self.folder}/batch-{b}/{part}" for b in since]
         return self.spark.read.parquet(*paths) if paths else None
 
     def current(self) -> DataFrame | None:
@@ -84,7 +104,7 @@ class TokenLedger:
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch; False and no change if it is there already. A batch that broke off is written anew."""
         to = f"{self.folder}/batch-{batch}"
-        if self._exists(f"{to}/totals/_SUCCESS"):
+        if batch in self.batches():
             return False
         unknown = changes.filter(F.col("op").isNull() | ~F.col("op").isin("insert", "delete", "revise")).select("op").first()
         if unknown:
@@ -99,10 +119,44 @@ class TokenLedger:
             leaving = changes.filter(F.col("op").isin("delete", "revise")).select("doc_id").distinct()
             old = before.join(leaving, "doc_id", "left_semi").filter(F.col("tokenizer").isin(*self.versions))
             deltas = deltas.unionByName(old.select("doc_id", *KEYS, *((-F.col(c)).alias(c) for c in COUNTS)))
+        self._put(to, deltas)
+        return True
+
+    def _put(self, to: str, deltas: DataFrame) -> None:
+        """Rows and then their sums, whose completion makes the folder count."""
         deltas.write.mode("overwrite").parquet(f"{to}/documents")
         rows = self.spark.read.schema(deltas.schema).parquet(f"{to}/documents")
         rows.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in COUNTS)).write.mode("overwrite").parquet(f"{to}/totals")
-        return True
+
+    def compact(self) -> int:
+        """Merge the base and the batches since it into a new base; how many batches that were, 0 and no change if none.
+
+        The base holds one row for each doc_id, source, language and version that
+        counts anything, rows of equal doc_id added up. Totals and ids of batches
+        stay as they were, and a merged batch that is sent again still changes
+        nothing. A merge that broke off does not count and is written anew. The
+        writer of batches also merges; what was merged stays until ``clear``.
+        """
+        base, merged, since = self._state()
+        if not since:
+            return 0
+        to = f"{self.folder}/base-{int(base or 0) + 1}"
+        ids = self.spark.createDataFrame([(b,) for b in sorted([*merged, *since])], "batch string")
+        ids.coalesce(1).write.mode("overwrite").parquet(f"{to}/merged")
+        self._put(to, self.current())
+        return len(since)
+
+    def clear(self) -> int:
+        """Delete merged batches and earlier bases, which no new reader opens; how many folders that were.
+
+        Readers that began before the last merge must have ended.
+        """
+        base, merged, _ = self._state()
+        old = [f"batch-{b}" for b in self._folders("batch-") if b in merged] + [f"base-{b}" for b in self._folders("base-") if base and int(b) < int(base)]
+        for name in old:
+            at, files = self._path(f"{self.folder}/{name}")
+            files.delete(at, True)
+        return len(old)
 
     def totals(self) -> DataFrame:
         """Sums by source, language and tokenizer version; groups that have come to nothing are left out."""

@@ -66,3 +66,45 @@ def test_unknown_changes_are_an_error(spark, tmp_path, op):
     with pytest.raises(ValueError, match="unknown op"):
         ledger.commit("x", change(df, "insert").unionByName(df.select(F.lit(op).cast("string").alias("op"), "doc_id", "text", "source", "lang")))
     assert ledger.batches() == []
+
+
+def test_merged_batches_count_as_before(spark, messy, tmp_path):
+    """Merging changes no total, repeated batches and later deletes included, and clearing leaves one folder."""
+    ledger, rows = TokenLedger(spark, str(tmp_path / "ledger")), messy_rows()
+    assert ledger.compact() == 0 and ledger.clear() == 0
+    ledger.commit("one", change(messy, "insert"))
+    ledger.commit("two", change(messy.filter("doc_id IN (8, 12)"), "delete"))
+    rows = [r for r in rows if r[0] not in (8, 12)]
+    assert ledger.compact() == 2 and ledger.compact() == 0
+    assert told(ledger) == brute(rows) and ledger.batches() == ["one", "two"]
+    assert not ledger.commit("one", change(messy, "insert")) and told(ledger) == brute(rows)
+    assert ledger.clear() == 2 and told(ledger) == brute(rows)
+    assert not ledger.commit("two", change(messy, "insert"))
+    new = frame(spark, [(9, "once", "de", "c"), (8, "back again", "en", "c")])
+    assert ledger.commit("three", change(new, "revise").unionByName(change(messy.filter("doc_id = 1"), "delete")))
+    rows = [r for r in rows if r[0] not in (9, 1)] + [(9, "once", "de", "c"), (8, "back again", "en", "c")]
+    assert told(ledger) == brute(rows)
+    assert ledger.compact() == 1 and ledger.clear() == 2 and told(ledger) == brute(rows)
+    assert ledger.batches() == ["one", "three", "two"] and len(list((tmp_path / "ledger").iterdir())) == 1
+
+
+def test_a_broken_merge_does_not_count_and_is_written_anew(spark, messy, tmp_path):
+    ledger = TokenLedger(spark, str(tmp_path / "ledger"))
+    ledger.commit("x", change(messy, "insert"))
+    ledger.compact()
+    (tmp_path / "ledger/base-1/totals/_SUCCESS").unlink()
+    assert ledger.clear() == 0 and told(ledger) == brute(messy_rows())
+    ledger.commit("y", change(messy.filter("doc_id = 3"), "delete"))
+    assert ledger.compact() == 2
+    assert ledger.clear() == 2 and told(ledger) == brute([r for r in messy_rows() if r[0] != 3])
+
+
+def test_the_history_of_one_document_is_one_row_when_merged(spark, tmp_path):
+    """A document that is revised in each batch, and one that is inserted and deleted over and over."""
+    ledger = TokenLedger(spark, str(tmp_path / "ledger"))
+    for k in range(3):
+        ledger.commit(f"in{k}", change(frame(spark, [(1, "word " * (k + 1), "en", "a")]), "revise").unionByName(change(frame(spark, [(2, "gone", "en", "a")]), "insert")))
+        ledger.commit(f"out{k}", change(frame(spark, [(2, None, None, None)]), "delete"))
+    assert ledger.compact() == 6 and ledger.clear() == 6
+    assert ledger._read("documents").count() == 1
+    assert told(ledger) == brute([(1, "word " * 3, "en", "a")])
