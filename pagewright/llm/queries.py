@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm.license_scan import BLOCK, NOTICES, PERCENT, PHRASES, STEP
-from pagewright.llm.shared import SPACE, documents, shared_folder, written
+from pagewright.llm.shared import SPACE, documents, having_ids, shared_folder, written
 
 
 def op4_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.commit("load", load)
     ledger.commit("load", load)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    poor = load.join(labels.filter("quality = 0").select("doc_id").distinct(), "doc_id", "left_semi")
+    poor = having_ids(load, labels.filter("quality = 0").select("doc_id"))
     ledger.commit("poor", poor.select(F.lit("revise").alias("op"), "doc_id", F.regexp_replace("text", SPACE, " ").alias("text"), "source", "lang"))
     toxic = labels.filter("toxic = 1").select("doc_id")
     none = F.lit(None).cast("string")

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagewright.sources.state import BITS, id_filter, marked
+
 #: White space of every contract here: the space and U+0009 to U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -64,6 +66,16 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def having_ids(rows: DataFrame, ids: DataFrame, key: str = "doc_id", bits: int = BITS) -> DataFrame:
+    """``rows`` whose ``key`` is in ``ids``, none for a null one; ``rows`` has no columns _part, _maybe or bitmap.
+
+    A filter of ids, which is broadcast in at most ``bits`` / 8 bytes, drops most
+    others where they lie; only what it lets through is dealt out for the join.
+    """
+    own = ids.select(F.col(key).cast(rows.schema[key].dataType).alias(key)).distinct()
+    return marked(rows, id_filter(own, key, bits), key, bits).filter("_maybe").drop("_maybe").join(own, key, "left_semi")
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

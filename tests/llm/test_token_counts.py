@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from pagewright.llm.shared import having_ids
 from pagewright.llm.token_counts import TokenLedger
 from pagewright.llm.tokens import tokenizer_path
 from tests.llm.conftest import frame, messy_rows
@@ -108,3 +109,13 @@ def test_the_history_of_one_document_is_one_row_when_merged(spark, tmp_path):
     assert ledger.compact() == 6 and ledger.clear() == 6
     assert ledger._read("documents").count() == 1
     assert told(ledger) == brute([(1, "word " * 3, "en", "a")])
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 20, 1 << 27])
+def test_rows_having_ids(spark, bits):
+    """Few bits let many wrong rows through the filter, none through the join; ids of another type, repeats and nulls."""
+    rows = spark.createDataFrame([(i % 900 if i % 50 else None, f"text {i}") for i in range(2000)], "doc_id long, text string")
+    ids = spark.createDataFrame([(i,) for i in [*range(0, 5000, 7), 7, None]], "doc_id int")
+    got = sorted((r["doc_id"], r["text"]) for r in having_ids(rows, ids, bits=bits).collect())
+    assert got == sorted((i % 900, f"text {i}") for i in range(2000) if i % 50 and i % 900 % 7 == 0)
+    assert having_ids(rows, ids.limit(0), bits=bits).count() == 0
