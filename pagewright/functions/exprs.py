@@ -184,9 +184,16 @@ def short_id(c: Column) -> Column:
 
 
 def box_text(bbox: Column) -> Column:
-    """[x0, y0, x1, y1] in whole pixels, halves to even; '' without four numbers."""
-    whole = F.transform(bbox, lambda v: F.when((F.rint(v) == 0) & (v < 0), "-0").otherwise(F.rint(v).cast("long").cast("string")))
-    return F.when(F.size(bbox) == 4, F.concat(F.lit("["), F.array_join(whole, ", "), F.lit("]"))).otherwise("")
+    """[x0, y0, x1, y1] in whole pixels, halves to even, zeros with their sign; '' without four numbers, null if one is null."""
+
+    def whole(v: Column) -> Column:
+        v = F.rint(v)
+        sign = F.when(v.cast("string").startswith("-"), "-").otherwise("")
+        beyond = F.replace(F.lower(F.format_string("%.0f", v)), F.lit("infinity"), F.lit("inf"))
+        return F.when(v.isNotNull(), F.when(F.abs(v) < float(1 << 63), F.concat(sign, F.abs(v).cast("long").cast("string"))).otherwise(beyond))
+
+    x0, y0, x1, y1 = (whole(F.get(bbox, F.lit(k))) for k in range(4))
+    return F.when(F.size(bbox) == 4, F.concat(F.lit("["), x0, F.lit(", "), y0, F.lit(", "), x1, F.lit(", "), y1, F.lit("]"))).otherwise("")
 
 
 def confidence_text(confidence: Column) -> Column:

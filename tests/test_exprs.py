@@ -5,9 +5,11 @@ import math
 import random
 from pathlib import PurePosixPath
 
+import duckdb
 from pyspark.sql import functions as F
 
 from pagewright.functions import exprs as E
+from pagewright.plans.queries import ORACLE_SQL, QUERIES
 
 
 def test_stem_is_that_of_pathlib(spark):
@@ -81,3 +83,21 @@ def test_pdf_by_extension_or_type(spark):
     rows = [(".PDF", None), ("", "Application/PDF"), (".jpg", "image/jpeg"), (None, "application/pdf")]
     got = [r[0] for r in spark.createDataFrame(rows, "e string, m string").select(E.is_pdf(F.col("e"), F.col("m"))).collect()]
     assert got == [True, True, False, None]
+
+
+def test_box_text_like_python(spark):
+    numbers = [0.0, -0.0, -0.3, 0.3, 0.5, -0.5, 1.5, -2.5, 560.21, 10744.0, float(1 << 62), -float(1 << 53), float("nan"), float("-inf"), float("inf"), -7.0]
+    boxes = [numbers[k : k + 4] for k in range(len(numbers) - 3)]
+    got = spark.createDataFrame([(b,) for b in boxes], "b array<double>").select("b", E.box_text(F.col("b"))).collect()
+    assert [r[1] for r in got] == [f"[{a:.0f}, {b:.0f}, {c:.0f}, {d:.0f}]" for a, b, c, d in boxes]
+    odd = spark.createDataFrame([([1.0, None, 2.0, 3.0],), ([1.0],), (None,)], "b array<double>").select(E.box_text(F.col("b"))).collect()
+    assert [r[0] for r in odd] == [None, "", ""]
+
+
+def test_viewer_texts_of_zero_values_agree_with_sql(spark, tmp_path):
+    rows = [(1, "view", 0.0), (2, "view", -0.0), (3, "buy", -0.4), (4, "buy", None), (5, "buy", 0.5)]
+    spark.createDataFrame(rows, "event_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(map(tuple, QUERIES["viewer_texts"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert got == sorted(con.execute(ORACLE_SQL["viewer_texts"]).fetchall())
