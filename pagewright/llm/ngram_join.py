@@ -336,10 +336,11 @@ def _by_difference(deltas: DataFrame, percent: int) -> DataFrame:
         level = F.when((F.col("need") >= higher) & (cost[higher] <= 2 * cost[1] + 64), F.lit(higher)).otherwise(level)
     lookups = ranked.withColumn("level", level).filter(F.col("k") > F.col("need") - F.col("level"))
     salts = F.ceil(F.col("all") / HOT)
-    lookups = lookups.select("hub", "token", "node", "n", "group", "rho", "open", "need", "level", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
-    index = held.select("hub", "token", F.pmod(F.xxhash64("node"), salts).alias("salt"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"), F.col("rho").alias("rho_b"), F.col("open").alias("open_b"))
+    lookups = lookups.select("hub", "token", "open", "node", "n", "group", "rho", "need", "level", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"))
+    # what is not open meets only what is
+    index = held.select("hub", "token", F.explode(F.when(F.col("open"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))).alias("open"), F.pmod(F.xxhash64("node"), salts).alias("salt"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("group").alias("other"), F.col("rho").alias("rho_b"))
     later = (F.col("rho_b") > F.col("rho")) | ((F.col("rho_b") == F.col("rho")) & (F.col("b") > F.col("node")))
-    met = lookups.join(index, ["hub", "token", "salt"]).filter((F.col("group") != F.col("other")) & (F.col("open") | F.col("open_b")) & later & _near_in_size(percent))
+    met = lookups.join(index, ["hub", "token", "open", "salt"]).filter((F.col("group") != F.col("other")) & later & _near_in_size(percent))
     pairs = met.groupBy("hub", "node", "b").agg(F.count("*").alias("c"), *(F.first(x).alias(x) for x in ("rho", "rho_b", "need", "level")))
     # a partner of a larger rho must share as many more
     exact = F.ceil((F.col("rho") + F.col("rho_b")) / F.lit(2 * (100 + percent)))
@@ -366,9 +367,9 @@ def _among_dear(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     near = marked.join(sets.select("node", "tokens"), "node").join(whole, "hub").select(*marked.columns, F.explode(apart).alias("token"))
     pairs = [star, written(_by_difference(near, percent), "candidates")]
     if not far.isEmpty():
-        # from nothing, a set differs in all its tokens
-        bare = postings.join(_small(far.withColumn("far", F.lit(True))), "node", "left").select(
-            F.lit(-1).cast("long").alias("hub"), "node", "n", "group", F.col("n").alias("size"), _rho(F.col("n"), percent).alias("rho"), F.coalesce("far", F.lit(False)).alias("open"), F.lit(0).cast("long").alias("least"), "token"
+        # the hub of any other node has all that may be similar to it; from nothing, a set differs in all its tokens
+        bare = postings.join(_small(far), "node").select(
+            F.lit(-1).cast("long").alias("hub"), "node", "n", "group", F.col("n").alias("size"), _rho(F.col("n"), percent).alias("rho"), F.lit(True).alias("open"), F.lit(0).cast("long").alias("least"), "token"
         )
         pairs.append(written(_by_difference(bare, percent), "candidates"))
     out = pairs[0]

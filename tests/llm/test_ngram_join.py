@@ -121,6 +121,23 @@ def test_candidates_of_loose_groups_grow_in_proportion(spark):
     assert counts[1] <= 2.5 * counts[0] and counts[2] <= 2.5 * counts[1]
 
 
+def test_blends_of_large_groups_are_not_held_against_all_of_them(spark, monkeypatch):
+    """Texts of two sources are near no set that stands for many; what stands for the sources already has all that may be similar to them."""
+    monkeypatch.setattr(J, "COST", 20)
+    real, bare = J._by_difference, []
+
+    def seen(deltas, percent):
+        bare.extend(r["node"] for r in deltas.filter("hub < 0").select("node").distinct().collect())
+        return real(deltas, percent)
+
+    monkeypatch.setattr(J, "_by_difference", seen)
+    first, second = loose(21, 60, 0, 5, 150), loose(22, 60, 0, 5, 150, source=1)
+    blends = [(3000 + k, " ".join(first[k][1].split()[: 60 + k] + second[k][1].split()[60 + k :]), "en", "a") for k in range(12)]
+    rows = [*first, *((1000 + i, *more) for i, *more in second), *blends]
+    check(frame(spark, rows), rows, 5, 80)
+    assert 0 < len(bare) <= 2 * len(blends)  # of 132 nodes
+
+
 def test_growing_versions_meet_without_pivots(spark, monkeypatch):
     real = J._against_pivots
     monkeypatch.setattr(J, "_against_pivots", lambda *a: real(*a).limit(0))
