@@ -5,6 +5,12 @@ line goes to the finest grid in which it is no wider than a cell, and so to four
 at most, however large it is. A point is looked up in its one cell of each grid in use.
 Both sides meet by an equi-join on image, grid and cell, so neither a large image nor a
 large line makes all pairs; whether a point lies in a line is then tested exactly.
+
+A cell in which many lines meet many points is split, and again what it is split into.
+A line stays in those parts through which its outline runs and in those that it covers.
+Only the first line that holds a point is wanted, so lines after the first that covers
+a part leave it: where lines lie on each other, few are left in a small part. Equal
+lines are one, and so are equal points.
 """
 
 from __future__ import annotations
@@ -18,6 +24,11 @@ from pagewright.sources.scratch import kept
 IMAGE = ["submission_id", "image_filename"]
 #: Numbers of a larger size are no pixels: a line with one holds no point.
 LARGEST = float(1 << 50)
+#: A cell is split while it has more lines than this and more points, into a power of two a side, down to a width of two to FINEST.
+FEW = 32
+STEP = 2
+FINEST = -8
+CELL = [*IMAGE, "tree", "grid", "cx", "cy"]
 
 
 def _sides(shape: Column, axis: int) -> tuple[Column, Column]:
@@ -45,6 +56,63 @@ def _cell(number: Column) -> Column:
     return F.floor(number / F.pow(F.lit(2.0), F.col("grid"))).cast("long")
 
 
+def _runs_through(p: Column, q: Column, x0: Column, y0: Column, side: Column, slack: Column) -> Column:
+    """Whether the edge from p to q comes nearer than ``slack`` to a cell; true where it has no numbers."""
+    dx, dy, half = q[0] - p[0], q[1] - p[1], side / 2
+    beside = [(F.least(p[k], q[k]) <= o + side + slack) & (F.greatest(p[k], q[k]) >= o - slack) for k, o in enumerate((x0, y0))]
+    away = F.abs((x0 + half - p[0]) * dy - (y0 + half - p[1]) * dx) > (half + slack) * (F.abs(dx) + F.abs(dy))
+    return F.coalesce(beside[0] & beside[1] & ~away, F.lit(True))
+
+
+def _parts(placed: DataFrame) -> DataFrame:
+    """Rows of ``cells`` in the parts of their cells, with ``covers``: whether the line holds all of the part."""
+    n = 1 << STEP
+    part = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_x")).select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_y"))
+    part = part.withColumns({"grid": F.col("grid") - STEP, "cx": F.col("cx") * n + F.col("_x"), "cy": F.col("cy") * n + F.col("_y")})
+    side = F.pow(F.lit(2.0), F.col("grid"))
+    part = part.withColumns({"_side": side, "_x0": F.col("cx") * side, "_y0": F.col("cy") * side})
+    x0, y0, side = F.col("_x0"), F.col("_y0"), F.col("_side")
+    x1, y1 = x0 + side, y0 + side
+    corner = [F.get("polygon", F.lit(k)) for k in range(4)]
+    # far wider than the rounding of E.in_polygon, which is so the same in all of a part without an edge
+    slack = side * 2.0**-20 + F.greatest(F.abs(x0), F.abs(y0), *(F.abs(c[k]) for c in corner for k in range(2))) * 2.0**-40
+    edge = _runs_through(corner[0], corner[3], x0, y0, side, slack)
+    for k in range(3):
+        edge = edge | _runs_through(corner[k + 1], corner[k], x0, y0, side, slack)
+    left, top, right, bottom = (F.get("bbox", F.lit(k)) for k in range(4))
+    lies = (left <= x1) & (right >= x0) & (top <= y1) & (bottom >= y0)
+    holds = (left <= x0) & (right >= x1) & (top <= y0) & (bottom >= y1)
+    drawn = F.size("polygon") == 4
+    marked = part.withColumn("_edge", F.when(drawn, edge).otherwise(lies & ~holds))
+    whole = F.when(F.col("_edge"), False).when(drawn, E.in_polygon(F.col("polygon"), x0 + side / 2, y0 + side / 2)).otherwise(holds)
+    return marked.withColumn("covers", whole).filter("_edge OR covers").drop("_x", "_y", "_x0", "_y0", "_side", "_edge")
+
+
+def _first_ones(parts: DataFrame) -> DataFrame:
+    """``parts`` without lines after the first that covers their part."""
+    first = parts.filter("covers").groupBy(*CELL).agg(F.min("index").alias("_first"))
+    return parts.join(first, CELL, "left").filter("_first IS NULL OR index <= _first").drop("_first", "covers")
+
+
+def candidates(dealt: DataFrame, spots: DataFrame) -> DataFrame:
+    """Pairs of ``spots`` (distinct IMAGE, x, y) and lines of ``dealt`` (written ``cells``) among which is the first line that holds each: IMAGE, x, y, index, bbox, polygon."""
+    dealt = dealt.withColumn("tree", F.col("grid"))
+    trees = [r["tree"] for r in dealt.select("tree").distinct().collect()]  # at most one for each power of two up to LARGEST
+    sought = spots.select("*", F.explode(F.array(*map(F.lit, trees)).cast("array<int>")).alias("tree")).withColumn("grid", F.col("tree"))
+    pairs = None
+    while True:
+        sought = kept(sought.withColumns({"cx": _cell(F.col("x")), "cy": _cell(F.col("y"))}))
+        both = dealt.groupBy(*CELL).agg(F.count("*").alias("lines")).join(sought.groupBy(*CELL).agg(F.count("*").alias("points")), CELL)
+        state = kept(both.select(*CELL, ((F.least("lines", "points") > FEW) & (F.col("grid") - STEP >= FINEST)).alias("split")))
+        met = dealt.join(state.filter("NOT split").drop("split"), CELL).join(sought, CELL).select(*IMAGE, "x", "y", "index", "bbox", "polygon")
+        pairs = met if pairs is None else pairs.unionByName(met)
+        split = state.filter("split").drop("split")
+        if split.isEmpty():
+            return pairs
+        dealt = kept(_first_ones(_parts(dealt.join(split, CELL))))
+        sought = sought.join(split, CELL, "left_semi").withColumn("grid", F.col("grid") - STEP)
+
+
 def lines_at(lines: DataFrame, points: DataFrame) -> DataFrame:
     """``points`` (IMAGE, x, y and more) with ``index``, that of the first line of their image which holds them, or -1.
 
@@ -52,13 +120,9 @@ def lines_at(lines: DataFrame, points: DataFrame) -> DataFrame:
     what lies in its box of four numbers, edges included, as in ``consumer.line_at``. Points
     without an image or a number lie in no line; each repeated point gets its row.
     """
-    dealt = kept(cells(lines))
-    grids = [r["grid"] for r in dealt.select("grid").distinct().collect()]  # at most one for each power of two up to LARGEST
-    numbered = kept(points.withColumn("_point", F.monotonically_increasing_id()))
-    if not grids:
-        return numbered.drop("_point").withColumn("index", F.lit(-1))
-    sought = numbered.select(*IMAGE, "x", "y", "_point", F.explode(F.array(*map(F.lit, grids))).alias("grid")).filter((F.abs("x") <= LARGEST) & (F.abs("y") <= LARGEST))
-    met = sought.withColumns({"cx": _cell(F.col("x")), "cy": _cell(F.col("y"))}).join(dealt, [*IMAGE, "grid", "cx", "cy"])
+    every = kept(points)
+    shapes = lines.groupBy(*IMAGE, "bbox", "polygon").agg(F.min("index").alias("index"))
+    spots = every.select(*IMAGE, "x", "y").filter((F.abs("x") <= LARGEST) & (F.abs("y") <= LARGEST)).distinct()
     inside = F.when(F.size("polygon") == 4, E.in_polygon(F.col("polygon"), F.col("x"), F.col("y"))).otherwise(E.in_box(F.col("bbox"), F.col("x"), F.col("y")))
-    hits = met.filter(inside).groupBy("_point").agg(F.min("index").alias("index"))
-    return numbered.join(hits, "_point", "left").drop("_point").withColumn("index", F.coalesce("index", F.lit(-1)))
+    first = candidates(kept(cells(shapes)), spots).filter(inside).groupBy(*IMAGE, "x", "y").agg(F.min("index").alias("index"))
+    return every.join(first, [*IMAGE, "x", "y"], "left").select(*points.columns, F.coalesce("index", F.lit(-1)).alias("index"))

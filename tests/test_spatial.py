@@ -2,6 +2,7 @@
 
 import random
 
+from pagewright.operators import spatial
 from pagewright.operators.spatial import cells, lines_at
 from pagewright.plans import consumer
 
@@ -75,3 +76,26 @@ def test_no_lines_and_no_points(spark):
     none, some = spark.createDataFrame([], LINES), spark.createDataFrame(points, POINTS)
     assert {r["index"] for r in lines_at(none, some).collect()} == {-1}
     assert lines_at(spark.createDataFrame(lines, LINES), spark.createDataFrame([], POINTS)).count() == 0
+
+
+def test_split_cells_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "FEW", 3)
+    lines, points = made(5, 2, 120)
+    rnd = random.Random(6)
+    for k in range(120):  # crossed and thin ones too, often of the same corners
+        corners = [[rnd.choice([64.0, 100.0, rnd.gauss(500, 150)]), rnd.choice([64.0, rnd.gauss(500, 150)])] for _ in range(4)]
+        lines.append(("s", "i0", 500 + k, None, corners))
+        points += [("s", "i0", *rnd.choice(corners), "c"), ("s", "i0", rnd.gauss(500, 150), rnd.gauss(500, 150), "g")]
+    assert told(lines_at(spark.createDataFrame(lines, LINES), spark.createDataFrame(points, POINTS))) == brute(lines, points)
+
+
+def test_pairs_of_lines_on_each_other_grow_in_proportion(spark):
+    counts = []
+    for n in (300, 1200):
+        rnd = random.Random(7)
+        number = lambda: rnd.gauss(0, 125)
+        lines = [("s", "i", k, None, [[number(), number()] for _ in range(4)]) for k in range(n)]
+        spots = [("s", "i", number(), number()) for _ in range(n)]
+        pairs = spatial.candidates(cells(spark.createDataFrame(lines, LINES)), spark.createDataFrame(spots, "submission_id string, image_filename string, x double, y double"))
+        counts.append(pairs.count())
+    assert counts[1] <= 6 * counts[0], counts
