@@ -49,21 +49,27 @@ def statistics(rows: DataFrame, name: str, averages: tuple[str, ...] = ()) -> Da
     return rows.groupBy(field(name).alias(name)).agg(F.count("*").alias("n"), *(F.avg(field(a).try_cast("double")).alias(a) for a in averages))
 
 
+#: Rows of a tree that a task sorts, about.
+TREE_ROWS = 250_000
+
+
 def tree(subs: DataFrame, page_rows: DataFrame) -> DataFrame:
     """Submissions with their documents and pages, in the order of a tree: by submission, document and page number.
 
     ``label`` has the status and the short id. A submission without pages is a row
     of its own; pages of unknown submissions are left out. ``document`` and
     ``place`` number the documents of a submission and the pages of a document from 0.
+    Tasks are as many as the rows ask for, and both numbers and the order come of one sort.
     """
     label = F.concat(F.lit("["), "status", F.lit("] "), E.short_id(F.col("submission_id").cast("string"))).alias("label")
     own = page_rows.select("submission_id", "doc_filename", F.col("page_number").cast("int").alias("page_number"), "image_filename", "lines_filename")
     docs = W.partitionBy("submission_id").orderBy("doc_filename")
     in_doc = W.partitionBy("submission_id", "doc_filename").orderBy("page_number", "image_filename")
-    both = subs.select("submission_id", label).join(own, "submission_id", "left")
+    parts = -(-(subs.count() + page_rows.count()) // TREE_ROWS) or 1
+    both = subs.select("submission_id", label).repartition(parts, "submission_id").join(own.repartition(parts, "submission_id"), "submission_id", "left")
+    laid = both.repartitionByRange(parts, "submission_id").sortWithinPartitions("submission_id", "doc_filename", "page_number", "image_filename")
     there = F.col("doc_filename").isNotNull()
-    placed = both.withColumns({"document": F.when(there, F.dense_rank().over(docs) - 1), "place": F.when(there, F.row_number().over(in_doc) - 1)})
-    return placed.orderBy("submission_id", "doc_filename", "page_number", "image_filename")
+    return laid.withColumns({"document": F.when(there, F.dense_rank().over(docs) - 1), "place": F.when(there, F.row_number().over(in_doc) - 1)})
 
 
 def training_rows(subs: DataFrame, page_rows: DataFrame, line_rows: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:

@@ -2,7 +2,10 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from pagewright.operators import relational as R
+from pagewright.plans import consumer
 
 PAGE = "submission_id string, doc_filename string, page_number int, status string, error string, image_filename string"
 
@@ -59,3 +62,21 @@ def test_empty_tables(spark):
     work = spark.createDataFrame([], "submission_id string")
     assert R.roll_up(work, none).count() == 0
     assert R.colliding_names(none).count() == 0
+
+
+def test_tree_in_order_over_tasks_of_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(consumer, "TREE_ROWS", 500)
+    subs = spark.range(600).selectExpr("id AS submission_id", "'completed' AS status")
+    pages = spark.range(4000).selectExpr("id * 37 % 590 AS submission_id", "concat(id * 7 % 3, '.pdf') AS doc_filename", "CAST(id * 11 % 13 AS INT) AS page_number", "concat(id, '.jpg') AS image_filename", "'' AS lines_filename")
+    found = consumer.tree(subs, pages)
+    rows = [tuple(r) for r in found.select("submission_id", "doc_filename", "page_number", "image_filename", "document", "place").collect()]
+    by, want = {}, []
+    for r in pages.collect():
+        by.setdefault(r[0], []).append(r)
+    for s in range(600):
+        own = sorted(tuple(r)[1:4] for r in by.get(s, ()))
+        names = sorted({d for d, *_ in own})
+        want += [(s, d, n, i, names.index(d), [x for x in own if x[0] == d].index((d, n, i))) for d, n, i in own] or [(s, None, None, None, None, None)]
+    assert rows == want
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 4 and max(r["count"] for r in sizes) < 1500
